@@ -83,7 +83,9 @@ def partner_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detailed partners (PARTNER_DETAILED + seq), one per order.
 
     Each order is a partner; its client references are its returned lines
-    (l_returnflag = 'R'), so partners without returns have none. A client is
+    (l_returnflag = 'R'), so partners without returns have none. References
+    are ordered by (line number, part, supplier, quantity, price, ship date),
+    a total order, since line numbers repeat within an order. A client is
     the part's type, so the same client recurs within a partner and the
     last-wins dedup has work to do.
     """
@@ -95,7 +97,9 @@ def partner_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(p.select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
             .groupBy("l_orderkey")
             .agg(F.sort_array(F.collect_list(F.struct(
-                F.col("l_linenumber").alias("pos"),
+                F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("k1"),
+                F.col("l_suppkey").alias("k2"), F.col("l_quantity").alias("k3"),
+                F.col("l_extendedprice").alias("k4"), F.col("l_shipdate").alias("k5"),
                 F.struct(F.col("p_type").alias("client_name"),
                          F.concat_ws(" ", F.col("p_name"), F.lower(F.col("p_type"))).alias("description"),
                          F.array(F.col("p_name"), F.col("p_type")).alias("modules_implemented"),

@@ -220,8 +220,8 @@ def flag_freq_select(src: str, top: int = 10) -> str:
 PARTNER_VIEW = """
 pr AS (
   SELECT l_orderkey, list({'client_name': p_type, 'description': p_name || ' ' || lower(p_type),
-           'modules': [p_name, p_type], 'outcomes': format('qty {:.0f}', l_quantity), 'pos': l_linenumber}
-           ORDER BY l_linenumber) AS refs
+           'modules': [p_name, p_type], 'outcomes': format('qty {:.0f}', l_quantity)}
+           ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS refs
   FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R' GROUP BY l_orderkey),
 pt AS (
   SELECT o_orderkey, c_name, CASE o_orderpriority WHEN '1-URGENT' THEN 'Gold' WHEN '2-HIGH' THEN 'Silver'
@@ -243,7 +243,7 @@ INDUSTRY_CASE = ("CASE WHEN contains(lower({x}), 'manufacturing') THEN 'Manufact
 
 FLAT_VIEW = PARTNER_VIEW + """,
 fl_ref AS (
-  SELECT pt.*, unnest(refs) AS rf FROM pt WHERE coalesce(len(refs), 0) > 0),
+  SELECT pt.*, unnest(refs) AS rf, unnest(range(len(refs))) AS pos FROM pt WHERE coalesce(len(refs), 0) > 0),
 flat AS (
   SELECT coalesce(c_name, 'Unknown') AS "Partner Name", tier AS "Partner Tier",
     coalesce(rf.client_name, 'Unknown') AS "Client Name",
@@ -252,7 +252,7 @@ flat AS (
     coalesce(rf.description, '') AS "Project Description", website AS "Partner Website", city AS "Partner City",
     partner_id AS "Partner ID", avg_size AS "Avg Project Size", large_size AS "Large Project Size",
     experts AS "Certified Experts", ref_count AS "Total References Listed", certs AS "Certifications",
-    o_orderkey AS p, rf.pos AS pos
+    o_orderkey AS p, pos
   FROM fl_ref
   UNION ALL
   SELECT coalesce(c_name, 'Unknown'), tier, 'N/A', 'N/A', '', '', '', website, city, partner_id, avg_size,
