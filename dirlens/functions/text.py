@@ -11,13 +11,14 @@ def _c(c) -> Column:
 
 
 def bigrams(c) -> Column:
-    """Distinct character bigrams of a string; empty array below 2 characters."""
+    """Distinct character bigrams of a string; empty array below 2 characters.
+
+    One linear regex pass: a zero-width lookahead captures the two characters
+    at every position (indexing with substr would be quadratic on long texts).
+    """
     s = _c(c)
-    n = F.length(s)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-                        lambda i: s.substr(i, F.lit(2)))
-    return F.when(F.coalesce(n, F.lit(0)) >= 2, F.array_distinct(grams)).otherwise(
-        F.array().cast("array<string>"))
+    grams = F.regexp_extract_all(s, F.lit(r"(?s)(?=(..))"), 1)
+    return F.coalesce(F.array_distinct(grams), F.array().cast("array<string>"))
 
 
 def bigram_jaccard(a, b) -> Column:

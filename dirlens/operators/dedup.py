@@ -60,9 +60,11 @@ def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85,
 
     Returns (src, dst, sim, src_k, dst_k) with src = the earlier key's first seq.
     """
+    checkpoint_dir(df.sparkSession)
     names = df if keys_ready else _distinct_keys(df, key, seq)
     grams = names.select("seq", "k", bigrams(F.col("k")).alias("g"))
     grams = grams.select("seq", "k", "g", F.size("g").alias("n")).where(F.col("n") > 0)
+    grams = grams.checkpoint(eager=True)   # read three times below; computed once
     tok = grams.select("seq", "n", F.explode("g").alias("tok"))
     freq = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     ranked = tok.join(freq, "tok")
@@ -115,7 +117,7 @@ def greedy_dropped(edges: DataFrame, max_rounds: int | None = None) -> tuple[Dat
         dropped = drop_now if dropped is None else _ckpt(dropped.unionByName(drop_now))
     log.info("fuzzy dedup converged in %d rounds", rounds)
     if dropped is None:
-        dropped = spark.createDataFrame([], "node bigint")
+        dropped = edges.select(F.col("src").alias("node")).limit(0)
     return dropped, rounds
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import Dictionary, KeywordRules, QualityRules
 from ..functions import classify as K
@@ -628,3 +629,93 @@ def x4_tier(spark, d):
 @q("x5_coverage")
 def x5_cov(spark, d):
     return A.coverage_split(partner_view(spark, d), "reference_count_listed")
+
+
+# ---------------------------------------------------------------- sources / sinks
+def _scratch(spark, name):
+    from ..session import scratch_path
+    return scratch_path(spark, name)
+
+
+@q("s01_envelope_roundtrip")
+def s01(spark, d):
+    from ..sources import io
+    cust = table(spark, d, "customer")
+    path = _scratch(spark, "envelope")
+    io.write_envelope(cust, path, "providers", {"country_code": "XX"}, rows_per_file=500)
+    return io.read_envelope(spark, path, "providers", cust.schema).drop("seq")
+
+
+@q("s02_mixed_roundtrip")
+def s02(spark, d):
+    from ..sources import io
+    sup = table(spark, d, "supplier")
+    path = _scratch(spark, "mixed")
+    io.write_envelope(sup.where(F.col("s_acctbal") >= 5000), path + "/env", "partners", rows_per_file=40)
+    io.write_lists(sup.where(~(F.col("s_acctbal") >= 5000)), path + "/lists", rows_per_file=40)
+    spark.createDataFrame([("{not json",)], "value string").write.mode("overwrite").text(path + "/bad")
+    good, bad = io.read_mixed(spark, path, "partners", sup.schema, with_quarantine=True)
+    return good.drop("seq")
+
+
+@q("s04_csv_roundtrip")
+def s04(spark, d):
+    from ..sources import io
+    p = table(spark, d, "part")
+    path = _scratch(spark, "csv")
+    p.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return io.read_table(spark, path, p.schema)
+
+
+@q("k01_flat_csv")
+def k01(spark, d):
+    from ..sources import io
+    p = table(spark, d, "part")
+    g = p.groupBy("p_brand").agg(F.sort_array(F.collect_list("p_name")).alias("names"))
+    path = _scratch(spark, "flatcsv")
+    io.to_flat_csv(g, path)
+    return io.read_table(spark, path, T.StructType([T.StructField("p_brand", T.StringType()),
+                                                    T.StructField("names", T.StringType())]))
+
+
+@q("k02_json_roundtrip")
+def k02(spark, d):
+    from ..sources import io
+    o = table(spark, d, "orders")
+    path = _scratch(spark, "json")
+    io.write_json(o, path)
+    back = spark.read.schema(o.schema).json(path)
+    return back.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                       F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority")
+
+
+@q("k03_run_metrics")
+def k03(spark, d):
+    docs = table(spark, d, "documents")
+    good = docs.where(F.col("text").isNotNull() & (F.col("n_chars") == F.length("text"))
+                      & (F.col("n_chars") >= QUARANTINE_MIN_CHARS))
+    unique = good.select("text").distinct()
+    return X.run_metrics(docs, good, unique)
+
+
+@q("k06_partitioned_roundtrip")
+def k06(spark, d):
+    from ..sources import io
+    c = table(spark, d, "customer")
+    path = _scratch(spark, "partitioned")
+    io.write_partitioned(c, path, ["c_mktsegment"])
+    return spark.read.parquet(path).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@q("j02_dictionary_join")
+def j02(spark, d):
+    from ..sources import io
+    keys = io.dictionary_frames(spark)["country_keys"]
+    v = provider_view(spark, d).select("provider_id", "country")
+    return io.normalize_country_join(v, "country", keys)
+
+
+@q("d04_dedup_documents")
+def d04d(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", F.col("doc_id").alias("seq"))
+    return D.dedup_fuzzy(docs, "text", "seq", 0.85).select("doc_id")

@@ -546,6 +546,20 @@ SELECT lang, rank::BIGINT AS rank, term FROM (
     S["x5_coverage"] = ("WITH " + PARTNER_VIEW + " SELECT 'With References' AS category, "
                         "count_if(coalesce(TRY_CAST(ref_count AS DOUBLE), 0) > 0) AS count FROM pt UNION ALL "
                         "SELECT 'No References', count_if(NOT (coalesce(TRY_CAST(ref_count AS DOUBLE), 0) > 0)) FROM pt")
+    # sources / sinks round trips: the rows that went in must come back
+    S["s01_envelope_roundtrip"] = "SELECT * FROM customer"
+    S["s02_mixed_roundtrip"] = "SELECT * FROM supplier"
+    S["s04_csv_roundtrip"] = "SELECT * FROM part"
+    S["k01_flat_csv"] = ("SELECT p_brand, array_to_string(list_sort(list(p_name)), '; ') AS names FROM part "
+                         "GROUP BY p_brand")
+    S["k02_json_roundtrip"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+                               "strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders")
+    S["k03_run_metrics"] = ("WITH g AS (SELECT * FROM documents WHERE text IS NOT NULL AND n_chars = length(text) "
+                            "AND n_chars >= 200) SELECT (SELECT count(*) FROM documents)::BIGINT AS original_count, "
+                            "(SELECT count(*) FROM g)::BIGINT AS cleaned_count, "
+                            "(SELECT count(DISTINCT text) FROM g)::BIGINT AS unique_count")
+    S["k06_partitioned_roundtrip"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+    S["j02_dictionary_join"] = "WITH " + PROVIDER_VIEW + f" SELECT provider_id, {country('country')} AS country FROM pv"
     # recursive CTEs need the RECURSIVE keyword on the outer WITH
     for k, v in list(S.items()):
         if "_walk" in v and not v.lstrip().startswith("WITH RECURSIVE"):
