@@ -54,36 +54,80 @@ def _distinct_keys(df: DataFrame, key: str, seq: str) -> DataFrame:
             .groupBy("k").agg(F.min("seq").alias("seq")))
 
 
+DENSE_TOKENS = 4096   # most frequent tokens kept as a bitset (64 longs) per key
+
+
+def token_vectors(names: DataFrame, dense_tokens: int = DENSE_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """Distinct bigrams of every key as (a) ids in a global rarest-last order and
+    (b) an exact compact set: bitset over the most frequent tokens + sorted ids
+    of the rest.
+
+    Returns (ids(seq, n, ids desc-sorted), vectors(seq, n, bits, rare)). Token ids
+    come from a distributed sort of the vocabulary (most frequent first).
+    """
+    spark = names.sparkSession
+    grams = (names.select("seq", bigrams(F.col("k")).alias("g"))
+             .select("seq", "g", F.size("g").alias("n")).where(F.col("n") > 0))
+    grams = grams.checkpoint(eager=True)
+    tok = grams.select("seq", F.explode("g").alias("tok"))
+    freq = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    ordered = freq.orderBy(F.desc("df"), F.asc("tok"))
+    vocab = spark.createDataFrame(
+        ordered.rdd.zipWithIndex().map(lambda r: (r[0]["tok"], int(r[1]))), "tok string, id bigint")
+    vocab = vocab.checkpoint(eager=True)
+    v = vocab.count()
+    words = max(1, min((v + 63) // 64, (dense_tokens + 63) // 64))
+    limit = words * 64
+    tid = tok.join(vocab, "tok").select("seq", "id")
+    ids = (tid.groupBy("seq").agg(F.sort_array(F.collect_list("id"), asc=False).alias("ids"))
+           .select("seq", F.size("ids").alias("n"), "ids"))
+    ids = ids.checkpoint(eager=True)
+    dense = (tid.where(F.col("id") < limit)
+             .groupBy("seq", (F.col("id") / 64).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), CAST(id % 64 AS INT))")).alias("b"))
+             .groupBy("seq").agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m")))
+    vec = (ids.join(dense, "seq", "left")
+           .select("seq", "n",
+                   F.transform(F.sequence(F.lit(0), F.lit(words - 1)),
+                               lambda w: F.coalesce(F.try_element_at(F.col("m"), w), F.lit(0).cast("bigint")))
+                   .alias("bits"),
+                   F.filter("ids", lambda i: i >= limit).alias("rare")))
+    return ids, vec.checkpoint(eager=True)
+
+
 def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85,
                   keys_ready: bool = False) -> DataFrame:
-    """D3: all pairs of distinct lower-cased keys with bigram Jaccard >= t.
+    """D3: all pairs of distinct lower-cased keys with bigram Jaccard >= t (exact).
 
-    Returns (src, dst, sim, src_k, dst_k) with src = the earlier key's first seq.
+    Candidates: keys sharing a token among their ``n - ceil(t*n) + 1`` rarest
+    tokens (prefix filter) with compatible sizes (length filter). Verification:
+    overlap = popcount(bits_a & bits_b) + |rare_a ∩ rare_b|, Jaccard =
+    overlap / (n_a + n_b - overlap). Returns (src, dst, sim, src_k, dst_k), src
+    being the earlier key's first seq.
     """
     checkpoint_dir(df.sparkSession)
     names = df if keys_ready else _distinct_keys(df, key, seq)
-    grams = names.select("seq", "k", bigrams(F.col("k")).alias("g"))
-    grams = grams.select("seq", "k", "g", F.size("g").alias("n")).where(F.col("n") > 0)
-    grams = grams.checkpoint(eager=True)   # read three times below; computed once
-    tok = grams.select("seq", "n", F.explode("g").alias("tok"))
-    freq = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tok.join(freq, "tok")
-    w = Window.partitionBy("seq").orderBy(F.col("df"), F.col("tok"))
-    prefix = (ranked.withColumn("r", F.row_number().over(w))
-              .where(F.col("r") <= _prefix_len(F.col("n"), t))
-              .select("tok", "seq", "n"))
+    ids, vec = token_vectors(names)
+    prefix = ids.select("seq", "n", F.explode(F.slice("ids", 1, _prefix_len(F.col("n"), t))).alias("tok"))
     a, b = prefix.alias("a"), prefix.alias("b")
     cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.seq") < F.col("b.seq")))
             .where((F.col("a.n") >= F.lit(t) * F.col("b.n")) & (F.col("b.n") >= F.lit(t) * F.col("a.n")))
             .select(F.col("a.seq").alias("src"), F.col("b.seq").alias("dst"))
             .distinct())
-    g1 = grams.select(F.col("seq").alias("src"), F.col("k").alias("src_k"), F.col("g").alias("g1"))
-    g2 = grams.select(F.col("seq").alias("dst"), F.col("k").alias("dst_k"), F.col("g").alias("g2"))
-    inter = F.size(F.array_intersect("g1", "g2")).cast("double")
-    union = F.size(F.array_union("g1", "g2")).cast("double")
-    return (cand.join(g1, "src").join(g2, "dst")
-            .select("src", "dst", (inter / union).alias("sim"), "src_k", "dst_k")
-            .where(F.col("sim") >= F.lit(float(t))))
+    v1 = vec.select(F.col("seq").alias("src"), F.col("n").alias("n1"), F.col("bits").alias("b1"),
+                    F.col("rare").alias("r1"))
+    v2 = vec.select(F.col("seq").alias("dst"), F.col("n").alias("n2"), F.col("bits").alias("b2"),
+                    F.col("rare").alias("r2"))
+    overlap = (F.aggregate(F.zip_with("b1", "b2", lambda x, y: F.bit_count(x.bitwiseAND(y)).cast("int")),
+                           F.lit(0), lambda acc, x: acc + x)
+               + F.size(F.array_intersect("r1", "r2")))
+    pairs = (cand.join(v1, "src").join(v2, "dst")
+             .select("src", "dst", overlap.cast("double").alias("o"), "n1", "n2")
+             .select("src", "dst", (F.col("o") / (F.col("n1") + F.col("n2") - F.col("o"))).alias("sim"))
+             .where(F.col("sim") >= F.lit(float(t))))
+    k1 = names.select(F.col("seq").alias("src"), F.col("k").alias("src_k"))
+    k2 = names.select(F.col("seq").alias("dst"), F.col("k").alias("dst_k"))
+    return pairs.join(k1, "src").join(k2, "dst").select("src", "dst", "sim", "src_k", "dst_k")
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
