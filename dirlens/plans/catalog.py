@@ -719,3 +719,124 @@ def j02(spark, d):
 def d04d(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", F.col("doc_id").alias("seq"))
     return D.dedup_fuzzy(docs, "text", "seq", 0.85).select("doc_id")
+
+
+# ---------------------------------------------------------------- streaming, more sources/sinks
+@q("st01_stream_last_wins")
+def st01(spark, d):
+    from ..session import scratch_path
+    from ..streaming.ingest import stream_last_wins
+    ev = table(spark, d, "events")
+    out = stream_last_wins(spark, d, ev.schema, ["user_id", "event_type"], "event_id",
+                           scratch_path(spark, "stream"), file_glob="events.parquet")
+    return out.select("user_id", "event_type", "value", F.col("event_id").alias("seq"))
+
+
+@q("s03_lists_only")
+def s03(spark, d):
+    from ..sources import io
+    p = table(spark, d, "part")
+    path = _scratch(spark, "lists")
+    io.write_lists(p.where(F.col("p_size") <= 25), path + "/lists", rows_per_file=300)
+    io.write_envelope(p.where(F.col("p_size") > 25), path + "/env", "gigs", rows_per_file=300)
+    good, rejected = io.read_lists(spark, path, p.schema)
+    return good.drop("seq")
+
+
+@q("s05_latest_file")
+def s05(spark, d):
+    import time
+    from ..sources import io
+    o = table(spark, d, "orders")
+    path = _scratch(spark, "latest")
+    o.where(F.col("o_orderstatus") != "F").coalesce(1).write.mode("overwrite").parquet(path + "/run1")
+    time.sleep(1.5)
+    o.where(F.col("o_orderstatus") == "F").coalesce(1).write.mode("overwrite").parquet(path + "/run2")
+    back = spark.read.option("recursiveFileLookup", True).schema(o.schema).parquet(path)
+    return io.latest_file(back).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@q("k04_flat_clients_csv")
+def k04(spark, d):
+    from ..schemas import FLAT_CLIENT_COLUMNS
+    from ..sources import io
+    flat = io.export_columns(N.flatten_dedup_sort(partner_view(spark, d)), FLAT_CLIENT_COLUMNS)
+    path = _scratch(spark, "clients")
+    io.to_flat_csv(flat, path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in FLAT_CLIENT_COLUMNS])
+    return io.read_table(spark, path, schema).na.fill("")
+
+
+@q("k05_gig_csv")
+def k05(spark, d):
+    from ..sources import io
+    gigs = _gigs(spark, d).withColumn("price_numeric", C.price_token(F.col("price")))
+    cols = ["title", "seller_name", "price", "link", "price_numeric"]
+    path = _scratch(spark, "gigs")
+    io.to_flat_csv(io.export_columns(gigs, cols), path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+    back = io.read_table(spark, path, schema).na.fill("")
+    return back.select(F.col("link"), F.length("title").cast("bigint").alias("title_len"), "seller_name",
+                       "price", "price_numeric")
+
+
+@q("k07_report_tables")
+def k07(spark, d):
+    from ..sources import io
+    out = _x1(spark, d)
+    path = _scratch(spark, "report")
+    io.write_report({"report": out["report"], "issues": out["issues"]}, path)
+    return spark.read.parquet(path + "/report")
+
+
+@q("x2_clean_dedup")
+def x2(spark, d):
+    _, unique = X.clean_and_dedup(provider_view(spark, d))
+    return _flat_provider(unique)
+
+
+@q("q05_empty_report")
+def q05(spark, d):
+    return Q.quality_report(_scored(spark, d).where(F.col("country") == "ZZ"))
+
+
+@q("h07_next_page")
+def h07(spark, d):
+    return H.next_page_links(table(spark, d, "pages"), "a[rel='next']")
+
+
+@q("h09_collect_target")
+def h09(spark, d):
+    from ..config import DEFAULT_TARGETS
+    pages = table(spark, d, "pages")
+    target = dict(DEFAULT_TARGETS["bangladesh"])
+    target["listing"] = {"provider_link": "nav a", "next_page": "a.next-page"}
+    target["detail"] = {"name": "h1", "description": "article", "services": "nav li"}
+    starts = pages.select(F.col("url").alias("start_url"))
+    recs = H.collect_target(pages, target, starts)
+    return recs.select("seq", "name", "country")
+
+
+def _partner_clients(spark, d):
+    flat = N.flatten_dedup_sort(partner_view(spark, d))
+    return flat.where(F.col("Client Name") != "N/A")
+
+
+@q("x4_avg_clients_per_tier")
+def x4_avg(spark, d):
+    partners = partner_view(spark, d).select(F.col("partner_id").alias("Partner ID"), F.col("tier").alias("Partner Tier"))
+    joined = A.left_join_counts(partners, _partner_clients(spark, d), "Partner ID", "Partner ID", "client_count")
+    return A.avg_by(joined, "Partner Tier", "client_count", "avg_clients")
+
+
+@q("x4_top_countries")
+def x4_countries(spark, d):
+    return A.top_values(partner_view(spark, d), "city", 10)
+
+
+@q("x4_grand_kpis")
+def x4_kpis(spark, d):
+    partners = partner_view(spark, d)
+    clients = _partner_clients(spark, d)
+    return A.grand_kpis(partners, clients, "city", C.sum_matches(F.col("certified_experts")),
+                        C.first_int(F.col("Avg Project Size"))).drop("pos")

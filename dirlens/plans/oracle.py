@@ -203,8 +203,9 @@ def report_select(src: str) -> str:
         return f"(sum(CAST(round({c} * 100) AS BIGINT))::DOUBLE / (count({c})::DOUBLE * 100.0::DOUBLE))"
 
     def bands(c, p):
-        return (f"count_if({c} > 0.8) AS {p}_high, count_if({c} >= 0.5 AND {c} <= 0.8) AS {p}_medium, "
-                f"count_if({c} < 0.5) AS {p}_low")
+        return (f"coalesce(count_if({c} > 0.8), 0) AS {p}_high, "
+                f"coalesce(count_if({c} >= 0.5 AND {c} <= 0.8), 0) AS {p}_medium, "
+                f"coalesce(count_if({c} < 0.5), 0) AS {p}_low")
     return (f"SELECT count(*)::BIGINT AS total_providers, "
             f"{r(avg2('data_completeness_score'), 3)} AS average_completeness, "
             f"{r(avg2('data_quality_score'), 3)} AS average_quality, "
@@ -560,6 +561,37 @@ SELECT lang, rank::BIGINT AS rank, term FROM (
                             "(SELECT count(DISTINCT text) FROM g)::BIGINT AS unique_count")
     S["k06_partitioned_roundtrip"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
     S["j02_dictionary_join"] = "WITH " + PROVIDER_VIEW + f" SELECT provider_id, {country('country')} AS country FROM pv"
+    S["st01_stream_last_wins"] = S["d01_last_wins"]
+    S["s03_lists_only"] = "SELECT * FROM part WHERE p_size <= 25"
+    S["s05_latest_file"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'"
+    S["k04_flat_clients_csv"] = S["n02_flatten_dedup_sort"]
+    S["k05_gig_csv"] = ("SELECT 'https://gigs.example.com/' || CAST(doc_id AS VARCHAR) AS link, length(text)::BIGINT AS title_len, "
+                        "coalesce(source, '') AS seller_name, 'From $' || format('{:,}', n_chars) AS price, "
+                        "regexp_extract('From $' || format('{:,}', n_chars), '([0-9]+)', 1) AS price_numeric FROM documents")
+    S["k07_report_tables"] = S["x1_report"]
+    S["x2_clean_dedup"] = (W + "," + greedy_view("cl", "name", "seq", 0.85, "g") + """
+SELECT provider_id, name, country, location, tier, website, length(description)::BIGINT AS description_len,
+  array_to_string(services, '|') AS services, len(client_references)::BIGINT AS n_references, source_url FROM g_rows""")
+    S["q05_empty_report"] = SC + " " + report_select("(SELECT * FROM sc WHERE country = 'ZZ')")
+    S["x4_avg_clients_per_tier"] = ("WITH " + FLAT_VIEW + ", cc AS (SELECT \"Partner ID\" AS k, count(*) AS n FROM flat_last "
+                                    "WHERE \"Client Name\" <> 'N/A' GROUP BY 1) SELECT tier AS \"Partner Tier\", "
+                                    + r("avg(coalesce(n, 0))", 6) + " AS avg_clients FROM pt LEFT JOIN cc ON partner_id = cc.k "
+                                    "WHERE tier IS NOT NULL GROUP BY tier")
+    S["x4_top_countries"] = ("WITH " + PARTNER_VIEW + " SELECT city, count(*)::BIGINT AS count FROM pt WHERE city IS NOT NULL "
+                             "GROUP BY 1 ORDER BY count DESC, city LIMIT 10")
+    kp4 = """
+kp AS (SELECT
+  (SELECT count(*) FROM pt) AS partners,
+  (SELECT count(*) FROM flat_last WHERE "Client Name" <> 'N/A') AS clients,
+  (SELECT count(DISTINCT city) FROM pt) AS countries,
+  (SELECT sum(coalesce(list_sum(list_transform(regexp_extract_all(experts, '([0-9]+)\\s+Certified', 1),
+      lambda x: CAST(x AS BIGINT))), 0)) FROM pt) AS experts,
+  (SELECT avg(CASE WHEN v > 0 THEN v END) FROM (SELECT coalesce(TRY_CAST(nullif(regexp_extract("Avg Project Size",
+      '([0-9]+)', 1), '') AS BIGINT), 0) AS v FROM flat_last WHERE "Client Name" <> 'N/A')) AS retention)"""
+    mv = kp[kp.index("mv AS"):]
+    S["x4_grand_kpis"] = ("WITH " + FLAT_VIEW + "," + kp4 + ",\n" + mv + f" SELECT metric, {r('value', 6)} AS value, "
+                          "CASE WHEN metric = 'Avg Client Retention' THEN format('{:.1f}', value * 100) || '%' ELSE "
+                          f"{_fmt_kpi('value')} END AS display FROM mv")
     # recursive CTEs need the RECURSIVE keyword on the outer WITH
     for k, v in list(S.items()):
         if "_walk" in v and not v.lstrip().startswith("WITH RECURSIVE"):

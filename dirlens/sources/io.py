@@ -32,42 +32,49 @@ def read_envelope(spark: SparkSession, path: str, field: str, record: T.StructTy
     return rows.select("__rec.*", F.struct(F.col("__file").alias("file"), F.col("__pos").alias("pos")).alias("seq"))
 
 
+def _whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file (path, text); a file is parsed whole, as a multi-line JSON reader would."""
+    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+            .select(F.col("_metadata.file_path").alias("file"), F.col("value")))
+
+
 def read_mixed(spark: SparkSession, path: str, field: str, record: T.StructType,
                with_quarantine: bool = False):
-    """Files that are either an envelope or a bare list of records; concatenated.
-    Unreadable files land in a quarantine frame (file, raw text) instead of failing.
+    """Files that are either an envelope ``{..., field: [records]}`` or a bare
+    list of records; concatenated with seq = (file, position). Unreadable files
+    land in a quarantine frame (file, text) instead of failing the job.
 
-    One scan with a superset schema: a bare-list file yields one row per
-    element (record columns filled), an envelope yields one row with
-    ``field`` filled, a broken file fills ``_corrupt_record``.
+    The JSON shape is decided per file by its first non-blank character, then the
+    text is parsed with ``from_json`` against the explicit schema.
     """
-    sup = T.StructType(list(record.fields) + [
-        T.StructField(field, T.ArrayType(record)), T.StructField("_corrupt_record", T.StringType())])
-    raw = (spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").schema(sup).json(path)
-           .select("*", F.col("_metadata.file_path").alias("__file"),
-                   F.monotonically_increasing_id().alias("__mid")))
-    raw = raw.checkpoint(eager=True)   # corrupt-record queries need a materialized scan
-    names = [f.name for f in record.fields]
-    from_env = (raw.where(F.col(field).isNotNull())
-                .select("__file", F.posexplode(F.col(field)).alias("__pos", "__rec"))
-                .select("__rec.*", F.struct(F.col("__file").alias("file"), F.col("__pos").alias("pos")).alias("seq")))
-    is_rec = F.col(field).isNull() & F.col("_corrupt_record").isNull()
-    # a multi-line JSON file is read by one task in order, so __mid orders its elements
-    w = F.row_number().over(Window.partitionBy("__file").orderBy("__mid")) - 1
-    from_list = (raw.where(is_rec).select(*names, "__file", w.alias("__pos"))
-                 .select(*names, F.struct(F.col("__file").alias("file"), F.col("__pos").alias("pos")).alias("seq")))
-    good = from_env.unionByName(from_list)
+    files = _whole_files(spark, path)
+    first = F.substring(F.ltrim(F.col("value")), 1, 1)
+    as_list = F.from_json(F.col("value"), T.ArrayType(record))
+    as_env = F.from_json(F.col("value"), T.StructType([T.StructField(field, T.ArrayType(record))]))[field]
+    recs = F.when(first == "[", as_list).when(first == "{", as_env)
+    parsed = files.select("file", "value", recs.alias("recs"))
+    good = (parsed.where(F.col("recs").isNotNull())
+            .select("file", F.posexplode("recs").alias("pos", "rec"))
+            .select("rec.*", F.struct("file", "pos").alias("seq")))
     if not with_quarantine:
         return good
-    bad = raw.where(F.col("_corrupt_record").isNotNull()).select(F.col("__file").alias("file"), "_corrupt_record")
+    bad = parsed.where(F.col("recs").isNull()).select("file", F.col("value").alias("_corrupt_record"))
     return good, bad
 
 
 def read_lists(spark: SparkSession, path: str, record: T.StructType):
-    """S3: bare-list JSON files only; object files are rejected to a quarantine frame."""
-    good, bad = read_mixed(spark, path, "__envelope_field", record, with_quarantine=True)
-    return good, bad
+    """S3: bare-list JSON files only; files holding anything else (objects, broken
+    text) are returned in a rejected frame with a reason."""
+    files = _whole_files(spark, path)
+    first = F.substring(F.ltrim(F.col("value")), 1, 1)
+    recs = F.when(first == "[", F.from_json(F.col("value"), T.ArrayType(record)))
+    parsed = files.select("file", "value", recs.alias("recs"))
+    good = (parsed.where(F.col("recs").isNotNull())
+            .select("file", F.posexplode("recs").alias("pos", "rec"))
+            .select("rec.*", F.struct("file", "pos").alias("seq")))
+    rejected = parsed.where(F.col("recs").isNull()).select(
+        "file", F.when(first == "[", F.lit("unreadable")).otherwise(F.lit("not a list")).alias("reason"))
+    return good, rejected
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
