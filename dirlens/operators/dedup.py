@@ -46,6 +46,15 @@ def _prefix_len(n: Column, t: float) -> Column:
     return (n - F.ceil(td * n.cast("decimal(18,0)")).cast("int") + 1).cast("int")
 
 
+def _mid_prefix_len(n: Column, t: float) -> Column:
+    # n - ceil(2t*n/(1+t)) + 1: enough for the SMALLER set of a pair (overlap of a
+    # pair with |x| <= |y| and Jaccard >= t is at least 2t/(1+t)*|x|). Exact decimals.
+    td = Decimal(str(t))
+    num = F.lit(2 * td).cast("decimal(12,9)") * n.cast("decimal(18,0)")
+    need = F.ceil(num / F.lit(1 + td).cast("decimal(12,9)")).cast("int")
+    return (n - need + 1).cast("int")
+
+
 def _distinct_keys(df: DataFrame, key: str, seq: str) -> DataFrame:
     """Lower-cased non-empty keys, one row each, at their first ``seq``."""
     k = F.lower(F.col(key))
@@ -99,8 +108,9 @@ def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85,
                   keys_ready: bool = False) -> DataFrame:
     """D3: all pairs of distinct lower-cased keys with bigram Jaccard >= t (exact).
 
-    Candidates: keys sharing a token among their ``n - ceil(t*n) + 1`` rarest
-    tokens (prefix filter) with compatible sizes (length filter). Verification:
+    Candidates (AllPairs-style prefix filter): the smaller key's ``n - ceil(2tn/(1+t)) + 1``
+    rarest tokens against the larger key's ``n - ceil(t*n) + 1`` rarest tokens, sizes
+    within a factor t (length filter). Verification:
     overlap = popcount(bits_a & bits_b) + |rare_a ∩ rare_b|, Jaccard =
     overlap / (n_a + n_b - overlap). Returns (src, dst, sim, src_k, dst_k), src
     being the earlier key's first seq.
@@ -108,11 +118,15 @@ def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85,
     checkpoint_dir(df.sparkSession)
     names = df if keys_ready else _distinct_keys(df, key, seq)
     ids, vec = token_vectors(names)
-    prefix = ids.select("seq", "n", F.explode(F.slice("ids", 1, _prefix_len(F.col("n"), t))).alias("tok"))
-    a, b = prefix.alias("a"), prefix.alias("b")
-    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.seq") < F.col("b.seq")))
-            .where((F.col("a.n") >= F.lit(t) * F.col("b.n")) & (F.col("b.n") >= F.lit(t) * F.col("a.n")))
-            .select(F.col("a.seq").alias("src"), F.col("b.seq").alias("dst"))
+    # index side: the smaller set of a pair with its mid-prefix; probe side: the
+    # larger set with the full prefix (AllPairs); equal sizes are tried both ways.
+    index = ids.select("seq", "n", F.explode(F.slice("ids", 1, _mid_prefix_len(F.col("n"), t))).alias("tok"))
+    probe = ids.select("seq", "n", F.explode(F.slice("ids", 1, _prefix_len(F.col("n"), t))).alias("tok"))
+    a, b = index.alias("a"), probe.alias("b")
+    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.seq") != F.col("b.seq"))
+                   & (F.col("a.n") <= F.col("b.n")))
+            .where(F.col("a.n") >= F.lit(t) * F.col("b.n"))
+            .select(F.least("a.seq", "b.seq").alias("src"), F.greatest("a.seq", "b.seq").alias("dst"))
             .distinct())
     v1 = vec.select(F.col("seq").alias("src"), F.col("n").alias("n1"), F.col("bits").alias("b1"),
                     F.col("rare").alias("r1"))

@@ -216,3 +216,10 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     """J5 / Q7 foreign key: child rows whose key has no parent (left anti join)."""
     p = parent.select(F.col(parent_key).alias("__pk")).distinct()
     return child.join(p, child[child_key] == p["__pk"], "left_anti")
+
+
+def split_quarantine(df: DataFrame, rule: Column, reason: str = "rule") -> tuple[DataFrame, DataFrame]:
+    """rows passing ``rule`` and the rejected rest (with a reason), one scan each;
+    NULL rule results count as failures. Persist ``df`` first if it is expensive."""
+    ok = F.coalesce(rule, F.lit(False))
+    return df.where(ok), df.where(~ok).withColumn("quarantine_reason", F.lit(reason))

@@ -224,8 +224,10 @@ QUARANTINE_MIN_CHARS = 200
 @q("f01_quarantine")
 def f01(spark, d):
     docs = table(spark, d, "documents")
-    good = F.col("text").isNotNull() & (F.col("n_chars") == F.length("text")) & (F.col("n_chars") >= QUARANTINE_MIN_CHARS)
-    return docs.select("doc_id", F.when(good, F.lit("good")).otherwise(F.lit("quarantine")).alias("status"))
+    rule = F.col("text").isNotNull() & (F.col("n_chars") == F.length("text")) & (F.col("n_chars") >= QUARANTINE_MIN_CHARS)
+    good, bad = Q.split_quarantine(docs, rule, "short or inconsistent text")
+    return (good.select("doc_id", F.lit("good").alias("status"))
+            .unionByName(bad.select("doc_id", F.lit("quarantine").alias("status"))))
 
 
 @q("f02_positive_mean")

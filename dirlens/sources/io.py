@@ -183,3 +183,8 @@ def export_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """K4/K5: fixed output columns in declared order; missing -> '' (explicit select)."""
     return df.select([F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns
                       else F.lit("").alias(c) for c in columns])
+
+
+def stamp(df: DataFrame, name: str = "generated_at") -> DataFrame:
+    """Output timestamp, added at the sink only (never inside a compared query)."""
+    return df.withColumn(name, F.current_timestamp())
