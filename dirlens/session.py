@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # page HTML can be large: keep Arrow batches to the Python workers small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
