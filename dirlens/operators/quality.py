@@ -187,16 +187,17 @@ def flag_frequency(scored: DataFrame, top: int = 10) -> DataFrame:
 
 
 def flag_share(scored: DataFrame, top: int = 10) -> DataFrame:
-    """Top flags with their share of all providers in percent (1 decimal)."""
-    total = scored.agg(F.count(F.lit(1)).alias("total"))
-    return (flag_frequency(scored, top).crossJoin(F.broadcast(total))
-            .select("flag", "providers",
-                    round_half_up(F.col("providers") * 100.0 / F.col("total"), 1).alias("pct")))
+    """Top flags with their share of all providers in percent (1 decimal).
+    The total is one scalar count; persist ``scored`` upstream if it is costly."""
+    total = scored.count()   # one scalar
+    return flag_frequency(scored, top).select(
+        "flag", "providers",
+        round_half_up(F.col("providers") * 100.0 / F.lit(float(max(total, 1))), 1).alias("pct"))
 
 
 def check_constraints(df: DataFrame, not_null: list[str] = (), len2: list[str] = (),
                       unit_interval: list[str] = ()) -> DataFrame:
-    """Q7: one row of violation counts for declared column constraints."""
+    """Q7: one row of violation counts for declared column constraints (one scan)."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in not_null:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{c}"))
@@ -223,3 +224,19 @@ def split_quarantine(df: DataFrame, rule: Column, reason: str = "rule") -> tuple
     NULL rule results count as failures. Persist ``df`` first if it is expensive."""
     ok = F.coalesce(rule, F.lit(False))
     return df.where(ok), df.where(~ok).withColumn("quarantine_reason", F.lit(reason))
+
+
+def constraint_report(df: DataFrame, keys: list[str], parent: DataFrame, child_key: str, parent_key: str,
+                      not_null: list[str] = (), len2: list[str] = (),
+                      unit_interval: list[str] = ()) -> DataFrame:
+    """Q7 as (check, violations) rows: column rules, duplicate primary keys and
+    orphaned foreign keys; each check is its own aggregation, unioned."""
+    rows = check_constraints(df, not_null, len2, unit_interval)
+    cols = [c for c in rows.columns if c != "rows"]
+    col_checks = rows.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("check"), F.col(c).cast("bigint").alias("violations")) for c in cols])))
+    dup = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("dup_keys").alias("check"), "violations")
+    orph = orphans(df, parent, child_key, parent_key).agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("orphans").alias("check"), "violations")
+    return col_checks.unionByName(dup).unionByName(orph)

@@ -172,11 +172,15 @@ def client_kpis(clients: DataFrame, partner_id: str = "Partner ID") -> DataFrame
 def grand_kpis(partners: DataFrame, clients: DataFrame, country: str, experts: Column,
                retention: Column) -> DataFrame:
     """Partners, clients, countries, clients/partner, experts, avg positive retention/100,
-    as (metric, value, display) rows; each side is a one-row aggregate (no shuffle)."""
-    p = partners.agg(F.count(F.lit(1)).alias("partners"), F.countDistinct(country).alias("countries"),
-                     F.sum(experts).alias("experts"))
-    c = clients.agg(F.count(F.lit(1)).alias("clients"), positive_mean(retention).alias("retention"))
-    one = p.crossJoin(c).select(
+    as (metric, value, display) rows: both inputs are tagged, unioned and aggregated once."""
+    side = (partners.select(F.lit(True).alias("__p"), F.col(country).alias("__country"),
+                            experts.cast("double").alias("__experts"), F.lit(None).cast("double").alias("__ret"))
+            .unionByName(clients.select(F.lit(False).alias("__p"), F.lit(None).cast("string").alias("__country"),
+                                        F.lit(None).cast("double").alias("__experts"),
+                                        retention.cast("double").alias("__ret"))))
+    one = side.agg(F.count_if(F.col("__p")).alias("partners"), F.countDistinct("__country").alias("countries"),
+                   F.sum("__experts").alias("experts"), F.count_if(~F.col("__p")).alias("clients"),
+                   positive_mean(F.col("__ret")).alias("retention")).select(
         "partners", "clients", "countries",
         ratio("clients", "partners").alias("avg_clients"),
         F.col("experts").cast("double").alias("experts"),

@@ -58,11 +58,11 @@ def tfidf(df: DataFrame, doc: str, text: str, max_features: int = 1000,
     terms (bounded by the vocabulary).
     """
     tc = term_counts(df, doc, text, stop_words)
-    n_docs = df.agg(F.count(F.lit(1)).alias("n"))
+    n_docs = float(df.count())   # one scalar
     vocab = fit_vocab(tc, max_features).select("term", "df")
-    w = (tc.join(F.broadcast(vocab), "term").crossJoin(F.broadcast(n_docs))
+    w = (tc.join(F.broadcast(vocab), "term")
          .select("doc", "term",
-                 (F.col("tf") * (F.log((F.col("n") + 1.0) / (F.col("df") + 1.0)) + 1.0)).alias("w")))
+                 (F.col("tf") * (F.log(F.lit(n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0)).alias("w")))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc")))
     return w.select("doc", "term", round_half_up(F.col("w") / norm, digits).alias("weight"))
 

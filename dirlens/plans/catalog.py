@@ -381,11 +381,9 @@ def q06(spark, d):
 def q07(spark, d):
     o = table(spark, d, "orders")
     li = table(spark, d, "lineitem")
-    viol = Q.check_constraints(li, not_null=["l_orderkey", "l_returnflag"], len2=["l_returnflag"],
+    return Q.constraint_report(li, ["l_orderkey", "l_linenumber"], o, "l_orderkey", "o_orderkey",
+                               not_null=["l_orderkey", "l_returnflag"], len2=["l_returnflag"],
                                unit_interval=["l_discount", "l_tax"])
-    dup = Q.duplicate_keys(li, ["l_orderkey", "l_linenumber"]).agg(F.count(F.lit(1)).alias("dup_keys"))
-    orph = Q.orphans(li, o, "l_orderkey", "o_orderkey").agg(F.count(F.lit(1)).alias("orphans"))
-    return viol.crossJoin(dup).crossJoin(orph)
 
 
 @q("q08_url_pattern")
@@ -843,3 +841,21 @@ def x4_kpis(spark, d):
     clients = _partner_clients(spark, d)
     return A.grand_kpis(partners, clients, "city", C.sum_matches(F.col("certified_experts")),
                         C.first_int(F.col("Avg Project Size"))).drop("pos")
+
+
+@q("x3_clients_clean")
+def x3_clean(spark, d):
+    flat = N.flatten_dedup_sort(partner_view(spark, d))
+    return flat.select("Partner ID", "Client Name",
+                       C.first_int("Avg Project Size").alias("Project Size (Numeric)"),
+                       C.primary_value("Client Industry").alias("Primary Industry"),
+                       C.first_int("Large Project Size").alias("Retention (Numeric)"))
+
+
+@q("x4_partners_clean")
+def x4_clean(spark, d):
+    p = partner_view(spark, d)
+    return p.select(F.col("partner_id").alias("Partner ID"),
+                    C.to_number("reference_count_listed").alias("References Count"),
+                    C.to_number("certified_experts").alias("Certified Experts"),
+                    C.sum_matches(F.col("certified_experts")).alias("Experts (Parsed)"))

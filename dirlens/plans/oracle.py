@@ -277,7 +277,7 @@ st AS (SELECT term, sum(tf) AS cf, count(*) AS df FROM tc GROUP BY term),
 vocab AS (SELECT term, df FROM st ORDER BY cf DESC, term LIMIT 1000),
 nd AS (SELECT count(*) AS n FROM documents),
 tw AS (SELECT doc_id, term, tf::DOUBLE * (ln((n::DOUBLE + 1.0::DOUBLE) / (df::DOUBLE + 1.0::DOUBLE)) + 1.0::DOUBLE) AS w
-       FROM tc JOIN vocab USING (term) CROSS JOIN nd),
+       FROM tc JOIN vocab USING (term), nd),
 tfidf AS (SELECT doc_id, term, {r('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))', 6)} AS weight FROM tw)"""
 
 UNESCAPE = ("replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), "
@@ -436,20 +436,19 @@ UNION ALL SELECT 'Highest Price Gig', mx FROM one"""
 SELECT provider_id, CASE WHEN coalesce(name IS NOT NULL AND name <> '' AND location IS NOT NULL AND location <> ''
   AND website IS NOT NULL AND website <> '', false) THEN 1 ELSE 0 END AS ok FROM cl"""
     S["q07_constraints"] = """
-SELECT (SELECT count(*) FROM lineitem)::BIGINT AS "rows",
-  (SELECT count_if(l_orderkey IS NULL) FROM lineitem) AS null_l_orderkey,
-  (SELECT count_if(l_returnflag IS NULL) FROM lineitem) AS null_l_returnflag,
-  (SELECT count_if(length(l_returnflag) <> 2) FROM lineitem) AS len2_l_returnflag,
-  (SELECT count_if(l_discount < 0 OR l_discount > 1) FROM lineitem) AS range_l_discount,
-  (SELECT count_if(l_tax < 0 OR l_tax > 1) FROM lineitem) AS range_l_tax,
-  (SELECT count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1))::BIGINT AS dup_keys,
-  (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))::BIGINT AS orphans"""
+SELECT 'null_l_orderkey' AS "check", count_if(l_orderkey IS NULL) AS violations FROM lineitem
+UNION ALL SELECT 'null_l_returnflag', count_if(l_returnflag IS NULL) FROM lineitem
+UNION ALL SELECT 'len2_l_returnflag', count_if(length(l_returnflag) <> 2) FROM lineitem
+UNION ALL SELECT 'range_l_discount', count_if(l_discount < 0 OR l_discount > 1) FROM lineitem
+UNION ALL SELECT 'range_l_tax', count_if(l_tax < 0 OR l_tax > 1) FROM lineitem
+UNION ALL SELECT 'dup_keys', count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'orphans', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"""
     S["q08_url_pattern"] = "SELECT page_id, regexp_matches(url, '^https?://[^\\s]+$') AS url_ok FROM pages"
     # X1 and the report family
     X1 = W + "," + greedy_view("cl", "name", "seq", 0.85, "g") + "," + score_view("g_rows")
     S["x1_report"] = X1 + " " + report_select("sc")
     S["x1_issues"] = (X1 + ", ff AS (" + flag_freq_select("sc") + "), tot AS (SELECT count(*) AS total FROM sc) "
-                      f"SELECT flag, providers, {r('providers * 100.0::DOUBLE / total', 1)} AS pct FROM ff CROSS JOIN tot")
+                      f"SELECT flag, providers, {r('providers * 100.0::DOUBLE / total', 1)} AS pct FROM ff, tot")
     S["x1_scored"] = X1 + " SELECT provider_id, name, data_completeness_score, data_quality_score, flags FROM sc"
     S["x1_metrics"] = (X1 + " SELECT (SELECT count(*) FROM pv)::BIGINT AS original_count, (SELECT count(*) FROM cl)::BIGINT "
                        "AS cleaned_count, (SELECT count(*) FROM g_rows)::BIGINT AS unique_count")
@@ -592,6 +591,16 @@ kp AS (SELECT
     S["x4_grand_kpis"] = ("WITH " + FLAT_VIEW + "," + kp4 + ",\n" + mv + f" SELECT metric, {r('value', 6)} AS value, "
                           "CASE WHEN metric = 'Avg Client Retention' THEN format('{:.1f}', value * 100) || '%' ELSE "
                           f"{_fmt_kpi('value')} END AS display FROM mv")
+    fi = "coalesce(TRY_CAST(nullif(regexp_extract({x}, '([0-9]+)', 1), '') AS BIGINT), 0)"
+    S["x3_clients_clean"] = ("WITH " + FLAT_VIEW + " SELECT \"Partner ID\", \"Client Name\", "
+                             + fi.format(x='"Avg Project Size"') + " AS \"Project Size (Numeric)\", "
+                             "coalesce(split_part(\"Client Industry\", ',', 1), 'Unknown') AS \"Primary Industry\", "
+                             + fi.format(x='"Large Project Size"') + " AS \"Retention (Numeric)\" FROM flat_last")
+    S["x4_partners_clean"] = ("WITH " + PARTNER_VIEW + " SELECT partner_id AS \"Partner ID\", "
+                              "coalesce(TRY_CAST(ref_count AS DOUBLE), 0.0) AS \"References Count\", "
+                              "coalesce(TRY_CAST(experts AS DOUBLE), 0.0) AS \"Certified Experts\", "
+                              "coalesce(list_sum(list_transform(regexp_extract_all(experts, '([0-9]+)\\s+Certified', 1), "
+                              "lambda x: CAST(x AS BIGINT))), 0)::BIGINT AS \"Experts (Parsed)\" FROM pt")
     # recursive CTEs need the RECURSIVE keyword on the outer WITH
     for k, v in list(S.items()):
         if "_walk" in v and not v.lstrip().startswith("WITH RECURSIVE"):
