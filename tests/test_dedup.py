@@ -29,11 +29,12 @@ def sequential(names, t):
     return kept
 
 
-def run(spark, names, t, parts=None):
+def run(spark, names, t, parts=None, finish_edges=0):
+    """finish_edges=0 forces the distributed rounds all the way."""
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "seq long, name string")
     if parts:
         df = df.repartition(parts)
-    return sorted(r.seq for r in dedup_fuzzy(df, "name", "seq", t).collect())
+    return sorted(r.seq for r in dedup_fuzzy(df, "name", "seq", t, finish_edges=finish_edges).collect())
 
 
 GOLD = ["Acme Consulting", "ACME consulting", "Acme Consulting Ltd", "Acme Consultings", "", "", "x", "X", "y"]
@@ -49,8 +50,18 @@ def test_random_against_loop(spark):
     rnd = random.Random(7)
     for alphabet, t in (("abcd", 0.5), ("abcd", 0.6), ("ab", 0.85)):
         names = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 9))) for _ in range(150)]
-        assert run(spark, names, t) == sequential(names, t)
-        assert run(spark, names, t, parts=7) == sequential(names, t)
+        want = sequential(names, t)
+        assert run(spark, names, t) == want
+        assert run(spark, names, t, parts=7) == want
+        assert run(spark, names, t, finish_edges=10_000) == want   # bounded sequential finish
+
+
+def test_chain_needs_many_rounds_or_finish(spark):
+    # each name is similar to its neighbours only: a chain, the adversarial order
+    names = ["ab" * 3 + "x" * i for i in range(1, 40)]
+    want = sequential(names, 0.6)
+    assert run(spark, names, 0.6, finish_edges=0) == want
+    assert run(spark, names, 0.6, finish_edges=1_000) == want
 
 
 def test_pairs_exact(spark):
