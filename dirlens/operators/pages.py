@@ -152,8 +152,10 @@ def collect_target(pages: DataFrame, target: Mapping, start_urls: DataFrame | No
     listing, detail = target.get("listing", {}), target.get("detail", {})
     if start_urls is None:
         start_urls = pages.sparkSession.createDataFrame([(base,)], "start_url string")
-    nxt = next_page_links(pages, listing.get("next_page", ""), base)
-    edges = (pages.select("page_id", "url").join(nxt, "page_id")
+    # a blocked page is never parsed, so the chain stops there
+    open_pages = pages.where(~blocked("html"))
+    nxt = next_page_links(open_pages, listing.get("next_page", ""), base)
+    edges = (open_pages.select("page_id", "url").join(nxt, "page_id")
              .select("url", F.col("link").alias("next_url")))
     chain = page_chain(start_urls, edges, max_pages)
     listing_pages = (pages.join(chain.select("url").distinct(), "url", "left_semi")

@@ -75,26 +75,32 @@ def avg_by(df: DataFrame, group: str, value: str, name: str = "avg", digits: int
             .orderBy(F.desc(name), F.asc(group)))
 
 
-def category_stats(df: DataFrame, group: str, value: str, digits: int = 2) -> DataFrame:
+def _maybe_round(c: Column, digits: int | None) -> Column:
+    return c if digits is None else round_half_up(c, digits)
+
+
+def category_stats(df: DataFrame, group: str, value: str, digits: int | None = None) -> DataFrame:
     """A10: count/mean/min/max/sum per non-NULL group, sorted by sum desc.
 
-    Sums are taken in DECIMAL so they are exact and order-independent.
+    With ``digits`` the sum is taken in DECIMAL (exact, order-independent) and the
+    mean rounded; without, values are raw doubles as the source tables are.
     """
-    v = F.col(value).cast(f"decimal(28,{digits})")
+    total = (F.sum(F.col(value).cast(f"decimal(28,{digits})")).cast("double") if digits is not None
+             else F.sum(F.col(value).cast("double")))
     return (df.where(F.col(group).isNotNull()).groupBy(group)
             .agg(F.count(value).alias("gig_count"),
-                 round_half_up(F.avg(F.col(value).cast("double")), digits).alias("avg_price"),
+                 _maybe_round(F.avg(F.col(value).cast("double")), digits).alias("avg_price"),
                  F.min(F.col(value).cast("double")).alias("min_price"),
                  F.max(F.col(value).cast("double")).alias("max_price"),
-                 F.sum(v).cast("double").alias("total_value"))
+                 total.alias("total_value"))
             .orderBy(F.desc("total_value"), F.asc(group)))
 
 
-def service_stats(df: DataFrame, group: str, value: str, digits: int = 2) -> DataFrame:
-    """count/mean/max per group, sorted by mean desc."""
+def service_stats(df: DataFrame, group: str, value: str, digits: int | None = None) -> DataFrame:
+    """count/mean/max per group, sorted by mean desc (mean rounded when ``digits``)."""
     return (df.where(F.col(group).isNotNull()).groupBy(group)
             .agg(F.count(value).alias("gig_count"),
-                 round_half_up(F.avg(F.col(value).cast("double")), digits).alias("avg_price"),
+                 _maybe_round(F.avg(F.col(value).cast("double")), digits).alias("avg_price"),
                  F.max(F.col(value).cast("double")).alias("max_price"))
             .orderBy(F.desc("avg_price"), F.asc(group)))
 
@@ -142,7 +148,7 @@ def exact_median(df: DataFrame, col: str, small: int = 200_000, eps: float = 0.0
     return (a + b) / 2.0
 
 
-def executive_summary(df: DataFrame, value: str, digits: int = 2) -> DataFrame:
+def executive_summary(df: DataFrame, value: str, digits: int | None = None) -> DataFrame:
     """N, mean, exact (interpolated) median, sum, max as (metric, value) rows.
 
     The median is a distributed exact selection (``exact_median``), not the
@@ -151,10 +157,11 @@ def executive_summary(df: DataFrame, value: str, digits: int = 2) -> DataFrame:
     """
     v = F.col(value).cast("double")
     med = exact_median(df, value)
+    total = (F.sum(F.col(value).cast(f"decimal(28,{digits})")) if digits is not None else F.sum(v))
     one = df.agg(F.count(F.lit(1)).alias("n"),
-                 round_half_up(F.avg(v), digits).alias("mean"),
-                 round_half_up(F.lit(med).cast("double"), digits).alias("median"),
-                 F.sum(F.col(value).cast("decimal(28,2)")).alias("total"),
+                 _maybe_round(F.avg(v), digits).alias("mean"),
+                 _maybe_round(F.lit(med).cast("double"), digits).alias("median"),
+                 total.alias("total"),
                  F.max(v).alias("max"))
     return stack_metrics(one, [("Total Gigs Analyzed", "n"), ("Average Market Price", "mean"),
                                ("Median Market Price", "median"), ("Total Market Value (Est.)", "total"),

@@ -338,18 +338,18 @@ def a09(spark, d):
 
 @q("a10_category_stats")
 def a10(spark, d):
-    return A.category_stats(table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice")
+    return A.category_stats(table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", digits=2)
 
 
 @q("a11_service_stats")
 def a11(spark, d):
     docs = table(spark, d, "documents").withColumn("service_match", K.classify_multi("text"))
-    return A.service_stats(docs, "service_match", "n_chars")
+    return A.service_stats(docs, "service_match", "n_chars", digits=2)
 
 
 @q("a12_executive_summary")
 def a12(spark, d):
-    return A.executive_summary(table(spark, d, "orders"), "o_totalprice").drop("pos")
+    return A.executive_summary(table(spark, d, "orders"), "o_totalprice", digits=2).drop("pos")
 
 
 # ---------------------------------------------------------------- quality + X1
