@@ -134,28 +134,44 @@ def label_clusters(terms: DataFrame) -> DataFrame:
     return joined.select("cluster", title_case(F.col("t")).alias("Category"))
 
 
+def market_base(gigs: DataFrame, rules: KeywordRules | None = None) -> DataFrame:
+    """M6 inputs: numeric price (C11), cleaned title (C12) and service match."""
+    r = rules or KeywordRules()
+    price = clean_price(F.col("price")) if "price" in gigs.columns else F.lit(0.0)
+    return gigs.withColumns({"price_numeric": price, "title_clean": clean_title(F.col("title")),
+                             "Service_Match": classify_multi(F.col("title"), r.services)})
+
+
+def market_services(gigs: DataFrame, rules: KeywordRules | None = None, digits: int | None = None) -> DataFrame:
+    """M6 service-gap table (does not depend on the clustering)."""
+    from .stats import service_stats
+    return service_stats(market_base(gigs, rules), "Service_Match", "price_numeric", digits)
+
+
+def market_summary(gigs: DataFrame, digits: int | None = None) -> DataFrame:
+    """M6 executive summary (does not depend on the clustering)."""
+    from .stats import executive_summary
+    return executive_summary(market_base(gigs), "price_numeric", digits)
+
+
 def analyze_market(gigs: DataFrame, rules: KeywordRules | None = None, k: int = 8, seed: int = 42,
-                   n_init: int = 10, max_features: int = 1000) -> dict[str, DataFrame]:
+                   n_init: int = 10, max_features: int = 1000, digits: int | None = None) -> dict[str, DataFrame]:
     """M6: price and title cleaning -> TF-IDF -> KMeans -> cluster names ->
     service match -> summary, category, service and raw tables."""
     from .stats import category_stats, executive_summary, service_stats
 
-    r = rules or KeywordRules()
-    price = clean_price(F.col("price")) if "price" in gigs.columns else F.lit(0.0)
-    base = gigs.withColumns({"price_numeric": price, "title_clean": clean_title(F.col("title")),
-                             "__doc": F.monotonically_increasing_id()})
+    base = market_base(gigs, rules).withColumn("__doc", F.monotonically_increasing_id())
     base = base.checkpoint(eager=True)   # pin the ids used to join clusters back
     vecs, vocab = tfidf_vectors(base, "__doc", "title_clean", max_features)
     model, k = cluster(vecs, k, seed, n_init)
     assigned = model.transform(vecs).select(F.col("doc").alias("__doc"), "cluster")
     names = label_clusters(top_terms(model, vocab, gigs.sparkSession, 3))
-    tagged = (base.join(assigned, "__doc").join(F.broadcast(names), "cluster", "left")
-              .withColumn("Service_Match", classify_multi(F.col("title"), r.services)))
+    tagged = base.join(assigned, "__doc").join(F.broadcast(names), "cluster", "left")
     raw_cols = ["title", "seller_name", "price", "price_numeric", "Category", "Service_Match", "link"]
     return {
-        "executive_summary": executive_summary(tagged, "price_numeric"),
-        "category_analysis": category_stats(tagged, "Category", "price_numeric"),
-        "service_gaps": service_stats(tagged, "Service_Match", "price_numeric"),
+        "executive_summary": executive_summary(base, "price_numeric", digits),
+        "category_analysis": category_stats(tagged, "Category", "price_numeric", digits),
+        "service_gaps": service_stats(tagged, "Service_Match", "price_numeric", digits),
         "raw_data": tagged.select([c for c in raw_cols if c in tagged.columns]),
         "assignments": tagged.select("__doc", "cluster", "Category"),
     }

@@ -587,14 +587,18 @@ def _gigs(spark, d):
 
 @q("m06_market_categories")
 def m06(spark, d):
-    out = M.analyze_market(_gigs(spark, d), n_init=3)
+    out = M.analyze_market(_gigs(spark, d), n_init=3, digits=2)
     return out["category_analysis"]
 
 
 @q("m06_market_services")
 def m06s(spark, d):
-    out = M.analyze_market(_gigs(spark, d), n_init=3)
-    return out["service_gaps"]
+    return M.market_services(_gigs(spark, d), digits=2)
+
+
+@q("m06_market_summary")
+def m06e(spark, d):
+    return M.market_summary(_gigs(spark, d), digits=2).drop("pos")
 
 
 # ---------------------------------------------------------------- dashboards

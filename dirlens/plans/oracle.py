@@ -601,6 +601,15 @@ kp AS (SELECT
                               "coalesce(TRY_CAST(experts AS DOUBLE), 0.0) AS \"Certified Experts\", "
                               "coalesce(list_sum(list_transform(regexp_extract_all(experts, '([0-9]+)\\s+Certified', 1), "
                               "lambda x: CAST(x AS BIGINT))), 0)::BIGINT AS \"Experts (Parsed)\" FROM pt")
+    S["m06_market_services"] = S["a11_service_stats"].replace("service_match", "Service_Match")
+    S["m06_market_summary"] = f"""
+WITH one AS (SELECT count(*) AS n, {r('avg(n_chars)', 2)} AS mean, {r('median(n_chars)', 2)} AS median,
+  sum(CAST(n_chars AS DECIMAL(28,2)))::DOUBLE AS total, max(n_chars)::DOUBLE AS mx FROM documents)
+SELECT 'Total Gigs Analyzed' AS metric, n::DOUBLE AS value FROM one
+UNION ALL SELECT 'Average Market Price', mean FROM one
+UNION ALL SELECT 'Median Market Price', median FROM one
+UNION ALL SELECT 'Total Market Value (Est.)', total FROM one
+UNION ALL SELECT 'Highest Price Gig', mx FROM one"""
     # recursive CTEs need the RECURSIVE keyword on the outer WITH
     for k, v in list(S.items()):
         if "_walk" in v and not v.lstrip().startswith("WITH RECURSIVE"):
