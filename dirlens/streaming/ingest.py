@@ -81,3 +81,27 @@ def stream_last_wins(spark: SparkSession, source_path: str, schema: T.StructType
     table = os.path.join(work_dir, "table")
     run_to_table(agg, table, os.path.join(work_dir, "_checkpoint"))
     return read_latest(spark, table, keys)
+
+
+def provider_stream(spark: SparkSession, path: str, field: str = "providers",
+                    record: T.StructType | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of provider records from envelope JSON files (one envelope per file,
+    new files = new micro-batches), cleaned and scored per record (stateless)."""
+    from ..schemas import PROVIDER_RAW
+    rec = record or PROVIDER_RAW
+    schema = T.StructType([T.StructField(field, T.ArrayType(rec))])
+    src = stream_source(spark, path, schema, "json", max_files_per_trigger)
+    rows = src.select(F.col("_metadata.file_path").alias("__file"), F.posexplode(field).alias("__pos", "__rec"))
+    flat = rows.select("__rec.*", F.struct(F.col("__file").alias("file"), F.col("__pos").alias("pos")).alias("seq"))
+    return clean_and_score_stream(flat)
+
+
+def run_append(stream: DataFrame, table_path: str, checkpoint: str, available_now: bool = True):
+    """Append a stateless stream to a parquet table (exactly-once via the checkpoint)."""
+    writer = (stream.writeStream.outputMode("append").format("parquet")
+              .option("path", table_path).option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    q = writer.start()
+    if available_now:
+        q.awaitTermination()
+    return q

@@ -60,3 +60,24 @@ def test_kmeans_invariants(spark):
     assert pred.where((F.col("cluster") < 0) | (F.col("cluster") >= k)).count() == 0
     labels = M.label_clusters(M.top_terms(model, vocab, spark, 3))
     assert labels.count() <= k
+
+
+def test_provider_stream_and_observed(spark):
+    from dirlens.plans.bindings import provider_view
+    from dirlens.plans.pipelines import observed
+    from dirlens.operators.clean_records import clean_providers
+    from dirlens.operators.quality import score_providers
+    from dirlens.streaming.ingest import provider_stream, run_append
+
+    base = tempfile.mkdtemp(prefix="dirlens-pstream-")
+    raw = provider_view(spark, SF).drop("seq")
+    io.write_envelope(raw, base + "/in", "providers", rows_per_file=3)
+    run_append(provider_stream(spark, base + "/in"), base + "/out", base + "/_ckpt")
+    got = spark.read.parquet(base + "/out")
+    want = score_providers(clean_providers(raw, keep=()))
+    cols = ["provider_id", "name", "country", "data_completeness_score", "data_quality_score"]
+    assert sorted(tuple(r) for r in got.select(cols).collect()) == sorted(tuple(r) for r in want.select(cols).collect())
+
+    df, obs = observed(raw, "raw")
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == raw.count()
