@@ -105,15 +105,16 @@ def token_vectors(names: DataFrame, dense_tokens: int = DENSE_TOKENS) -> tuple[D
 
 
 def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85,
-                  keys_ready: bool = False) -> DataFrame:
+                  keys_ready: bool = False, with_keys: bool = False) -> DataFrame:
     """D3: all pairs of distinct lower-cased keys with bigram Jaccard >= t (exact).
 
     Candidates (AllPairs-style prefix filter): the smaller key's ``n - ceil(2tn/(1+t)) + 1``
     rarest tokens against the larger key's ``n - ceil(t*n) + 1`` rarest tokens, sizes
     within a factor t (length filter). Verification:
     overlap = popcount(bits_a & bits_b) + |rare_a ∩ rare_b|, Jaccard =
-    overlap / (n_a + n_b - overlap). Returns (src, dst, sim, src_k, dst_k), src
-    being the earlier key's first seq.
+    overlap / (n_a + n_b - overlap). Returns (src, dst, sim), src being the earlier
+    key's first seq, plus (src_k, dst_k) when ``with_keys`` (keys can be whole
+    texts, so they are attached only on request).
     """
     checkpoint_dir(df.sparkSession)
     names = df if keys_ready else _distinct_keys(df, key, seq)
@@ -139,6 +140,8 @@ def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85,
              .select("src", "dst", overlap.cast("double").alias("o"), "n1", "n2")
              .select("src", "dst", (F.col("o") / (F.col("n1") + F.col("n2") - F.col("o"))).alias("sim"))
              .where(F.col("sim") >= F.lit(float(t))))
+    if not with_keys:
+        return pairs
     k1 = names.select(F.col("seq").alias("src"), F.col("k").alias("src_k"))
     k2 = names.select(F.col("seq").alias("dst"), F.col("k").alias("dst_k"))
     return pairs.join(k1, "src").join(k2, "dst").select("src", "dst", "sim", "src_k", "dst_k")

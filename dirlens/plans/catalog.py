@@ -449,7 +449,7 @@ def _part_named(spark, d):
 
 @q("d03_similar_pairs")
 def d03(spark, d):
-    e = D.similar_pairs(_part_named(spark, d), "p_name", "seq", 0.5)
+    e = D.similar_pairs(_part_named(spark, d), "p_name", "seq", 0.5, with_keys=True)
     return e.select("src_k", "dst_k", C.round_half_up("sim", 6).alias("sim"))
 
 

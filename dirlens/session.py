@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # page HTML can be large: keep Arrow batches to the Python workers small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # delete checkpoint files (dedup rounds) once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

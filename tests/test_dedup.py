@@ -68,7 +68,7 @@ def test_pairs_exact(spark):
     rnd = random.Random(3)
     names = sorted({"".join(rnd.choice("abcde") for _ in range(rnd.randint(2, 8))) for _ in range(120)})
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "seq long, name string")
-    got = {(r.src_k, r.dst_k) for r in similar_pairs(df, "name", "seq", 0.5).collect()}
+    got = {(r.src_k, r.dst_k) for r in similar_pairs(df, "name", "seq", 0.5, with_keys=True).collect()}
     want = {(a, b) for i, a in enumerate(names) for b in names[i + 1:] if jac(a, b) >= 0.5}
     assert got == want
 
