@@ -18,6 +18,7 @@ recompute from the last round.
 from __future__ import annotations
 
 import logging
+import math
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -121,11 +122,23 @@ def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85,
     ids, vec = token_vectors(names)
     # index side: the smaller set of a pair with its mid-prefix; probe side: the
     # larger set with the full prefix (AllPairs); equal sizes are tried both ways.
-    index = ids.select("seq", "n", F.explode(F.slice("ids", 1, _mid_prefix_len(F.col("n"), t))).alias("tok"))
-    probe = ids.select("seq", "n", F.explode(F.slice("ids", 1, _prefix_len(F.col("n"), t))).alias("tok"))
+    # size bands: a compatible pair (t*n_b <= n_a <= n_b) has ln-sizes within
+    # ln(1/t), i.e. within half a band of width 2 ln(1/t), so its bands differ by at
+    # most one. Joining on (token, band) skips enumerating incompatible sizes and
+    # splits hot tokens by size.
+    if t < 1:
+        width = 2.0 * math.log(1.0 / t)
+        band = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")
+    else:
+        band = F.col("n").cast("int")
+    index = ids.select("seq", "n", band.alias("band"),
+                       F.explode(F.slice("ids", 1, _mid_prefix_len(F.col("n"), t))).alias("tok"))
+    probe = ids.select("seq", "n", F.explode(F.array(band, band - 1) if t < 1 else F.array(band)).alias("band"),
+                       F.slice("ids", 1, _prefix_len(F.col("n"), t)).alias("p"))
+    probe = probe.select("seq", "n", "band", F.explode("p").alias("tok"))
     a, b = index.alias("a"), probe.alias("b")
-    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.seq") != F.col("b.seq"))
-                   & (F.col("a.n") <= F.col("b.n")))
+    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.band") == F.col("b.band"))
+                   & (F.col("a.seq") != F.col("b.seq")) & (F.col("a.n") <= F.col("b.n")))
             .where(F.col("a.n") >= F.lit(t) * F.col("b.n"))
             .select(F.least("a.seq", "b.seq").alias("src"), F.greatest("a.seq", "b.seq").alias("dst"))
             .distinct())
