@@ -113,9 +113,8 @@ DEFAULT_TARGETS = {
             "references": ".client-references li",
         },
     },
-    "fiverr": {
-        "base_url": ("https://www.fiverr.com/search/gigs?query=odoo&source=main_banner"
-                     "&search_in=everywhere&search-autocomplete-original-term=odoo"),
+    "gig_marketplace": {
+        "base_url": "https://www.example.com/search/gigs",
         "country_code": "XX",
         "listing": {"provider_link": "div[data-testid^='gig-card'] a[href^='/']",
                     "next_page": "li.page-item a[aria-label='Next']"},

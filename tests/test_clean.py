@@ -57,7 +57,7 @@ def test_numbers(spark):
 def test_title_and_lists(spark):
     assert one(spark, C.clean_title, ["Setup & Fix, ODD_1!"]) == ["setup  fix odd_1"]
     assert one(spark, C.primary_value, ["Retail, Food", None]) == ["Retail", "Unknown"]
-    assert one(spark, C.title_case, ["crm, odoo-setup 2nd"]) == ["Crm, Odoo-Setup 2Nd"]
+    assert one(spark, C.title_case, ["crm, erp-setup 2nd"]) == ["Crm, Erp-Setup 2Nd"]
     m = spark.createDataFrame([({"v18": "5"},), ({},)], "m map<string,string>")
     assert [r[0] for r in m.select(C.map_to_text(F.col("m"))).collect()] == ["v18: 5", ""]
 
