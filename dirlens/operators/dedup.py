@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import bigrams
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, ship_package
 
 log = logging.getLogger(__name__)
 
@@ -76,6 +76,7 @@ def token_vectors(names: DataFrame, dense_tokens: int = DENSE_TOKENS) -> tuple[D
     come from a distributed sort of the vocabulary (most frequent first).
     """
     spark = names.sparkSession
+    ship_package(spark)
     grams = (names.select("seq", bigrams(F.col("k")).alias("g"))
              .select("seq", "g", F.size("g").alias("n")).where(F.col("n") > 0))
     grams = grams.checkpoint(eager=True)
@@ -176,6 +177,7 @@ def _finish_sequential(active: DataFrame) -> DataFrame:
     """
     import pandas as pd
 
+    ship_package(active.sparkSession)
     nodes = active.select(F.col("src").alias("node")).union(active.select(F.col("dst").alias("node"))).distinct()
     ranked = nodes.withColumn("r", F.dense_rank().over(Window.orderBy("node")).cast("bigint"))
     ranked = ranked.checkpoint(eager=True)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_BLOCK_MARKERS, MAX_LISTING_PAGES
+from ..session import ship_package
 from . import htmlsel
 
 LINK_SCHEMA = "page_id long, link string"
@@ -55,6 +56,7 @@ def extract_links(pages: DataFrame, selector: str = "a", base_url: str | None =
     """H1 (+H6, F6): (page_id, absolute link) for every match with a non-empty href,
     distinct per page. Links resolve against ``base_url`` (the target's base) or,
     when not given, against the page's own URL."""
+    ship_package(pages.sparkSession)
     fn = _links_fn(selector, fallback, base_url)
     return pages.select("page_id", "url", "html").mapInPandas(fn, LINK_SCHEMA).distinct()
 
@@ -105,6 +107,7 @@ def _records_fn(sel: Mapping[str, str]):
 
 def extract_records(pages: DataFrame, selectors: Mapping[str, str], country_code: str = "XX") -> DataFrame:
     """H2-H5: one provider record per page from a selector config (PROVIDER_RAW shape)."""
+    ship_package(pages.sparkSession)
     recs = pages.select("page_id", "url", "html").mapInPandas(_records_fn(dict(selectors)), RECORD_SCHEMA)
     return recs.select(
         F.lit("").alias("provider_id"), "name", F.lit(country_code).alias("country"), "location", "tier",
@@ -124,6 +127,7 @@ def next_page_links(pages: DataFrame, selector: str, base_url: str | None = None
                     out.append(urljoin(base_url if base_url is not None else url, href))
             yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"),
                                 "link": pd.Series(out, dtype="object")})
+    ship_package(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInPandas(run, LINK_SCHEMA)
 
 
