@@ -80,49 +80,80 @@ def provider_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARTNER_TIER = {"1-URGENT": "Gold", "2-HIGH": "Silver", "3-MEDIUM": "Ready"}
 
 
-def partner_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detailed partners (PARTNER_DETAILED + seq), one per order.
-
-    Each order is a partner; its client references are its returned lines
-    (l_returnflag = 'R'), so partners without returns have none. References
-    are ordered by (line number, part, supplier, quantity, price, ship date),
-    a total order, since line numbers repeat within an order. A client is
-    the part's type, so the same client recurs within a partner and the
-    last-wins dedup has work to do.
-    """
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer")
+def _returned_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returned lines (l_returnflag = 'R') joined to their part: one client reference each."""
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part")
-    refs = (li.where(F.col("l_returnflag") == "R")
-            .join(p.select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy("l_orderkey")
-            .agg(F.sort_array(F.collect_list(F.struct(
-                F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("k1"),
-                F.col("l_suppkey").alias("k2"), F.col("l_quantity").alias("k3"),
-                F.col("l_extendedprice").alias("k4"), F.col("l_shipdate").alias("k5"),
-                F.struct(F.col("p_type").alias("client_name"),
-                         F.concat_ws(" ", F.col("p_name"), F.lower(F.col("p_type"))).alias("description"),
-                         F.array(F.col("p_name"), F.col("p_type")).alias("modules_implemented"),
-                         F.format_string("qty %.0f", F.col("l_quantity")).alias("outcomes")).alias("ref")))
-                ).alias("refs"))
-            .select("l_orderkey", F.transform("refs", lambda r: r["ref"]).alias("client_references_detailed")))
-    tier = F.coalesce(*[F.when(F.col("o_orderpriority") == k, F.lit(v)) for k, v in PARTNER_TIER.items()],
+    return (li.where(F.col("l_returnflag") == "R")
+            .join(p.select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey")))
+
+
+def _partner_columns(tier_col: str = "o_orderpriority") -> list:
+    tier = F.coalesce(*[F.when(F.col(tier_col) == k, F.lit(v)) for k, v in PARTNER_TIER.items()],
                       F.lit("Bronze"))
     certs = F.map_from_arrays(F.array(F.lit("v18"), F.lit("v17")),
                               F.array(F.col("o_orderstatus"), F.col("c_mktsegment")))
+    return [F.col("c_name").alias("company_name"), tier.alias("tier"),
+            F.concat(F.lit("https://partner-"), F.col("o_custkey").cast("string"),
+                     F.lit(".example.com")).alias("website"),
+            F.col("c_mktsegment").alias("city"),
+            F.col("o_orderkey").cast("string").alias("partner_id"),
+            F.format_string("%d users", F.col("o_custkey")).alias("average_project_size"),
+            F.col("o_orderpriority").alias("large_project_size"),
+            F.format_string("%d Certified v18", F.col("c_nationkey")).alias("certified_experts"),
+            F.coalesce(F.col("n_refs"), F.lit(0)).cast("string").alias("reference_count_listed"),
+            certs.alias("certifications")]
+
+
+def _partners_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders ⋈ customer with the per-order reference count (a partial-aggregated count)."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    counts = _returned_refs(spark, sf_dir).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_refs"))
     return (o.join(c, o.o_custkey == c.c_custkey, "left")
-            .join(refs, o.o_orderkey == refs.l_orderkey, "left")
-            .select(F.col("c_name").alias("company_name"), tier.alias("tier"),
-                    F.concat(F.lit("https://partner-"), F.col("o_custkey").cast("string"),
-                             F.lit(".example.com")).alias("website"),
-                    F.col("c_mktsegment").alias("city"),
-                    F.col("o_orderkey").cast("string").alias("partner_id"),
-                    F.format_string("%d users", F.col("o_custkey")).alias("average_project_size"),
-                    F.col("o_orderpriority").alias("large_project_size"),
-                    F.format_string("%d Certified v18", F.col("c_nationkey")).alias("certified_experts"),
-                    F.size(F.coalesce(F.col("client_references_detailed"), F.array())).cast("string")
-                    .alias("reference_count_listed"),
-                    certs.alias("certifications"),
-                    F.col("client_references_detailed"),
-                    F.col("o_orderkey").alias("seq")))
+            .join(counts, o.o_orderkey == counts.l_orderkey, "left"))
+
+
+def partner_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partners, one flat row per order (the dashboards' partner table) + seq.
+
+    A partner is an order; its reference count is the number of its returned
+    lines. No arrays are built, so nothing grows with a hot order.
+    """
+    return _partners_base(spark, sf_dir).select(*_partner_columns(), F.col("o_orderkey").alias("seq"))
+
+
+def partner_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detailed partner records (PARTNER_DETAILED + seq) as page-wise partial files.
+
+    Like the partial files the original ingests, a partner appears in several
+    records: one per client reference (its returned lines), each holding a
+    one-element reference list, plus one record with no references for a
+    partner without returns. ``seq`` orders records by (order, line number,
+    part, supplier, quantity, price, ship date), a total order (line numbers
+    repeat within an order). A client is the part's type, so the same client
+    recurs within a partner and the last-wins dedup has work to do. No record
+    grows with the data.
+    """
+    base = _partners_base(spark, sf_dir)
+    refs = _returned_refs(spark, sf_dir)
+    ref = F.struct(F.col("p_type").alias("client_name"),
+                   F.concat_ws(" ", F.col("p_name"), F.lower(F.col("p_type"))).alias("description"),
+                   F.array(F.col("p_name"), F.col("p_type")).alias("modules_implemented"),
+                   F.format_string("qty %.0f", F.col("l_quantity")).alias("outcomes"))
+
+    def seq(*k):
+        names = ["p", "k0", "k1", "k2", "k3", "k4", "k5"]
+        return F.struct(*[c.alias(n) for c, n in zip(k, names)]).alias("seq")
+
+    with_refs = (refs.join(base, refs.l_orderkey == base.o_orderkey)
+                 .select(*_partner_columns(), F.array(ref).alias("client_references_detailed"),
+                         seq(F.col("o_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
+                             F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_shipdate"))))
+    empty = F.array().cast(with_refs.schema["client_references_detailed"].dataType)
+    no_refs = (base.where(F.col("n_refs").isNull())
+               .select(*_partner_columns(), empty.alias("client_references_detailed"),
+                       seq(F.col("o_orderkey"), F.lit(None).cast("int"), F.lit(None).cast("bigint"),
+                           F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("double"),
+                           F.lit(None).cast(refs.schema["l_shipdate"].dataType))))
+    return with_refs.unionByName(no_refs)

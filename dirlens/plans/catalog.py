@@ -23,7 +23,7 @@ from ..operators import stats as A
 from ..operators import textml as M
 from ..operators.clean_records import clean_providers
 from . import pipelines as X
-from .bindings import partner_view, provider_view, table
+from .bindings import partner_directory, partner_pages, provider_view, table
 
 REG: dict = {}
 
@@ -491,12 +491,12 @@ def u01(spark, d):
 # ---------------------------------------------------------------- nested
 @q("n01_flatten")
 def n01(spark, d):
-    return N.flatten_references(partner_view(spark, d)).drop("seq")
+    return N.flatten_references(partner_pages(spark, d)).drop("seq")
 
 
 @q("n02_flatten_dedup_sort")
 def n02(spark, d):
-    return N.flatten_dedup_sort(partner_view(spark, d)).drop("seq")
+    return N.flatten_dedup_sort(partner_pages(spark, d)).drop("seq")
 
 
 @q("n03_array_contains")
@@ -604,36 +604,36 @@ def m06e(spark, d):
 # ---------------------------------------------------------------- dashboards
 @q("x3_client_industries")
 def x3_ind(spark, d):
-    flat = N.flatten_dedup_sort(partner_view(spark, d))
+    flat = N.flatten_dedup_sort(partner_pages(spark, d))
     return A.top_values(flat.withColumn("Primary Industry", C.primary_value("Client Industry")),
                         "Primary Industry", 10)
 
 
 @q("x3_client_kpis")
 def x3_kpi(spark, d):
-    return A.client_kpis(N.flatten_dedup_sort(partner_view(spark, d)))
+    return A.client_kpis(N.flatten_dedup_sort(partner_pages(spark, d)))
 
 
 @q("x3_top_partners")
 def x3_top(spark, d):
-    flat = N.flatten_dedup_sort(partner_view(spark, d))
+    flat = N.flatten_dedup_sort(partner_pages(spark, d))
     return A.top_values(flat, "Partner Name", 10, "client_count")
 
 
 @q("x3_project_sizes")
 def x3_size(spark, d):
-    flat = N.flatten_dedup_sort(partner_view(spark, d))
+    flat = N.flatten_dedup_sort(partner_pages(spark, d))
     return A.top_values(flat, "Large Project Size", 5)
 
 
 @q("x4_partners_by_tier")
 def x4_tier(spark, d):
-    return A.value_counts(partner_view(spark, d), "tier")
+    return A.value_counts(partner_directory(spark, d), "tier")
 
 
 @q("x5_coverage")
 def x5_cov(spark, d):
-    return A.coverage_split(partner_view(spark, d), "reference_count_listed")
+    return A.coverage_split(partner_directory(spark, d), "reference_count_listed")
 
 
 # ---------------------------------------------------------------- sources / sinks
@@ -765,7 +765,7 @@ def s05(spark, d):
 def k04(spark, d):
     from ..schemas import FLAT_CLIENT_COLUMNS
     from ..sources import io
-    flat = io.export_columns(N.flatten_dedup_sort(partner_view(spark, d)), FLAT_CLIENT_COLUMNS)
+    flat = io.export_columns(N.flatten_dedup_sort(partner_pages(spark, d)), FLAT_CLIENT_COLUMNS)
     path = _scratch(spark, "clients")
     io.to_flat_csv(flat, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in FLAT_CLIENT_COLUMNS])
@@ -823,25 +823,25 @@ def h09(spark, d):
 
 
 def _partner_clients(spark, d):
-    flat = N.flatten_dedup_sort(partner_view(spark, d))
+    flat = N.flatten_dedup_sort(partner_pages(spark, d))
     return flat.where(F.col("Client Name") != "N/A")
 
 
 @q("x4_avg_clients_per_tier")
 def x4_avg(spark, d):
-    partners = partner_view(spark, d).select(F.col("partner_id").alias("Partner ID"), F.col("tier").alias("Partner Tier"))
+    partners = partner_directory(spark, d).select(F.col("partner_id").alias("Partner ID"), F.col("tier").alias("Partner Tier"))
     joined = A.left_join_counts(partners, _partner_clients(spark, d), "Partner ID", "Partner ID", "client_count")
     return A.avg_by(joined, "Partner Tier", "client_count", "avg_clients")
 
 
 @q("x4_top_countries")
 def x4_countries(spark, d):
-    return A.top_values(partner_view(spark, d), "city", 10)
+    return A.top_values(partner_directory(spark, d), "city", 10)
 
 
 @q("x4_grand_kpis")
 def x4_kpis(spark, d):
-    partners = partner_view(spark, d)
+    partners = partner_directory(spark, d)
     clients = _partner_clients(spark, d)
     return A.grand_kpis(partners, clients, "city", C.sum_matches(F.col("certified_experts")),
                         C.first_int(F.col("Avg Project Size"))).drop("pos")
@@ -849,7 +849,7 @@ def x4_kpis(spark, d):
 
 @q("x3_clients_clean")
 def x3_clean(spark, d):
-    flat = N.flatten_dedup_sort(partner_view(spark, d))
+    flat = N.flatten_dedup_sort(partner_pages(spark, d))
     return flat.select("Partner ID", "Client Name",
                        C.first_int("Avg Project Size").alias("Project Size (Numeric)"),
                        C.primary_value("Client Industry").alias("Primary Industry"),
@@ -858,7 +858,7 @@ def x3_clean(spark, d):
 
 @q("x4_partners_clean")
 def x4_clean(spark, d):
-    p = partner_view(spark, d)
+    p = partner_directory(spark, d)
     return p.select(F.col("partner_id").alias("Partner ID"),
                     C.to_number("reference_count_listed").alias("References Count"),
                     C.to_number("certified_experts").alias("Certified Experts"),
