@@ -64,6 +64,21 @@ def _distinct_keys(df: DataFrame, key: str, seq: str) -> DataFrame:
             .groupBy("k").agg(F.min("seq").alias("seq")))
 
 
+def dense_index(df: DataFrame, *order) -> DataFrame:
+    """Add ``id`` = 0-based position of each row in the global order, without an
+    RDD or a single-partition window: a range-partitioned sort is checkpointed
+    (fixing order and partitioning), then id = rows in earlier partitions + the
+    row's position in its partition. The per-partition offset table has one
+    row per partition."""
+    ordered = df.orderBy(*order).checkpoint(eager=True)
+    mid = F.monotonically_increasing_id()
+    tagged = ordered.select("*", F.spark_partition_id().alias("__pid"), (mid % F.lit(1 << 33)).alias("__pos"))
+    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select("__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
+    return (tagged.join(F.broadcast(offsets), "__pid")
+            .select(*df.columns, (F.col("__off") + F.col("__pos")).alias("id")))
+
+
 DENSE_TOKENS = 4096   # most frequent tokens kept as a bitset (64 longs) per key
 
 
@@ -73,7 +88,7 @@ def token_vectors(names: DataFrame, dense_tokens: int = DENSE_TOKENS) -> tuple[D
     of the rest.
 
     Returns (ids(seq, n, ids desc-sorted), vectors(seq, n, bits, rare)). Token ids
-    come from a distributed sort of the vocabulary (most frequent first).
+    come from a distributed sort of the vocabulary (most frequent first, ``dense_index``).
     """
     spark = names.sparkSession
     ship_package(spark)
@@ -82,10 +97,7 @@ def token_vectors(names: DataFrame, dense_tokens: int = DENSE_TOKENS) -> tuple[D
     grams = grams.checkpoint(eager=True)
     tok = grams.select("seq", F.explode("g").alias("tok"))
     freq = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    ordered = freq.orderBy(F.desc("df"), F.asc("tok"))
-    vocab = spark.createDataFrame(
-        ordered.rdd.zipWithIndex().map(lambda r: (r[0]["tok"], int(r[1]))), "tok string, id bigint")
-    vocab = vocab.checkpoint(eager=True)
+    vocab = dense_index(freq, F.desc("df"), F.asc("tok")).select("tok", "id").checkpoint(eager=True)
     v = vocab.count()
     words = max(1, min((v + 63) // 64, (dense_tokens + 63) // 64))
     limit = words * 64

@@ -87,3 +87,12 @@ def test_documents_whole_text_brute_force(spark):
     want = [rows[i][0] for i in sequential([t for _, t in rows], 0.85)]
     got = sorted(r.doc_id for r in dedup_fuzzy(docs, "text", "seq", 0.85).collect())
     assert got == want
+
+
+def test_dense_index(spark):
+    from dirlens.operators.dedup import dense_index
+    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5003).alias("v"))
+    got = [(r.v, r.id) for r in dense_index(df, F.desc("v")).orderBy("id").collect()]
+    vals = sorted((r.v for r in df.collect()), reverse=True)
+    assert [i for _, i in got] == list(range(len(vals)))
+    assert [v for v, _ in got] == vals
