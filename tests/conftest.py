@@ -5,6 +5,7 @@ import tempfile
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))   # tests/compare.py helpers
 
 
 @pytest.fixture(scope="session")
