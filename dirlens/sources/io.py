@@ -7,21 +7,15 @@ partitioning (monotonically_increasing_id would not be).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..config import Dictionary
 
 
-def _seq(pos) -> F.Column:
-    return F.struct(F.col("_metadata.file_path").alias("file"), pos.alias("pos"))
-
-
 def read_envelope(spark: SparkSession, path: str, field: str, record: T.StructType) -> DataFrame:
     """Multi-line JSON envelope files ``{metadata, <field>: [records]}`` -> one row per record."""
     schema = T.StructType([T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
