@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import bigrams
-from ..session import checkpoint_dir, ship_package
+from ..session import checkpoint_dir, cut, ship_package
 
 log = logging.getLogger(__name__)
 
@@ -70,7 +70,7 @@ def dense_index(df: DataFrame, *order) -> DataFrame:
     (fixing order and partitioning), then id = rows in earlier partitions + the
     row's position in its partition. The per-partition offset table has one
     row per partition."""
-    ordered = df.orderBy(*order).checkpoint(eager=True)
+    ordered = cut(df.orderBy(*order))
     mid = F.monotonically_increasing_id()
     tagged = ordered.select("*", F.spark_partition_id().alias("__pid"), (mid % F.lit(1 << 33)).alias("__pos"))
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
@@ -94,17 +94,17 @@ def token_vectors(names: DataFrame, dense_tokens: int = DENSE_TOKENS) -> tuple[D
     ship_package(spark)
     grams = (names.select("seq", bigrams(F.col("k")).alias("g"))
              .select("seq", "g", F.size("g").alias("n")).where(F.col("n") > 0))
-    grams = grams.checkpoint(eager=True)
+    grams = cut(grams)
     tok = grams.select("seq", F.explode("g").alias("tok"))
     freq = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    vocab = dense_index(freq, F.desc("df"), F.asc("tok")).select("tok", "id").checkpoint(eager=True)
+    vocab = cut(dense_index(freq, F.desc("df"), F.asc("tok")).select("tok", "id"))
     v = vocab.count()
     words = max(1, min((v + 63) // 64, (dense_tokens + 63) // 64))
     limit = words * 64
     tid = tok.join(vocab, "tok").select("seq", "id")
     ids = (tid.groupBy("seq").agg(F.sort_array(F.collect_list("id"), asc=False).alias("ids"))
            .select("seq", F.size("ids").alias("n"), "ids"))
-    ids = ids.checkpoint(eager=True)
+    ids = cut(ids)
     dense = (tid.where(F.col("id") < limit)
              .groupBy("seq", (F.col("id") / 64).cast("int").alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), CAST(id % 64 AS INT))")).alias("b"))
@@ -115,7 +115,7 @@ def token_vectors(names: DataFrame, dense_tokens: int = DENSE_TOKENS) -> tuple[D
                                lambda w: F.coalesce(F.try_element_at(F.col("m"), w), F.lit(0).cast("bigint")))
                    .alias("bits"),
                    F.filter("ids", lambda i: i >= limit).alias("rare")))
-    return ids, vec.checkpoint(eager=True)
+    return ids, cut(vec)
 
 
 def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85,
@@ -174,7 +174,7 @@ def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85,
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
+    return cut(df)
 
 
 FINISH_EDGES = 2_000_000   # remainder size solved by one sequential scan
@@ -192,7 +192,7 @@ def _finish_sequential(active: DataFrame) -> DataFrame:
     ship_package(active.sparkSession)
     nodes = active.select(F.col("src").alias("node")).union(active.select(F.col("dst").alias("node"))).distinct()
     ranked = nodes.withColumn("r", F.dense_rank().over(Window.orderBy("node")).cast("bigint"))
-    ranked = ranked.checkpoint(eager=True)
+    ranked = cut(ranked)
     e = (active.join(ranked.select(F.col("node").alias("src"), F.col("r").alias("a")), "src")
          .join(ranked.select(F.col("node").alias("dst"), F.col("r").alias("b")), "dst")
          .select(F.lit(0).alias("g"), "a", "b"))

@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 from ..config import KeywordRules
 from ..functions.classify import classify_multi
 from ..functions.clean import PY_WORD, clean_price, clean_title, round_half_up, title_case
+from ..session import cut
 
 
 def default_stop_words() -> list[str]:
@@ -161,7 +162,7 @@ def analyze_market(gigs: DataFrame, rules: KeywordRules | None = None, k: int =
     from .stats import category_stats, executive_summary, service_stats
 
     base = market_base(gigs, rules).withColumn("__doc", F.monotonically_increasing_id())
-    base = base.checkpoint(eager=True)   # pin the ids used to join clusters back
+    base = cut(base)   # pin the ids used to join clusters back
     vecs, vocab = tfidf_vectors(base, "__doc", "title_clean", max_features)
     model, k = cluster(vecs, k, seed, n_init)
     assigned = model.transform(vecs).select(F.col("doc").alias("__doc"), "cluster")

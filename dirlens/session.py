@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any scale. Partition counts are left to AQE; the
 # caller sizes spark.sql.shuffle.partitions for the cluster.
@@ -43,19 +44,27 @@ def get_spark(master: str | None = None, app: str = "dirlens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a fresh folder under the system temp dir is created and set.
+    Uses the cluster's ``spark.checkpoint.dir``. When it is unset, a local master
+    gets a fresh temp folder (tests); on a cluster that folder would be private
+    to each machine, so a clear error names the missing setting instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="dirlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared checkpoint folder and go on from the copy."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path inside the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
