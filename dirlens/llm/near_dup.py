@@ -42,7 +42,7 @@ from .components import connected_components
 
 PERMS, BITS, ROWS, BANDS = 256, 4, 5, 32
 SLICES = PERMS // 64            # 64-bit words of one bit plane
-BLOCK = 256                     # rows of a bucket that one task compares at a time
+BLOCK = 400_000                 # shingles of a bucket's members that stand in one block
 THRESHOLD = 80                  # per cent
 
 _rng = np.random.default_rng(20240229)
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                  "n", "sig", "keys"), "minhash-nodes")
 
     # buckets with company, and each one's hub
-    bands = nodes.select("node", F.posexplode("keys").alias("band", "key"))
+    bands = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
     hubs = (bands.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key"), "node")).alias("hub"),
                                      F.count(F.lit(1)).alias("members"))
             .where("members > 1").select("key", F.col("hub.node").alias("hub"), "members"))
@@ -257,10 +257,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # buckets that still hold several components, beside the hub whose pairs are tested
     rest = (shared.where("node != hub").join(first, "node", "left")
-            .select("key", "band", "node", F.coalesce("label", "node").alias("label")))
+            .select("key", "band", "node", "n", F.coalesce("label", "node").alias("label")))
     mixed = (rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                     F.count(F.lit(1)).alias("members")).where("lo != hi"))
-    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
+                                     F.sum("n").alias("load")).where("lo != hi"))
+    blocks = F.ceil(F.col("load") / F.lit(BLOCK)).cast("int")
     rest = (rest.join(mixed.select("key", blocks.alias("blocks")), "key")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

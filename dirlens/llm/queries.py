@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dup
+from . import exact_dedup, lang_id, mixing, near_dup, toxicity
 from .common import table
 
 REG: dict = {}
@@ -103,3 +103,13 @@ classes AS (SELECT list_sort(gs) AS k, count(*) AS c FROM g WHERE len(gs) > 0 GR
 SELECT g.doc_id, len(g.gs)::BIGINT AS n_shingles, least(g.doc_id, coalesce(l.m, g.doc_id)) AS component_id,
        g.doc_id = least(g.doc_id, coalesce(l.m, g.doc_id)) AS kept, coalesce(c.c, 1)::BIGINT AS class_size
 FROM g LEFT JOIN least_of l ON g.doc_id = l.p LEFT JOIN classes c ON len(g.gs) > 0 AND list_sort(g.gs) = c.k"""
+
+
+@q("op4_language_mixture")
+def op4(spark, d):
+    return lang_id.identify_documents(table(spark, d, "documents"))
+
+
+@q("op9_toxicity")
+def op9(spark, d):
+    return toxicity.score_toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
