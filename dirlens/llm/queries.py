@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, lang_id, mixing, near_dup, toxicity
+from . import ann, exact_dedup, lang_id, mixing, near_dup, packing, token_binary, token_counts, toxicity, url_filter
 from .common import table
 
 REG: dict = {}
@@ -113,3 +113,85 @@ def op4(spark, d):
 @q("op9_toxicity")
 def op9(spark, d):
     return toxicity.score_toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@q("op1_best_fit_packing")
+def op1(spark, d):
+    return packing.pack(table(spark, d, "documents"))
+
+
+@q("op5_token_histogram")
+def op5(spark, d):
+    return token_counts.suffix_sums(token_counts.histogram(table(spark, d, "documents")))
+
+
+@q("op6_adaptive_ann")
+def op6(spark, d):
+    return ann.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@q("op8_training_order_shards")
+def op8(spark, d):
+    return token_binary.materialise(table(spark, d, "documents")).drop("file")
+
+
+def url_inputs(spark, d):
+    """Captures and list entries from the given tables: a page is fetched at the time of the event with
+    its number; an event dates an entry about the page that has its user's number. Types and values
+    choose the kind, the list, and whether the pattern is added or removed."""
+    events, pages = table(spark, d, "events"), table(spark, d, "pages")
+    captures = (pages.join(events, F.col("page_id") == F.col("event_id"), "left")
+                .select(F.col("page_id").alias("capture_id"), "url", F.col("ts").alias("fetched")))
+    norm = url_filter.normal_url(F.col("url"))
+    kind = (F.when(F.col("event_type") == "error", "domain").when(F.col("event_type") == "click", "host")
+            .when(F.col("event_type") == "view", "prefix").otherwise("url"))
+    host = F.substring_index("norm", "/", 1)
+    pattern = (F.when(F.col("kind") == "domain", F.substring_index(host, ".", -3)).when(F.col("kind") == "host", host)
+               .when(F.col("kind") == "prefix", F.substring_index("norm", "/", 2)).otherwise(F.col("norm")))
+    entries = (events.join(pages, F.col("user_id") == F.col("page_id"))
+               .select(F.col("event_id").alias("entry_id"), kind.alias("kind"), norm.alias("norm"),
+                       F.when(F.col("event_type") == "purchase", "allow").otherwise("block").alias("list"),
+                       F.when(F.col("value") >= 30, "add").otherwise("remove").alias("action"), F.col("ts").alias("at"))
+               .select("entry_id", "list", "kind", pattern.alias("pattern"), "action", "at"))
+    return captures, entries
+
+
+@q("op2_temporal_url_filter")
+def op2(spark, d):
+    return url_filter.filter_urls(*url_inputs(spark, d)).select("capture_id", "url", "blocked", "n_active", "decided_by")
+
+
+_NORM = r"""(CASE WHEN length(lower(regexp_replace(regexp_replace(split_part(bare, '/', 1), '^.*@', ''), ':\d*$', ''))) > 0
+  THEN lower(regexp_replace(regexp_replace(split_part(bare, '/', 1), '^.*@', ''), ':\d*$', ''))
+       || regexp_replace(regexp_extract(bare, '^[^/]*([\s\S]*)$', 1), '/+$', '') END)"""
+
+SQL["op2_temporal_url_filter"] = rf"""
+WITH bare AS (SELECT page_id, url, regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.\-]*://', ''), '[?#][\s\S]*$', '') AS bare
+              FROM pages),
+norm AS (SELECT page_id, url, {_NORM} AS norm FROM bare),
+caps AS (SELECT n.page_id, n.url, n.norm, e.ts AS fetched FROM norm n LEFT JOIN events e ON n.page_id = e.event_id),
+raw AS (SELECT e.event_id, e.ts AS dated, CASE WHEN e.event_type = 'purchase' THEN 'allow' ELSE 'block' END AS list,
+    CASE e.event_type WHEN 'error' THEN 'domain' WHEN 'click' THEN 'host' WHEN 'view' THEN 'prefix' ELSE 'url' END AS kind,
+    CASE WHEN e.value >= 30 THEN 'add' ELSE 'remove' END AS action, n.norm, string_split(split_part(n.norm, '/', 1), '.') AS labels
+  FROM events e JOIN norm n ON e.user_id = n.page_id),
+entries AS (SELECT *, CASE kind WHEN 'domain' THEN array_to_string(labels[greatest(len(labels) - 2, 1):], '.')
+    WHEN 'host' THEN split_part(norm, '/', 1) WHEN 'prefix' THEN array_to_string(string_split(norm, '/')[1:2], '/')
+    ELSE norm END AS pattern FROM raw WHERE norm IS NOT NULL AND dated IS NOT NULL),
+lasts AS (SELECT list, kind, pattern, dated, max({{'a': action, 'i': event_id}}) AS x FROM entries GROUP BY ALL),
+lines AS (SELECT *, lead(dated) OVER (PARTITION BY list, kind, pattern ORDER BY dated) AS upto FROM lasts),
+live AS (SELECT * FROM lines WHERE x.a = 'add'),
+asked AS (SELECT DISTINCT norm, fetched FROM caps WHERE norm IS NOT NULL AND fetched IS NOT NULL),
+labelled AS (SELECT *, string_split(split_part(norm, '/', 1), '.') AS labels, string_split(norm, '/') AS parts FROM asked),
+keyed AS (SELECT norm, fetched, 'url' AS kind, norm AS key FROM labelled
+  UNION ALL SELECT norm, fetched, 'host', split_part(norm, '/', 1) FROM labelled
+  UNION ALL SELECT norm, fetched, 'domain', unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))) FROM labelled
+  UNION ALL SELECT norm, fetched, 'prefix', unnest(list_transform(range(1, len(parts) + 1), lambda i: array_to_string(parts[1:i], '/'))) FROM labelled),
+hits AS (SELECT DISTINCT k.norm, k.fetched, l.list, l.kind, l.pattern, l.dated FROM keyed k JOIN live l ON k.kind = l.kind AND k.key = l.pattern
+         AND l.dated <= k.fetched AND (l.upto IS NULL OR k.fetched < l.upto)),
+verdict AS (SELECT norm, fetched, count(*) AS n, bool_or(list = 'block') AS anyblock,
+    max({{'r': CASE kind WHEN 'url' THEN 4 WHEN 'prefix' THEN 3 WHEN 'host' THEN 2 ELSE 1 END, 'l': length(pattern),
+         'w': (list = 'allow')::INT, 'name': list || ':' || kind || ':' || pattern}}) AS top
+  FROM hits GROUP BY norm, fetched)
+SELECT c.page_id AS capture_id, c.url, coalesce(v.anyblock AND v.top.w = 0, false) AS blocked, coalesce(v.n, 0) AS n_active,
+       v.top.name AS decided_by
+FROM caps c LEFT JOIN verdict v ON c.norm = v.norm AND c.fetched = v.fetched"""
