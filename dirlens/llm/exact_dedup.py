@@ -64,13 +64,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     salts: int = SALTS) -> DataFrame:
     """The rows that stay, with the columns they came with."""
+    # one key for the join and for the window, so the texts move once
+    def key(digest, check, doc_id):
+        return F.concat_ws("|", digest, check.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null")))
     won = winners(docs, id_col, text_col, salts).select(
-        F.col("keep_id").alias("__id"), F.col("digest").alias("__d"), F.col("check").alias("__c"))
+        key(F.col("digest"), F.col("check"), F.col("keep_id")).alias("__won"))
     norm = fold(F.col(text_col))
-    rows = docs.withColumns({"__digest": F.sha2(norm, 256), "__check": F.xxhash64(norm)})
-    same = (rows["__digest"] == won["__d"]) & (rows["__check"] == won["__c"]) & rows[id_col].eqNullSafe(won["__id"])
-    stay = rows.join(won, same, "left_semi")
+    rows = docs.withColumn("__key", key(F.sha2(norm, 256), F.xxhash64(norm), F.col(id_col)))
+    stay = rows.join(won, rows["__key"] == won["__won"], "left_semi")
     # a row repeated whole is one document
-    one = Window.partitionBy("__digest", "__check", id_col).orderBy(F.col(text_col).desc_nulls_last())
+    one = Window.partitionBy("__key").orderBy(F.col(text_col).desc_nulls_last())
     return (stay.withColumn("__rank", F.row_number().over(one)).where("__rank = 1")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -151,7 +151,9 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, cycle: Sequence[floa
     rows = rows.join(sums, ["rank", "bucket"])
     fields = ["rank", "doc_id", "size", (F.col("before") + F.col("within")).alias("offset")]
     easy = rows.where("NOT split").select(*fields, "took")
-    item = F.struct("h", "doc_id", "size", "within", "before")
+    late = 4 * (F.col("within") + F.col("size")) > 3 * F.col("room")
+    item = F.struct(late.alias("late"), F.when(late, -F.col("size")).otherwise(0).alias("less"),
+                    "h", "doc_id", "size", "within", "before")
     hard = (rows.where("split").groupBy("rank", "bucket", "room").agg(F.sort_array(F.collect_list(item)).alias("items"))
             .withColumn("flags", _fill(F.col("items"), F.col("room")))
             .select("rank", F.explode(F.arrays_zip("items", "flags")).alias("x"))

@@ -120,7 +120,8 @@ def floor(threshold: int = THRESHOLD) -> float:
 
 def _estimates(sig: np.ndarray, row: np.ndarray) -> np.ndarray:
     x = (sig ^ row).reshape(len(sig), BITS, SLICES)
-    differ = np.bitwise_count(np.bitwise_or.reduce(x, axis=1)).sum(1, dtype=np.int64)
+    # as unsigned words: numpy counts the bits of a negative number by its absolute value
+    differ = np.bitwise_count(np.bitwise_or.reduce(x, axis=1).view(np.uint64)).sum(1, dtype=np.int64)
     chance = 2.0 ** -BITS
     return ((PERMS - differ) / PERMS - chance) / (1 - chance)
 

@@ -67,17 +67,19 @@ ordered AS (SELECT *, row_number() OVER w AS n, (sum(size) OVER w)::BIGINT - siz
     WINDOW w AS (PARTITION BY rk, bucket ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING)),
 sums AS (SELECT rk, bucket, part, sum(size)::BIGINT AS words FROM ordered GROUP BY rk, bucket, part),
 runs AS (SELECT *, (sum(words) OVER (PARTITION BY rk ORDER BY bucket))::BIGINT - words AS prior FROM sums),
-tail AS (SELECT o.*, r.part - r.prior AS room FROM ordered o JOIN runs r USING (rk, bucket)
-         WHERE r.prior + r.words > r.part AND r.prior < r.part),
-greedy(rk, n, room, took) AS (
-  SELECT DISTINCT rk, 0::BIGINT, room, false FROM tail
+split AS (SELECT o.*, r.part - r.prior AS room, 4 * (o.inside + o.size) > 3 * (r.part - r.prior) AS late
+         FROM ordered o JOIN runs r USING (rk, bucket) WHERE r.prior + r.words > r.part AND r.prior < r.part),
+tail AS (SELECT rk, n AS place, size, room, row_number() OVER (
+         PARTITION BY rk ORDER BY late, CASE WHEN late THEN -size ELSE 0 END, h, doc_id, size) AS n FROM split),
+greedy(rk, n, place, room, took) AS (
+  SELECT DISTINCT rk, 0::BIGINT, 0::BIGINT, room, false FROM tail
   UNION ALL
-  SELECT g.rk, t.n, CASE WHEN t.size <= g.room THEN g.room - t.size ELSE g.room END, t.size <= g.room
+  SELECT g.rk, t.n, t.place, CASE WHEN t.size <= g.room THEN g.room - t.size ELSE g.room END, t.size <= g.room
   FROM greedy g JOIN tail t ON t.rk = g.rk AND t.n = g.n + 1),
 taken AS (SELECT o.rk, o.doc_id, o.size, r.prior + o.inside AS place,
     CASE WHEN r.prior + r.words <= r.part THEN 1 WHEN r.prior < r.part THEN coalesce(g.took, false)::INT ELSE 0 END AS extra
   FROM ordered o JOIN runs r USING (rk, bucket)
-  LEFT JOIN greedy g ON g.rk = o.rk AND g.n = o.n AND r.prior + r.words > r.part AND r.prior < r.part)
+  LEFT JOIN greedy g ON g.rk = o.rk AND g.place = o.n AND r.prior + r.words > r.part AND r.prior < r.part)
 SELECT t.doc_id, t.size, p.source_size, p.target, ((p.epochs + t.extra) * t.size)::BIGINT AS taken,
        (p.epochs + t.extra)::INT AS copies,
        CASE WHEN p.epochs + t.extra > 0 THEN least(t.place / greatest(p.goal, 1), 1.0) END AS position
