@@ -193,10 +193,11 @@ def format_kpi(c) -> Column:
     """>100 -> thousands separators, no decimals; else one decimal.
 
     ``format_number`` rounds half-even on the exact binary value, as Python's
-    ``format(v, ',.0f')`` / ``format(v, '.1f')`` do (values <= 100 carry no separator).
+    ``format(v, ',.0f')`` / ``format(v, '.1f')`` do; the second form has no separators.
     """
     col = _c(c).cast("double")
-    return F.when(col > 100, F.format_number(col, 0)).otherwise(F.format_number(col, 1))
+    return F.when(col > 100, F.format_number(col, 0)).otherwise(
+        F.regexp_replace(F.format_number(col, 1), ",", ""))
 
 
 def format_percent(c) -> Column:
@@ -216,12 +217,12 @@ def select_existing(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 def title_case(c) -> Column:
     """Python ``str.title()``: a letter is upper-cased when the previous
-    character is not a letter, otherwise lower-cased."""
+    character is not a cased letter, otherwise lower-cased."""
     col = _c(c)
     n = F.length(col)
     chars = F.transform(
         F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
         lambda i: F.when(
-            (i == 1) | ~col.substr(i - 1, F.lit(1)).rlike(r"^\p{L}$"),
+            (i == 1) | ~col.substr(i - 1, F.lit(1)).rlike(r"^[\p{Lu}\p{Ll}\p{Lt}]$"),
             F.upper(col.substr(i, F.lit(1)))).otherwise(F.lower(col.substr(i, F.lit(1)))))
     return F.when(col.isNull(), col).otherwise(F.array_join(chars, ""))

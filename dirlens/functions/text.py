@@ -15,9 +15,10 @@ def bigrams(c) -> Column:
 
     One linear regex pass: a zero-width lookahead captures the two characters
     at every position (indexing with substr would be quadratic on long texts).
+    The second half of a character beyond the basic plane is no position.
     """
     s = _c(c)
-    grams = F.regexp_extract_all(s, F.lit(r"(?s)(?=(..))"), 1)
+    grams = F.regexp_extract_all(s, F.lit(r"(?s)(?!\p{Cs})(?=(..))"), 1)
     return F.coalesce(F.array_distinct(grams), F.array().cast("array<string>"))
 
 

@@ -177,52 +177,13 @@ def _ckpt(df: DataFrame) -> DataFrame:
     return cut(df)
 
 
-FINISH_EDGES = 2_000_000   # remainder size solved by one sequential scan
-
-
-def _finish_sequential(active: DataFrame) -> DataFrame:
-    """Decide the remaining undecided nodes with the sequential scan in ONE task.
-
-    Only called when ``active`` holds at most FINISH_EDGES edges, so the single
-    group is bounded by that constant, not by the data. Nodes are ranked by
-    their (orderable) id first so the scan sees plain integers.
-    """
-    import pandas as pd
-
-    ship_package(active.sparkSession)
-    nodes = active.select(F.col("src").alias("node")).union(active.select(F.col("dst").alias("node"))).distinct()
-    ranked = nodes.withColumn("r", F.dense_rank().over(Window.orderBy("node")).cast("bigint"))
-    ranked = cut(ranked)
-    e = (active.join(ranked.select(F.col("node").alias("src"), F.col("r").alias("a")), "src")
-         .join(ranked.select(F.col("node").alias("dst"), F.col("r").alias("b")), "dst")
-         .select(F.lit(0).alias("g"), "a", "b"))
-
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        ins: dict[int, list[int]] = {}
-        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist()):
-            ins.setdefault(b, []).append(a)
-        order = sorted(set(pdf["a"].tolist()) | set(ins))
-        kept, dropped = set(), []
-        for v in order:
-            if any(u in kept for u in ins.get(v, ())):
-                dropped.append(v)
-            else:
-                kept.add(v)
-        return pd.DataFrame({"r": pd.Series(dropped, dtype="int64")})
-
-    dropped_r = e.groupBy("g").applyInPandas(scan, "r long")
-    return dropped_r.join(ranked, "r").select("node")
-
-
-def greedy_dropped(edges: DataFrame, max_rounds: int | None = None,
-                   finish_edges: int = FINISH_EDGES) -> tuple[DataFrame, int]:
+def greedy_dropped(edges: DataFrame, max_rounds: int | None = None) -> tuple[DataFrame, int]:
     """Nodes the sequential first-wins scan drops, given directed edges src<dst.
 
     Round: undecided nodes with no undecided earlier neighbour are kept; their
     later neighbours are dropped; edges touching decided nodes are removed.
-    First-in-order maximal independent sets are P-complete, so adversarial
-    orders (long chains) need many rounds: once at most ``finish_edges``
-    undecided edges remain, they are finished by one bounded sequential scan.
+    First-in-order maximal independent sets are P-complete, so an adversarial
+    order (a long chain) needs as many rounds as half its length.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
@@ -233,10 +194,6 @@ def greedy_dropped(edges: DataFrame, max_rounds: int | None = None,
         remaining = active.count()
         if remaining == 0:
             break
-        if remaining <= finish_edges:
-            tail = _ckpt(_finish_sequential(active))
-            dropped = tail if dropped is None else _ckpt(dropped.unionByName(tail))
-            break
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"fuzzy dedup did not converge in {max_rounds} rounds")
@@ -257,7 +214,7 @@ def greedy_dropped(edges: DataFrame, max_rounds: int | None = None,
 
 
 def dedup_fuzzy(df: DataFrame, key: str = "name", seq: str = "seq", t: float = 0.85,
-                with_audit: bool = False, finish_edges: int = FINISH_EDGES):
+                with_audit: bool = False):
     """Keep a row iff no earlier KEPT row has bigram Jaccard(lower(key)) >= t.
 
     Empty keys are always kept; equal keys (case-insensitive) collapse to their
@@ -266,14 +223,13 @@ def dedup_fuzzy(df: DataFrame, key: str = "name", seq: str = "seq", t: float = 0
     names = _distinct_keys(df, key, seq)
     names = _ckpt(names)
     edges = _ckpt(similar_pairs(names, key, seq, t, keys_ready=True))
-    dropped, _ = greedy_dropped(edges, finish_edges=finish_edges)
-    k = F.lower(F.col(key))
-    first = names.join(dropped.withColumnRenamed("node", "seq"), "seq", "left_anti").select(
-        F.col("k").alias("__k"), F.col("seq").alias("__first"))
-    kept = (df.withColumn("__k", k)
-            .join(first, "__k", "left")
-            .where(F.col("__k").isNull() | (F.col("__k") == "") | (F.col(seq) == F.col("__first")))
-            .drop("__k", "__first"))
+    dropped, _ = greedy_dropped(edges)
+    first = (names.join(dropped.withColumnRenamed("node", "seq"), "seq", "left_anti")
+             .select(F.col("seq").alias("__first")))
+    # decided by seq alone: blank keys spread over their rows' seq and no text is shuffled again
+    kept = (df.join(first, F.col(seq) == F.col("__first"), "left")
+            .where(F.col("__first").isNotNull() | F.coalesce(F.col(key) == "", F.lit(True)))
+            .drop("__first"))
     if not with_audit:
         return kept
     return kept, dedup_audit(df, key, seq, names, edges, dropped)

@@ -15,6 +15,8 @@ from html.parser import HTMLParser
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
         "param", "source", "track", "wbr"}
 
+SOURCE = {"script", "style", "template"}
+
 
 class Node:
     __slots__ = ("tag", "attrs", "parent", "children")
@@ -29,7 +31,8 @@ class Node:
         return (self.attrs.get("class") or "").split()
 
     def text(self) -> str:
-        """Every descendant text node stripped, empties dropped, joined without separator."""
+        """Every descendant text node stripped, empties dropped, joined without separator;
+        script, style and template sources are no text (unless asked for themselves)."""
         out = []
         stack = [self]
         while stack:
@@ -38,7 +41,7 @@ class Node:
                 s = n.strip()
                 if s:
                     out.append(s)
-            else:
+            elif n is self or n.tag not in SOURCE:
                 stack.extend(reversed(n.children))
         return "".join(out)
 

@@ -12,8 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.clean import format_kpi, format_percent, ratio, round_half_up
+from ..session import cut
 
 
 def _c(c) -> Column:
@@ -113,39 +115,26 @@ def stack_metrics(one_row: DataFrame, labels: Sequence[tuple[str, str]]) -> Data
         for i, (label, col) in enumerate(labels)])))
 
 
-def _kth(v: DataFrame, k: int, n: int, small: int, eps: float) -> float:
-    """The k-th smallest (0-based) value of column ``v`` without gathering it:
-    approximate quantiles bracket rank k (rank error <= eps*m is guaranteed), a
-    count fixes the offset, and the bracket shrinks ~1/(4 eps) per pass until
-    it is small enough for an ordered take."""
-    sub, below, m = v, 0, n
-    while m > small:
-        p = (k - below) / m
-        lo, hi = sub.approxQuantile("v", [max(0.0, p - 2 * eps), min(1.0, p + 2 * eps)], eps)
-        c = sub.agg(F.count_if(F.col("v") < lo).alias("lt"),
-                    F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias("mid")).first()
-        if not (below + c["lt"] <= k < below + c["lt"] + c["mid"]):
-            break   # cannot happen with the quantile guarantee; fall back to the ordered take
-        if lo == hi:
-            return float(lo)
-        if c["mid"] >= m:
-            break
-        below, m = below + c["lt"], c["mid"]
-        sub = sub.where((F.col("v") >= lo) & (F.col("v") <= hi))
-    return float(sub.orderBy("v").offset(k - below).limit(1).first()["v"])
-
-
-def exact_median(df: DataFrame, col: str, small: int = 200_000, eps: float = 0.001) -> float | None:
-    """Exact median, interpolating between the two middle values for even n
-    (pandas semantics); NULL/NaN skipped. Distributed: nothing but scalars and at
-    most ``small`` rows of one ordered take ever leave the executors."""
+def exact_median(df: DataFrame, col: str) -> float | None:
+    """Exact median, interpolating between the two middle values for even n (pandas
+    semantics); NULL/NaN skipped.
+
+    Equal values are counted first, so ties collapse whatever their number. The distinct
+    values are range-sorted, counts are summed within each range and then over the ranges
+    (one row each), and only the rows that hold the two middle ranks reach the driver."""
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    n = v.count()
-    if n == 0:
-        return None
-    a = _kth(v, (n - 1) // 2, n, small, eps)
-    b = a if n % 2 == 1 else _kth(v, n // 2, n, small, eps)
-    return (a + b) / 2.0
+    counts = cut(v.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v"))
+    tagged = counts.withColumn("part", F.spark_partition_id())
+    totals = tagged.groupBy("part").agg(F.sum("n").alias("t"))
+    starts = totals.select("part", (F.sum("t").over(Window.orderBy("part")) - F.col("t")).alias("before"),
+                           F.sum("t").over(Window.partitionBy()).alias("total"))
+    inside = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = (tagged.withColumn("upto", F.sum("n").over(inside)).join(F.broadcast(starts), "part")
+              .withColumn("end", F.col("before") + F.col("upto")).withColumn("start", F.col("end") - F.col("n")))
+    middle = [F.expr("(total - 1) div 2"), F.expr("total div 2")]
+    holds = [(F.col("start") <= m) & (m < F.col("end")) for m in middle]
+    rows = placed.where(holds[0] | holds[1]).select("v").collect()      # one row or two
+    return sum(r["v"] for r in rows) / len(rows) if rows else None
 
 
 def executive_summary(df: DataFrame, value: str, digits: int | None = None) -> DataFrame:

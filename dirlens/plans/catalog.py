@@ -203,7 +203,7 @@ def c21(spark, d):
 @q("c23_format_kpi")
 def c23(spark, d):
     c = table(spark, d, "customer")
-    return c.select("c_custkey", C.format_kpi(F.col("c_acctbal") / 10.0).alias("display"))
+    return c.select("c_custkey", C.format_kpi(F.col("c_acctbal") * 10.0).alias("display"))
 
 
 @q("c26_select_existing")
@@ -587,7 +587,7 @@ def _gigs(spark, d):
 
 @q("m06_market_categories")
 def m06(spark, d):
-    out = M.analyze_market(_gigs(spark, d), n_init=3, digits=2)
+    out = M.analyze_market(_gigs(spark, d), digits=2)
     return out["category_analysis"]
 
 

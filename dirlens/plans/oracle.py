@@ -354,11 +354,11 @@ SELECT user_id, array_to_string(list_sort(list_distinct(list_transform(list(even
     S["c21_blank_nulls"] = W + """
 SELECT coalesce(provider_id, '') AS provider_id, coalesce(location, '') AS location,
   coalesce(website, '') AS website, coalesce(description, '') AS description FROM cl"""
-    S["c23_format_kpi"] = f"SELECT c_custkey, {_fmt_kpi('(c_acctbal / 10.0::DOUBLE)')} AS display FROM customer"
+    S["c23_format_kpi"] = f"SELECT c_custkey, {_fmt_kpi('(c_acctbal * 10.0::DOUBLE)')} AS display FROM customer"
     S["c26_select_existing"] = "SELECT p_name, p_brand FROM part"
     tc_s = "(p_name || ', 2nd-line')"
     S["c27_title_case"] = (f"SELECT p_partkey, array_to_string(list_transform(range(1, length({tc_s}) + 1), lambda i: "
-                           f"CASE WHEN i = 1 OR NOT regexp_matches(substr({tc_s}, i - 1, 1), '^\\p{{L}}$') "
+                           f"CASE WHEN i = 1 OR NOT regexp_matches(substr({tc_s}, i - 1, 1), '^[\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]$') "
                            f"THEN upper(substr({tc_s}, i, 1)) ELSE lower(substr({tc_s}, i, 1)) END), '') AS label FROM part")
     # filters
     S["f01_quarantine"] = ("SELECT doc_id, CASE WHEN text IS NOT NULL AND n_chars = length(text) AND n_chars >= 200 "

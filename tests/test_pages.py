@@ -14,6 +14,12 @@ def test_selectors():
     assert [n.tag for n in H.select(doc, "ul > li")] == ["li", "li"]
 
 
+def test_sources_are_no_text():
+    doc = H.parse("<article>Hi<script>var x=1;</script><style>p{}</style> you</article><script>y()</script>")
+    assert H.first_text(doc, "article") == "Hiyou"
+    assert H.first_text(doc, "script") == "var x=1;"
+
+
 def test_links_and_records(spark):
     html = '<a href="/p/1">a</a><a href="/p/1">b</a><a href="https://o.com/z">c</a><h1>T &amp; U</h1>'
     pages = spark.createDataFrame([(1, "https://e.com/l", html)], "page_id long, url string, html string")
