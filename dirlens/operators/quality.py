@@ -187,12 +187,11 @@ def flag_frequency(scored: DataFrame, top: int = 10) -> DataFrame:
 
 
 def flag_share(scored: DataFrame, top: int = 10) -> DataFrame:
-    """Top flags with their share of all providers in percent (1 decimal).
-    The total is one scalar count; persist ``scored`` upstream if it is costly."""
-    total = scored.count()   # one scalar
-    return flag_frequency(scored, top).select(
+    """Top flags with their share of all providers in percent (1 decimal)."""
+    total = scored.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("__total"))   # one row
+    return flag_frequency(scored, top).join(F.broadcast(total), F.lit(True)).select(
         "flag", "providers",
-        round_half_up(F.col("providers") * 100.0 / F.lit(float(max(total, 1))), 1).alias("pct"))
+        round_half_up(F.col("providers") * 100.0 / F.col("__total").cast("double"), 1).alias("pct"))
 
 
 def check_constraints(df: DataFrame, not_null: list[str] = (), len2: list[str] = (),

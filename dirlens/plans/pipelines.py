@@ -9,13 +9,17 @@ from ..config import Dictionary, QualityRules
 from ..operators.clean_records import clean_providers
 from ..operators.dedup import dedup_fuzzy
 from ..operators.quality import flag_share, quality_report, score_providers
+from ..session import cut
 
 
 def clean_and_dedup(raw: DataFrame, dictionary: Dictionary | None = None,
                     threshold: float = 0.85) -> tuple[DataFrame, DataFrame]:
-    """Clean (C1) then greedy fuzzy dedup on the cleaned name."""
-    cleaned = clean_providers(raw, dictionary)
-    unique = dedup_fuzzy(cleaned, "name", "seq", threshold)
+    """Clean (C1) then greedy fuzzy dedup on the cleaned name.
+
+    Both results are cut to the shared checkpoint folder, so whatever reads them
+    (counts, scores, reports) starts from the copy, not from the raw tables."""
+    cleaned = cut(clean_providers(raw, dictionary))
+    unique = cut(dedup_fuzzy(cleaned, "name", "seq", threshold))
     return cleaned, unique
 
 
@@ -42,8 +46,8 @@ def run_pipeline(raw: DataFrame, dictionary: Dictionary | None = None,
                  rules: QualityRules | None = None, threshold: float = 0.85) -> dict[str, DataFrame]:
     """Clean -> dedup -> counts -> score -> report.
 
-    The deduplicated set is checkpointed by the dedup step; the scored set is
-    derived once and both the table and the report read it.
+    The cleaned and the deduplicated sets are checkpointed; scores are row-local
+    expressions over the latter.
     """
     cleaned, unique = clean_and_dedup(raw, dictionary, threshold)
     scored = score_providers(unique, rules)

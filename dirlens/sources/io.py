@@ -14,16 +14,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Dictionary
-
-
-def read_envelope(spark: SparkSession, path: str, field: str, record: T.StructType) -> DataFrame:
-    """Multi-line JSON envelope files ``{metadata, <field>: [records]}`` -> one row per record."""
-    schema = T.StructType([T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
-                           T.StructField(field, T.ArrayType(record))])
-    df = spark.read.option("multiLine", True).option("recursiveFileLookup", True).schema(schema).json(path)
-    rows = df.select(F.col("_metadata.file_path").alias("__file"),
-                     F.posexplode(F.col(field)).alias("__pos", "__rec"))
-    return rows.select("__rec.*", F.struct(F.col("__file").alias("file"), F.col("__pos").alias("pos")).alias("seq"))
+from ..schemas import ENVELOPE_METADATA
+
+
+def read_envelope(spark: SparkSession, path: str, field: str, record: T.StructType,
+                  with_metadata: bool = False, with_quarantine: bool = False):
+    """Multi-line JSON envelope files ``{metadata, <field>: [records]}`` -> one row per record.
+
+    ``with_metadata`` adds the envelope's ``metadata`` to its records. ``with_quarantine`` also
+    returns the files that are no envelope (file, _corrupt_record) instead of losing them."""
+    schema = T.StructType([T.StructField("metadata", ENVELOPE_METADATA), T.StructField(field, T.ArrayType(record)),
+                           T.StructField("_corrupt_record", T.StringType())])
+    df = (spark.read.option("multiLine", True).option("recursiveFileLookup", True).schema(schema).json(path)
+          .select(F.col("_metadata.file_path").alias("__file"), "*"))
+    rows = df.select("__file", "metadata", F.posexplode(F.col(field)).alias("__pos", "__rec"))
+    good = rows.select("__rec.*", *(["metadata"] if with_metadata else []),
+                       F.struct(F.col("__file").alias("file"), F.col("__pos").alias("pos")).alias("seq"))
+    if not with_quarantine:
+        return good
+    bad = df.where(F.col(field).isNull()).select(F.col("__file").alias("file"), "_corrupt_record")
+    return good, bad
 
 
 def _whole_files(spark: SparkSession, path: str) -> DataFrame:

@@ -28,6 +28,20 @@ def test_envelope_and_mixed(spark):
     assert good.agg(F.min("seq.pos")).first()[0] == 0
 
 
+def test_envelope_keeps_metadata_and_malformed_files(spark):
+    from dirlens.schemas import PROVIDER_RAW
+    base = tempfile.mkdtemp(prefix="dirlens-env-")
+    good = '{"metadata": {"country_code": "BD", "total_records": 2}, "providers": [{"name": "A"}, {"name": "B"}]}'
+    for name, text in (("good", good), ("broken", '{"providers": [{"name": '), ("other", '{"clients": []}')):
+        with open(os.path.join(base, f"{name}.json"), "w") as f:
+            f.write(text)
+    rows, bad = io.read_envelope(spark, base, "providers", PROVIDER_RAW, with_metadata=True, with_quarantine=True)
+    assert sorted((r.name, r.metadata.country_code, r.metadata.total_records, r.seq.pos) for r in rows.collect()) == [
+        ("A", "BD", 2, 0), ("B", "BD", 2, 1)]
+    assert sorted(os.path.basename(r.file) for r in bad.collect()) == ["broken.json", "other.json"]
+    assert [r.name for r in io.read_envelope(spark, base, "providers", PROVIDER_RAW).orderBy("seq").collect()] == ["A", "B"]
+
+
 def test_flat_csv_and_empty(spark):
     base = tempfile.mkdtemp(prefix="dirlens-csv-")
     df = spark.createDataFrame([("a", ["x", "y"])], "k string, v array<string>")
