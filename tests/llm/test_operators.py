@@ -56,7 +56,6 @@ def test_exact_dedup_odd(odd, none):
     assert got[2, same].kept
     assert got[3, sha("")].keep_id == 4 and got[4, sha("")].group_size == 2
     assert got[None, sha("no id at all")].kept and got[None, sha("no id at all")].group_size == 2
-    assert got[7, sha("ÉtÉ ÉtÉ".replace("t", "t"))].kept is not None if (7, sha("ÉtÉ ÉtÉ")) in got else True
     assert got[7, sha("Été ÉtÉ")].group_size == 1          # only A-Z are folded
     assert exact_dedup.exact_dedup(odd).count() == odd.count()
     stay = exact_dedup.drop_duplicates(odd)
