@@ -23,9 +23,9 @@ def provider_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     name/country/tier/location/website/source_url carry the dirt the cleaner
     must remove (badges, odd whitespace, country names, bad URLs, blanks),
     derived from each supplier's balance and region. description is the
-    English document with the supplier's id; services are the distinct part
-    types and client_references the distinct part brands of the supplier's
-    full-quantity returned lines (lineitem ⋈ part). Both are sets over small
+    document with the supplier's id; services are the distinct part types and
+    client_references the distinct part brands of all the supplier's lines
+    (lineitem ⋈ part), missing for low balances. Both are sets over small
     domains, de-duplicated map-side, so no array grows with the data.
     """
     s = table(spark, sf_dir, "supplier")
@@ -34,13 +34,12 @@ def provider_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     docs = table(spark, sf_dir, "documents")
 
-    lines = (li.where((F.col("l_quantity") == 50.0) & (F.col("l_returnflag") == "R"))
-             .select("l_suppkey", "l_partkey", "l_orderkey"))
+    lines = li.select("l_suppkey", "l_partkey")
     per_supp = (lines.join(p.select("p_partkey", "p_type", "p_brand"), lines.l_partkey == p.p_partkey)
                 .groupBy("l_suppkey")
                 .agg(F.sort_array(F.collect_set("p_type")).alias("services"),
                      F.sort_array(F.collect_set("p_brand")).alias("client_references")))
-    en = docs.where(F.col("lang") == "en").select(F.col("doc_id"), F.col("text").alias("description"))
+    text = docs.select(F.col("doc_id"), F.col("text").alias("description"))
 
     bal = F.col("s_acctbal")
     sid = F.col("s_suppkey").cast("string")
@@ -66,13 +65,13 @@ def provider_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = (s.join(n, s.s_nationkey == n.n_nationkey, "left")
             .join(per_supp, s.s_suppkey == per_supp.l_suppkey, "left")
-            .join(en, s.s_suppkey == en.doc_id, "left"))
+            .join(text, s.s_suppkey == text.doc_id, "left"))
     return base.select(
         sid.alias("provider_id"), name.alias("name"), country.alias("country"),
         location.alias("location"), tier.alias("tier"), website.alias("website"),
         F.col("description"),
-        F.coalesce(F.col("services"), empty).alias("services"),
-        F.coalesce(F.col("client_references"), empty).alias("client_references"),
+        F.when(bal >= 250, F.coalesce(F.col("services"), empty)).otherwise(empty).alias("services"),
+        F.when(bal >= 750, F.coalesce(F.col("client_references"), empty)).otherwise(empty).alias("client_references"),
         source_url.alias("source_url"),
         F.col("s_suppkey").alias("seq"))
 

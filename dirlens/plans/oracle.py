@@ -96,8 +96,8 @@ pv_supp AS (
   SELECT l_suppkey, list_sort(list_distinct(list(p_type))) AS services,
          list_sort(list_distinct(list(p_brand))) AS client_references
   FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE l_quantity = 50.0 AND l_returnflag = 'R' GROUP BY l_suppkey),
-pv_en AS (SELECT doc_id, text AS description FROM documents WHERE lang = 'en'),
+  GROUP BY l_suppkey),
+pv_en AS (SELECT doc_id, text AS description FROM documents),
 pv AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS provider_id,
     CASE WHEN s_acctbal >= 8000 THEN s_name || ' Gold'
@@ -113,8 +113,8 @@ pv AS (
          WHEN s_acctbal < 3000 THEN 'www.supplier-' || CAST(s_suppkey AS VARCHAR) || '.example.com'
          ELSE ' https://supplier-' || CAST(s_suppkey AS VARCHAR) || '.example.com ' END AS website,
     description,
-    coalesce(services, []::VARCHAR[]) AS services,
-    coalesce(client_references, []::VARCHAR[]) AS client_references,
+    CASE WHEN s_acctbal >= 250 THEN coalesce(services, []::VARCHAR[]) ELSE []::VARCHAR[] END AS services,
+    CASE WHEN s_acctbal >= 750 THEN coalesce(client_references, []::VARCHAR[]) ELSE []::VARCHAR[] END AS client_references,
     CASE WHEN s_acctbal < 500 THEN '' ELSE 'https://directory.example.com/providers/' || CAST(s_suppkey AS VARCHAR) END AS source_url,
     s_suppkey AS seq
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
