@@ -14,11 +14,17 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-def test_pushdown_and_pruning(spark):
+def test_pushdown(spark):
+    p = plan(E.queries()["j01_left_join_counts"](spark, SF))
+    assert "EqualTo(l_quantity,50.0)" in p and "EqualTo(l_returnflag,R)" in p
+    assert "EqualTo(lang,en)" in plan(E.queries()["m01_vocabulary"](spark, SF))
+
+
+def test_pruning(spark):
+    # the provider view reads lineitem whole, with only the columns it needs
     p = plan(E.queries()["c01_clean_providers"](spark, SF))
-    assert "EqualTo(l_quantity,50.0)" in p and "EqualTo(l_returnflag,R)" in p and "EqualTo(lang,en)" in p
-    # lineitem is read with only the columns the view needs
-    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_quantity:double,l_returnflag:string>" in p
+    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in p
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
 
 
 def test_no_python_in_cleaning_and_scoring(spark):
