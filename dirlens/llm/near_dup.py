@@ -21,8 +21,9 @@ the floor with probability below 1e-6; nothing is capped.
 Defined results: null, empty and word-free texts have an empty set (n_shingles 0), link with
 nothing and are kept, as their own component. A text of fewer words than a shingle has one
 shingle, its whole word sequence. Rows with a null doc_id can be linked; a component is named by
-its smallest non-null doc_id (null if it has none), and ``kept`` is null-safe equality. Empty
-input gives no rows.
+its smallest non-null doc_id (null if it has none), and ``kept`` is null-safe equality.
+``drop_near_duplicates`` leaves one (doc_id, text) of each component, a null doc_id only where there
+is no other; a row repeated whole is that document again and stays with it. Empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -176,7 +177,7 @@ def _confirm(pairs: DataFrame, k: int, threshold: int) -> DataFrame:
 def _across(rows: pa.Table, k: int, threshold: int) -> pa.Table:
     """Links that join components within one block pair of one bucket."""
     n = rows.num_rows
-    node, label = rows["node"].to_pylist(), rows["label"].to_pylist()
+    node, label = rows["node"].to_pylist(), rows["label"].to_numpy().copy()
     block = rows["block"].to_numpy()
     same = rows["i"][0].as_py() == rows["j"][0].as_py()
     band = rows["band"][0].as_py()
@@ -184,13 +185,6 @@ def _across(rows: pa.Table, k: int, threshold: int) -> pa.Table:
     keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(n, -1)[:, :band]
     size = rows["n"].to_numpy()
     sets: dict[int, frozenset] = {}
-    parent = {x: x for x in label}
-
-    def root(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
 
     def full(i):
         if i not in sets:
@@ -202,31 +196,34 @@ def _across(rows: pa.Table, k: int, threshold: int) -> pa.Table:
         rest = np.arange(i + 1, n)
         if not same:
             rest = rest[block[i + 1:] != block[i]]
-        rest = rest[np.fromiter((label[j] != label[i] for j in rest), bool, len(rest))]
+        rest = rest[label[rest] != label[i]]
         if not len(rest):
             continue
         rest = rest[100 * np.minimum(size[rest], size[i]) >= threshold * np.maximum(size[rest], size[i])]
         rest = rest[_estimates(sig[rest], sig[i]) >= low]
         rest = rest[~(keys[rest] == keys[i]).any(1)]          # an earlier band has this pair
         for j in rest.tolist():
-            if root(label[i]) != root(label[j]) and _similar(full(i), full(j), threshold):
-                parent[root(label[i])] = root(label[j])
+            if label[i] != label[j] and _similar(full(i), full(j), threshold):
                 a.append(node[i]), b.append(node[j])
+                label[label == label[j]] = label[i]           # one component from now on
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    threshold: int = THRESHOLD) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept, class_size."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int,
+              threshold: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, th, n, cls) and, for every class, its component's label: cls, least_id, heir,
+    class_size, label."""
     ship_package(docs.sparkSession)
     signed = written(signatures(docs, id_col, text_col, shingle), "minhash")
 
     # a node per distinct shingle set; the written table fixes the node numbers
     nodes = (signed.where("cls IS NOT NULL").groupBy("cls")
-             .agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.count(F.lit(1)).alias("class_size"),
+             .agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.min("doc_id").alias("least_id"),
+                  F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("heir"),
+                  F.count(F.lit(1)).alias("class_size"),
                   F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("keys").alias("keys")))
-    nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "cls", "rep.*", "class_size",
-                                 "n", "sig", "keys"), "minhash-nodes")
+    nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "cls", "rep.*", "least_id", "heir",
+                                 "class_size", "n", "sig", "keys"), "minhash-nodes")
 
     # buckets with company, and each one's hub
     bands = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
@@ -277,14 +274,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more.join(first.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left")
         .join(first.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
         .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-    label = (nodes.select("node", "cls", "doc_id", "class_size").join(first, "node", "left")
-             .select("node", "cls", "doc_id", "class_size", F.coalesce("label", "node").alias("label"))
-             .join(joined.select(F.col("node").alias("label"), F.col("label").alias("last")), "label", "left")
-             .select("cls", "doc_id", "class_size", F.coalesce("last", "label").alias("label")))
-    named = label.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    where = label.select("cls", "class_size", "label").join(named, "label").drop("label")
-
-    rows = signed.select("doc_id", "n", "cls")
+    classes = (nodes.select("node", "cls", "least_id", "heir", "class_size").join(first, "node", "left")
+               .withColumn("label", F.coalesce("label", "node"))
+               .join(joined.select(F.col("node").alias("label"), F.col("label").alias("last")), "label", "left")
+               .select("cls", "least_id", "heir", "class_size", F.coalesce("last", "label").alias("label")))
+    return signed.select("doc_id", "th", "n", "cls"), classes
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                    threshold: int = THRESHOLD) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept, class_size."""
+    rows, classes = _labelled(docs, id_col, text_col, shingle, threshold)
+    named = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    where = classes.select("cls", "class_size", "label").join(named, "label").drop("label")
     linked = rows.join(where, "cls").select("doc_id", "n", "component_id", "class_size")
     alone = rows.where("cls IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"),
                                              F.lit(1).cast("bigint").alias("class_size"))
@@ -295,6 +297,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                          threshold: int = THRESHOLD) -> DataFrame:
     """The documents that stay (one of each component), with the columns they came with."""
-    stay = (near_duplicates(docs, id_col, text_col, shingle, threshold).where("kept")
-            .select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["__id"]), "left_semi")
+    rows, classes = _labelled(docs, id_col, text_col, shingle, threshold)
+    heirs = classes.groupBy("label").agg(F.min("heir").alias("heir")).select("heir.doc_id", "heir.th")
+    stay = (heirs.union(rows.where("cls IS NULL").select("doc_id", "th")).distinct()
+            .select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")))
+    return docs.join(stay, docs[id_col].eqNullSafe(stay["__id"])
+                     & (F.xxhash64(docs[text_col]) == stay["__th"]), "left_semi")

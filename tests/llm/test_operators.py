@@ -140,6 +140,24 @@ def test_near_dup_odd(odd, none):
     assert near_dup.near_duplicates(none).count() == 0
 
 
+def test_near_dup_null_and_repeated_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    one, two, other = " ".join(words), " ".join(words[:-1] + ["zz"]), "some quite different text of eight words here"
+    rows = [(None, one), (7, one), (5, two), (5, other), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept, r.class_size) for r in near_dup.near_duplicates(docs).collect()}
+    assert got == {(None, 56, 5, False, 2), (7, 56, 5, False, 2), (5, 56, 5, True, 1), (5, 4, 5, True, 1),
+                   (None, 0, None, True, 1)}
+    stay = sorted(map(tuple, near_dup.drop_near_duplicates(docs).collect()), key=str)
+    assert stay == sorted([(5, two), (5, other), (None, None), (None, "")], key=str)
+    # an id that is given twice goes where its text is a near copy of a smaller one
+    again = spark.createDataFrame([(3, one), (5, two), (5, other), (None, two)], "doc_id long, text string")
+    assert sorted(map(tuple, near_dup.drop_near_duplicates(again).collect())) == [(3, one), (5, other)]
+    # without any other id a null one stands for its group, once
+    none = spark.createDataFrame([(None, one), (None, two)], "doc_id long, text string")
+    assert near_dup.drop_near_duplicates(none).count() == 1
+
+
 def test_estimate_matches_similarity():
     rng = np.random.default_rng(3)
     a = np.unique(rng.integers(0, 2**63, 4000).astype(np.uint64))
