@@ -51,20 +51,21 @@ def _demand(sources: DataFrame, schedule: DataFrame | None, cycle: Sequence[floa
                             (F.pmod(F.col("rank") - 1, F.lit(len(cycle))) + 1).cast("int"))
         return sources.select("*", pick.alias("weight"), F.array(F.lit(0.0), F.lit(1.0)).alias("starts"),
                               F.array(F.lit(0.0), F.lit(1.0)).alias("cums"))
-    # one row per (source, segment): the schedule is a small parameter table
+    # a row for each source and segment: the segments of the schedule, a small parameter, as an array
     grid = schedule.select("start").distinct()
     segments = grid.withColumn("stop", F.coalesce(F.lead("start").over(Window.orderBy("start")), F.lit(1.0)))
     given = schedule.groupBy(F.col("source").alias("__s"), F.col("start").alias("__t")).agg(
         F.max(F.col("weight").cast("double")).alias("w"))
-    cells = (sources.select("rank", "source").join(segments, F.lit(True))
+    line = segments.agg(F.collect_list(F.struct("start", "stop"))).scalar()
+    cells = (sources.select("rank", "source", F.inline(line))
              .join(given, F.col("source").eqNullSafe(F.col("__s")) & (F.col("start") == F.col("__t")), "left")
              .select("rank", "start", "stop", F.coalesce("w", F.lit(0.0)).alias("w")))
     whole = F.sum("w").over(Window.partitionBy("start"))
     first = F.max(F.when(F.col("start") == F.col("t0"), F.col("seg")))
     cells = cells.withColumn("seg", whole).withColumn("t0", F.min("start").over(Window.partitionBy("rank")))
-    scale = cells.agg(first.alias("w0"))
-    cells = cells.join(F.broadcast(scale), F.lit(True)).withColumn(
-        "part", F.when(F.col("seg") > 0, F.col("w") * F.col("w0") / F.col("seg") * (F.col("stop") - F.col("start")))
+    scale = cells.agg(first).scalar()
+    cells = cells.withColumn(
+        "part", F.when(F.col("seg") > 0, F.col("w") * scale / F.col("seg") * (F.col("stop") - F.col("start")))
         .otherwise(0.0))
     run = F.sum("part").over(Window.partitionBy("rank").orderBy("start"))
     corners = (cells.withColumn("run", run).groupBy("rank")

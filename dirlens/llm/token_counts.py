@@ -63,14 +63,14 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
     ranges = (h.groupBy("range").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
               .select("range", F.coalesce(F.sum("d").over(over), F.lit(0)).alias("docs_over"),
                       F.coalesce(F.sum("t").over(over), F.lit(0)).alias("tokens_over")))
-    total = h.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("all"))
+    total = h.agg(F.struct(F.sum("n_docs").alias("docs"), F.sum("tokens").alias("all"))).scalar()
     inside = Window.partitionBy("range").orderBy(F.desc("n_tokens")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     s = (h.withColumns({"d": F.sum("n_docs").over(inside), "t": F.sum("tokens").over(inside)})
-         .join(ranges, "range").join(F.broadcast(total), F.lit(True))
+         .join(ranges, "range").withColumn("total", total)
          .withColumns({"docs_ge": F.col("d") + F.col("docs_over"), "tokens_ge": F.col("t") + F.col("tokens_over")}))
     return s.select("n_tokens", "n_docs", "docs_ge", "tokens_ge",
-                    (F.col("docs") - F.col("docs_ge") + F.col("n_docs")).alias("docs_le"),
-                    (F.col("all") - F.col("tokens_ge") + F.col("n_tokens") * F.col("docs_ge")).alias("truncated"))
+                    (F.col("total.docs") - F.col("docs_ge") + F.col("n_docs")).alias("docs_le"),
+                    (F.col("total.all") - F.col("tokens_ge") + F.col("n_tokens") * F.col("docs_ge")).alias("truncated"))
 
 
 def at_limits(sums: DataFrame, limits: Sequence[int]) -> DataFrame:
@@ -78,10 +78,10 @@ def at_limits(sums: DataFrame, limits: Sequence[int]) -> DataFrame:
     spark = sums.sparkSession
     asked = spark.createDataFrame([(int(x),) for x in limits], "limit long")
     # the next length at or above the limit has all that is needed
-    whole = sums.agg(F.coalesce(F.max(F.struct("n_tokens", "truncated"))["truncated"], F.lit(0)).alias("whole"))
+    whole = sums.agg(F.coalesce(F.max(F.struct("n_tokens", "truncated"))["truncated"], F.lit(0))).scalar()
     above = (sums.join(F.broadcast(asked), F.col("n_tokens") >= F.col("limit")).groupBy("limit")
              .agg(F.min(F.struct("n_tokens", "n_docs", "docs_ge", "truncated")).alias("x")))
-    return (asked.join(above, "limit", "left").join(F.broadcast(whole), F.lit(True))
+    return (asked.join(above, "limit", "left").withColumn("whole", whole)
             .select("limit", F.when(F.col("x.n_tokens") == F.col("limit"), F.col("x.docs_ge") - F.col("x.n_docs"))
                     .otherwise(F.coalesce("x.docs_ge", F.lit(0))).alias("docs_truncated"),
                     F.coalesce(F.col("x.truncated") - (F.col("x.n_tokens") - F.col("limit")) * F.col("x.docs_ge"),
@@ -92,7 +92,6 @@ def quantiles(sums: DataFrame, shares: Sequence[float]) -> DataFrame:
     """share, n_tokens: the smallest length that at least this share of the documents do not exceed."""
     spark = sums.sparkSession
     asked = spark.createDataFrame([(float(x),) for x in shares], "share double")
-    total = sums.agg(F.sum("n_docs").alias("docs"))
-    return (sums.join(F.broadcast(total), F.lit(True))
+    return (sums.withColumn("docs", sums.agg(F.sum("n_docs")).scalar())
             .join(F.broadcast(asked), F.col("docs_le") >= F.col("share") * F.col("docs"))
             .groupBy("share").agg(F.min("n_tokens").alias("n_tokens")))

@@ -69,10 +69,11 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
     active entry) for captures (capture_id, url, fetched)."""
     c = captures.select("capture_id", "url", "fetched", normal_url(F.col("url")).alias("norm"))
     asked = c.where("norm IS NOT NULL AND fetched IS NOT NULL").select("norm", "fetched").distinct()
-    days = asked.agg(F.min(F.to_date("fetched")).alias("first_day"), F.max(F.to_date("fetched")).alias("last_day"))
-    live = intervals(entries).join(F.broadcast(days), F.lit(True))
-    start = F.greatest(F.to_date("valid_from"), F.col("first_day"))
-    stop = F.least(F.coalesce(F.to_date("valid_to"), F.col("last_day")), F.col("last_day"))
+    day = F.to_date("fetched")
+    days = c.where("norm IS NOT NULL").agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+    live = intervals(entries).withColumn("days", days)
+    start = F.greatest(F.to_date("valid_from"), F.col("days.first"))
+    stop = F.least(F.coalesce(F.to_date("valid_to"), F.col("days.last")), F.col("days.last"))
     live = (live.withColumns({"start": start, "stop": stop}).where("start <= stop")
             .select("list", "kind", F.col("pattern").alias("key"), "valid_from", "valid_to",
                     F.explode(F.sequence("start", "stop")).alias("day")))
