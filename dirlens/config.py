@@ -170,6 +170,21 @@ class KeywordRules:
     industry_fallback: str = DEFAULT_INDUSTRY_FALLBACK
 
 
+def load_targets(path: str) -> dict:
+    """Page targets from a JSON file {name: {base_url, country_code, listing, detail}}."""
+    import json
+    with open(path, "r", encoding="utf-8") as f:
+        return json.load(f)
+
+
+def target_named(name: str, targets: dict | None = None) -> dict:
+    """The target of that name; ValueError naming the known ones if there is none."""
+    known = DEFAULT_TARGETS if targets is None else targets
+    if name not in known:
+        raise ValueError(f"unknown target {name!r}; known: {', '.join(sorted(known))}")
+    return known[name]
+
+
 def load_dictionary(path: str) -> tuple[Dictionary, QualityRules]:
     """Read a dictionary JSON file (driver side, a few KB) into config objects."""
     import json

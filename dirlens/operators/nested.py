@@ -17,9 +17,11 @@ from .dedup import dedup_last
 
 
 def flatten_references(df: DataFrame, rules: KeywordRules | None = None,
-                       refs: str = "client_references_detailed", seq: str = "seq") -> DataFrame:
+                       refs: str = "client_references_detailed", seq: str = "seq",
+                       extra: Mapping[str, str] | None = None) -> DataFrame:
     """One row per client reference (15 export columns + ``seq``); a partner
-    without references yields one row with 'N/A' client and industry.
+    without references yields one row with 'N/A' client and industry. ``extra``
+    carries more partner columns along: {column: exported name}.
 
     ``seq`` becomes struct(partner seq, reference position) so that row order
     survives the shuffle-based dedup that follows.
@@ -52,6 +54,7 @@ def flatten_references(df: DataFrame, rules: KeywordRules | None = None,
         d("certified_experts", "N/A").alias("Certified Experts"),
         d("reference_count_listed", "N/A").alias("Total References Listed"),
         map_to_text(F.col("certifications")).alias("Certifications"),
+        *[F.col(c).alias(name) for c, name in (extra or {}).items()],
         F.struct(F.col(seq).alias("p"), F.coalesce(F.col("__pos"), F.lit(0)).alias("r")).alias("seq"),
     )
 
@@ -70,9 +73,10 @@ def sort_by_tier(df: DataFrame, tier: str = "Partner Tier", name: str = "Partner
     return df.orderBy(tier_rank(tier), F.col(name), F.col(client), F.col(seq))
 
 
-def flatten_dedup_sort(df: DataFrame, rules: KeywordRules | None = None) -> DataFrame:
+def flatten_dedup_sort(df: DataFrame, rules: KeywordRules | None = None,
+                       extra: Mapping[str, str] | None = None) -> DataFrame:
     """N1 -> last-wins on (Partner ID, Client Name) -> O1."""
-    flat = flatten_references(df, rules)
+    flat = flatten_references(df, rules, extra=extra)
     return sort_by_tier(dedup_last(flat, ["Partner ID", "Client Name"], "seq"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_BLOCK_MARKERS, MAX_LISTING_PAGES
-from ..session import ship_package
+from ..session import cut, ship_package
 from . import htmlsel
 
 LINK_SCHEMA = "page_id long, link string"
@@ -40,12 +40,10 @@ def _links_fn(selector: str, fallback: str | None, base: str | None, attr: str =
                 nodes = htmlsel.select(doc, selector)
                 if not nodes and fallback:
                     nodes = htmlsel.select(doc, fallback)
-                b = base if base is not None else url
-                for n in nodes:
-                    href = n.attrs.get(attr, "")
-                    if href:
-                        ids.append(pid)
-                        out.append(urljoin(b or "", href))
+                b = (base if base is not None else url) or ""
+                links = dict.fromkeys(urljoin(b, n.attrs[attr]) for n in nodes if n.attrs.get(attr))
+                ids += [pid] * len(links)
+                out += links
             yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"),
                                 "link": pd.Series(out, dtype="object")})
     return run
@@ -54,11 +52,11 @@ def _links_fn(selector: str, fallback: str | None, base: str | None, attr: str =
 def extract_links(pages: DataFrame, selector: str = "a", base_url: str | None = None,
                   fallback: str | None = None) -> DataFrame:
     """H1 (+H6, F6): (page_id, absolute link) for every match with a non-empty href,
-    distinct per page. Links resolve against ``base_url`` (the target's base) or,
+    distinct per page row. Links resolve against ``base_url`` (the target's base) or,
     when not given, against the page's own URL."""
     ship_package(pages.sparkSession)
     fn = _links_fn(selector, fallback, base_url)
-    return pages.select("page_id", "url", "html").mapInPandas(fn, LINK_SCHEMA).distinct()
+    return pages.select("page_id", "url", "html").mapInPandas(fn, LINK_SCHEMA)
 
 
 def link_filter(links: DataFrame, include: str = "/partners/",
@@ -136,14 +134,15 @@ def page_chain(starts: DataFrame, edges: DataFrame, max_pages: int = MAX_LISTING
     stopping at a missing link or a self-link.
 
     ``starts(start_url)``, ``edges(url, next_url)`` -> (start_url, depth, url).
-    The bound makes this a fixed number of equi-joins (no driver loop over data).
+    The bound makes this a fixed number of equi-joins (no driver loop over data); links
+    and frontiers are cut, so no depth computes the ones before it again.
     """
-    e = edges.select("url", "next_url").where(F.col("next_url").isNotNull() & (F.col("next_url") != F.col("url")))
+    e = cut(edges.select("url", "next_url").where(F.col("next_url").isNotNull() & (F.col("next_url") != F.col("url"))))
     frontier = starts.select("start_url", F.lit(1).alias("depth"), F.col("start_url").alias("url"))
     out = frontier
     for d in range(2, max_pages + 1):
-        frontier = (frontier.join(e, "url")
-                    .select("start_url", F.lit(d).alias("depth"), F.col("next_url").alias("url")))
+        frontier = cut(frontier.join(e, "url")
+                       .select("start_url", F.lit(d).alias("depth"), F.col("next_url").alias("url")))
         out = out.unionByName(frontier)
     return out
 

@@ -79,12 +79,11 @@ def provider_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARTNER_TIER = {"1-URGENT": "Gold", "2-HIGH": "Silver", "3-MEDIUM": "Ready"}
 
 
-def _returned_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Returned lines (l_returnflag = 'R') joined to their part: one client reference each."""
+def _line_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines joined to their part: one client reference each."""
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part")
-    return (li.where(F.col("l_returnflag") == "R")
-            .join(p.select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey")))
+    return li.join(p.select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
 
 
 def _partner_columns(tier_col: str = "o_orderpriority") -> list:
@@ -92,6 +91,10 @@ def _partner_columns(tier_col: str = "o_orderpriority") -> list:
                       F.lit("Bronze"))
     certs = F.map_from_arrays(F.array(F.lit("v18"), F.lit("v17")),
                               F.array(F.col("o_orderstatus"), F.col("c_mktsegment")))
+    # a plain number, or the breakdown by version
+    experts = (F.when(F.col("o_orderstatus") == "F", F.col("c_nationkey").cast("string"))
+               .otherwise(F.format_string("%d Certified v18, 2 Certified v17", F.col("c_nationkey"))))
+    kept = F.greatest(F.lit(0), F.least(F.lit(100), F.floor(F.col("c_acctbal") / 100)))
     return [F.col("c_name").alias("company_name"), tier.alias("tier"),
             F.concat(F.lit("https://partner-"), F.col("o_custkey").cast("string"),
                      F.lit(".example.com")).alias("website"),
@@ -99,25 +102,28 @@ def _partner_columns(tier_col: str = "o_orderpriority") -> list:
             F.col("o_orderkey").cast("string").alias("partner_id"),
             F.format_string("%d users", F.col("o_custkey")).alias("average_project_size"),
             F.col("o_orderpriority").alias("large_project_size"),
-            F.format_string("%d Certified v18", F.col("c_nationkey")).alias("certified_experts"),
+            experts.alias("certified_experts"),
             F.coalesce(F.col("n_refs"), F.lit(0)).cast("string").alias("reference_count_listed"),
-            certs.alias("certifications")]
+            certs.alias("certifications"), F.col("n_name").alias("country"),
+            F.concat(kept.cast("string"), F.lit("%")).alias("customer_retention")]
 
 
 def _partners_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders ⋈ customer with the per-order reference count (a partial-aggregated count)."""
+    """orders ⋈ customer ⋈ nation with the per-order line count (a partial-aggregated count)."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    counts = _returned_refs(spark, sf_dir).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_refs"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    counts = _line_refs(spark, sf_dir).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_refs"))
     return (o.join(c, o.o_custkey == c.c_custkey, "left")
+            .join(n, c.c_nationkey == n.n_nationkey, "left")
             .join(counts, o.o_orderkey == counts.l_orderkey, "left"))
 
 
 def partner_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partners, one flat row per order (the dashboards' partner table) + seq.
 
-    A partner is an order; its reference count is the number of its returned
-    lines. No arrays are built, so nothing grows with a hot order.
+    A partner is an order; its reference count is the number of its lines. No
+    arrays are built, so nothing grows with a hot order.
     """
     return _partners_base(spark, sf_dir).select(*_partner_columns(), F.col("o_orderkey").alias("seq"))
 
@@ -126,16 +132,15 @@ def partner_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detailed partner records (PARTNER_DETAILED + seq) as page-wise partial files.
 
     Like the partial files the original ingests, a partner appears in several
-    records: one per client reference (its returned lines), each holding a
-    one-element reference list, plus one record with no references for a
-    partner without returns. ``seq`` orders records by (order, line number,
+    records: one per client reference (its lines), each holding a one-element
+    reference list, plus one record with no references for a partner without lines. ``seq`` orders records by (order, line number,
     part, supplier, quantity, price, ship date), a total order (line numbers
     repeat within an order). A client is the part's type, so the same client
     recurs within a partner and the last-wins dedup has work to do. No record
     grows with the data.
     """
     base = _partners_base(spark, sf_dir)
-    refs = _returned_refs(spark, sf_dir)
+    refs = _line_refs(spark, sf_dir)
     ref = F.struct(F.col("p_type").alias("client_name"),
                    F.concat_ws(" ", F.col("p_name"), F.lower(F.col("p_type"))).alias("description"),
                    F.array(F.col("p_name"), F.col("p_type")).alias("modules_implemented"),
@@ -156,3 +161,36 @@ def partner_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("double"),
                            F.lit(None).cast(refs.schema["l_shipdate"].dataType))))
     return with_refs.unionByName(no_refs)
+
+
+SITE = "https://directory.example.com"
+
+
+def directory_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directory pages (page_id, url, html), made of all turns of ``conversations``.
+
+    Every turn is a listing page; a user's turn lists a provider, whose detail page holds the
+    turn's text. A listing page leads to the next turn's, unless its turn is a long answer (the last
+    page; some links lead nowhere, as on real sites). Short answers carry a block marker.
+    """
+    t = table(spark, sf_dir, "conversations")
+    place = F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    following = F.concat_ws("/", F.col("conv_id").cast("string"), (F.col("turn") + 1).cast("string"))
+    text = F.coalesce("text", F.lit(""))
+    shown = F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    answer = F.col("role") == "assistant"
+    listing = F.concat(
+        F.lit("<html><body><script>var a=1;</script><h1>List "), place, F.lit("</h1>"),
+        F.when(answer & (F.length(text) < 400), F.lit("<p>Access Denied</p>")).otherwise(F.lit("")),
+        F.when(F.col("role") == "user", F.concat(F.lit('<a class="provider-link" href="/providers/'), place, F.lit('">p</a>')))
+        .otherwise(F.lit("")),
+        F.when(answer & (F.length(text) > 1500), F.lit(""))
+        .otherwise(F.concat(F.lit('<a rel="next" class="next-page" href="/list/'), following, F.lit('">next</a>'))),
+        F.lit("</body></html>"))
+    detail = F.concat(F.lit('<html><body><h1 class="company-name"> Partner '), place, F.lit(' </h1><div class="about-section">'),
+                      shown, F.lit('</div><ul class="services-list"><li>'), F.col("role"), F.lit("</li><li>turn</li></ul></body></html>"))
+    key = F.col("conv_id") * 2_000_000 + F.col("turn") * 2
+    lists = t.select(key.alias("page_id"), F.concat(F.lit(SITE + "/list/"), place).alias("url"), listing.alias("html"))
+    details = t.where(F.col("role") == "user").select((key + 1).alias("page_id"), F.concat(F.lit(SITE + "/providers/"), place).alias("url"),
+                                                      detail.alias("html"))
+    return lists.unionByName(details)

@@ -23,7 +23,7 @@ from ..operators import stats as A
 from ..operators import textml as M
 from ..operators.clean_records import clean_providers
 from . import pipelines as X
-from .bindings import partner_directory, partner_pages, provider_view, table
+from .bindings import SITE, directory_pages, partner_directory, partner_pages, provider_view, table
 
 REG: dict = {}
 
@@ -238,7 +238,7 @@ def f02(spark, d):
 
 @q("f03_blocked")
 def f03(spark, d):
-    pg = table(spark, d, "pages")
+    pg = directory_pages(spark, d)
     return pg.select("page_id", H.blocked("html").alias("blocked"))
 
 
@@ -253,8 +253,8 @@ def f04(spark, d):
 
 @q("f05_empty_page")
 def f05(spark, d):
-    pg = table(spark, d, "pages")
-    return H.link_counts(pg, H.extract_links(pg, "article a"))
+    pg = directory_pages(spark, d)
+    return H.link_counts(pg, H.extract_links(pg, "a.provider-link"))
 
 
 @q("f06_fallback")
@@ -272,21 +272,17 @@ def f07(spark, d):
 
 
 # ---------------------------------------------------------------- joins
-def _returned_full_lines(spark, d):
-    return table(spark, d, "lineitem").where((F.col("l_quantity") == 50.0) & (F.col("l_returnflag") == "R"))
-
-
 @q("j01_left_join_counts")
 def j01(spark, d):
-    p = table(spark, d, "part").select("p_partkey", "p_brand")
-    return A.left_join_counts(p, _returned_full_lines(spark, d), "p_partkey", "l_partkey")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    return A.left_join_counts(o, table(spark, d, "lineitem"), "o_orderkey", "l_orderkey")
 
 
 @q("j05_orphans")
 def j05(spark, d):
     li = table(spark, d, "lineitem")
     o = table(spark, d, "orders")
-    return Q.orphans(li, o, "l_orderkey", "o_orderkey").agg(F.count(F.lit(1)).alias("orphans"))
+    return Q.orphans(o, li, "o_orderkey", "l_orderkey").agg(F.count(F.lit(1)).alias("orphans"))
 
 
 # ---------------------------------------------------------------- aggregations
@@ -333,7 +329,7 @@ def a08(spark, d):
 
 @q("a09_avg_per_tier")
 def a09(spark, d):
-    return A.avg_by(j01(spark, d), "p_brand", "client_count", "avg_clients")
+    return A.avg_by(j01(spark, d), "o_orderpriority", "client_count", "avg_clients")
 
 
 @q("a10_category_stats")
@@ -388,8 +384,8 @@ def q07(spark, d):
 
 @q("q08_url_pattern")
 def q08(spark, d):
-    pg = table(spark, d, "pages")
-    return pg.select("page_id", F.col("url").rlike(QualityRules().url_pattern).alias("url_ok"))
+    p = provider_view(spark, d)
+    return p.select(F.col("seq").alias("s_suppkey"), F.trim("website").rlike(QualityRules().url_pattern).alias("url_ok"))
 
 
 def _x1(spark, d):
@@ -502,9 +498,9 @@ def n02(spark, d):
 @q("n03_array_contains")
 def n03(spark, d):
     p = table(spark, d, "part")
-    g = p.groupBy("p_brand").agg(F.collect_set("p_type").alias("types"))
-    return g.select("p_brand", N.has_any("types", ["PROMO", "SMALL"]).alias("any_match"),
-                    N.has_all("types", ["PROMO", "SMALL"]).alias("all_match"))
+    words = p.select("p_partkey", F.split("p_name", " ").alias("words"))
+    return words.select("p_partkey", N.has_any("words", ["red", "blue"]).alias("any_match"),
+                        N.has_all("words", ["red", "blue"]).alias("all_match"))
 
 
 @q("n04_term_search")
@@ -807,23 +803,22 @@ def q05(spark, d):
 
 @q("h07_next_page")
 def h07(spark, d):
-    return H.next_page_links(table(spark, d, "pages"), "a[rel='next']")
+    return H.next_page_links(directory_pages(spark, d), "a[rel='next']")
 
 
 @q("h09_collect_target")
 def h09(spark, d):
-    from ..config import DEFAULT_TARGETS
-    pages = table(spark, d, "pages")
-    target = dict(DEFAULT_TARGETS["bangladesh"])
-    target["listing"] = {"provider_link": "nav a", "next_page": "a.next-page"}
-    target["detail"] = {"name": "h1", "description": "article", "services": "nav li"}
-    starts = pages.select(F.col("url").alias("start_url"))
-    recs = H.collect_target(pages, target, starts)
-    return recs.select("seq", "name", "country")
+    from ..config import target_named
+    target = dict(target_named("bangladesh"), base_url=SITE)
+    # the listing of every conversation starts at its turn 0
+    starts = table(spark, d, "conversations").select(
+        F.concat(F.lit(SITE + "/list/"), F.col("conv_id").cast("string"), F.lit("/0")).alias("start_url")).distinct()
+    recs = H.collect_target(directory_pages(spark, d), target, starts)
+    return recs.select("seq", "name", "country", "description", F.array_join("services", ",").alias("services"), "source_url")
 
 
 def _partner_clients(spark, d):
-    flat = N.flatten_dedup_sort(partner_pages(spark, d))
+    flat = N.flatten_dedup_sort(partner_pages(spark, d), extra={"customer_retention": "Customer Retention"})
     return flat.where(F.col("Client Name") != "N/A")
 
 
@@ -836,24 +831,24 @@ def x4_avg(spark, d):
 
 @q("x4_top_countries")
 def x4_countries(spark, d):
-    return A.top_values(partner_directory(spark, d), "city", 10)
+    return A.top_values(partner_directory(spark, d), "country", 10)
 
 
 @q("x4_grand_kpis")
 def x4_kpis(spark, d):
     partners = partner_directory(spark, d)
     clients = _partner_clients(spark, d)
-    return A.grand_kpis(partners, clients, "city", C.sum_matches(F.col("certified_experts")),
-                        C.first_int(F.col("Avg Project Size"))).drop("pos")
+    return A.grand_kpis(partners, clients, "country", C.to_number("certified_experts"),
+                        C.first_int(F.col("Customer Retention"))).drop("pos")
 
 
 @q("x3_clients_clean")
 def x3_clean(spark, d):
-    flat = N.flatten_dedup_sort(partner_pages(spark, d))
+    flat = N.flatten_dedup_sort(partner_pages(spark, d), extra={"customer_retention": "Customer Retention"})
     return flat.select("Partner ID", "Client Name",
                        C.first_int("Avg Project Size").alias("Project Size (Numeric)"),
                        C.primary_value("Client Industry").alias("Primary Industry"),
-                       C.first_int("Large Project Size").alias("Retention (Numeric)"))
+                       C.first_int("Customer Retention").alias("Retention (Numeric)"))
 
 
 @q("x4_partners_clean")

@@ -223,17 +223,28 @@ pr AS (
   SELECT l_orderkey, list({'client_name': p_type, 'description': p_name || ' ' || lower(p_type),
            'modules': [p_name, p_type], 'outcomes': format('qty {:.0f}', l_quantity)}
            ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS refs
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R' GROUP BY l_orderkey),
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
 pt AS (
   SELECT o_orderkey, c_name, CASE o_orderpriority WHEN '1-URGENT' THEN 'Gold' WHEN '2-HIGH' THEN 'Silver'
            WHEN '3-MEDIUM' THEN 'Ready' ELSE 'Bronze' END AS tier,
          'https://partner-' || CAST(o_custkey AS VARCHAR) || '.example.com' AS website,
          c_mktsegment AS city, CAST(o_orderkey AS VARCHAR) AS partner_id,
          format('{} users', o_custkey) AS avg_size, o_orderpriority AS large_size,
-         format('{} Certified v18', c_nationkey) AS experts,
+         CASE o_orderstatus WHEN 'F' THEN CAST(c_nationkey AS VARCHAR)
+           ELSE format('{} Certified v18, 2 Certified v17', c_nationkey) END AS experts,
+         n_name AS country, CAST(greatest(0, least(100, floor(c_acctbal / 100)))::BIGINT AS VARCHAR) || '%' AS retention,
          CAST(coalesce(len(refs), 0) AS VARCHAR) AS ref_count,
          'v18: ' || o_orderstatus || ', v17: ' || c_mktsegment AS certs, refs
-  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN pr ON o_orderkey = pr.l_orderkey)"""
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN pr ON o_orderkey = pr.l_orderkey)"""
+
+DIRECTORY_VIEW = """
+turns AS (SELECT *, conv_id || '/' || turn AS place, coalesce(length(text), 0) AS n FROM conversations),
+listing AS (SELECT conv_id * 2000000 + turn * 2 AS page_id, 'https://directory.example.com/list/' || place AS url, role, place,
+    role = 'assistant' AND n < 400 AS blocked,
+    CASE WHEN role = 'assistant' AND n > 1500 THEN NULL
+         ELSE 'https://directory.example.com/list/' || conv_id || '/' || (turn + 1) END AS next_url FROM turns),
+detail AS (SELECT conv_id * 2000000 + turn * 2 + 1 AS page_id, 'https://directory.example.com/providers/' || place AS url,
+    place, coalesce(text, '') AS text FROM turns WHERE role = 'user')"""
 
 INDUSTRY_CASE = ("CASE WHEN contains(lower({x}), 'manufacturing') THEN 'Manufacturing' "
                  "WHEN contains(lower({x}), 'retail') THEN 'Retail' "
@@ -253,11 +264,11 @@ flat AS (
     coalesce(rf.description, '') AS "Project Description", website AS "Partner Website", city AS "Partner City",
     partner_id AS "Partner ID", avg_size AS "Avg Project Size", large_size AS "Large Project Size",
     experts AS "Certified Experts", ref_count AS "Total References Listed", certs AS "Certifications",
-    o_orderkey AS p, pos
+    retention AS "Customer Retention", o_orderkey AS p, pos
   FROM fl_ref
   UNION ALL
   SELECT coalesce(c_name, 'Unknown'), tier, 'N/A', 'N/A', '', '', '', website, city, partner_id, avg_size,
-    large_size, experts, ref_count, certs, o_orderkey, 0
+    large_size, experts, ref_count, certs, retention, o_orderkey, 0
   FROM pt WHERE coalesce(len(refs), 0) = 0),
 flat_last AS (
   SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY "Partner ID", "Client Name" ORDER BY p DESC, pos DESC) = 1)"""
@@ -365,22 +376,21 @@ SELECT coalesce(provider_id, '') AS provider_id, coalesce(location, '') AS locat
                            "THEN 'good' ELSE 'quarantine' END AS status FROM documents")
     S["f02_positive_mean"] = (f"SELECT c_mktsegment, {r('avg(CASE WHEN c_acctbal > 0 THEN c_acctbal END)', 4)} AS avg_positive "
                               "FROM customer GROUP BY c_mktsegment")
-    S["f03_blocked"] = ("SELECT page_id, (contains(html, 'It needs a human touch') OR contains(html, 'Access Denied')) "
-                        "AS blocked FROM pages")
+    S["f03_blocked"] = "WITH " + DIRECTORY_VIEW + " SELECT page_id, blocked FROM listing UNION ALL SELECT page_id, false FROM detail"
     S["f04_link_filter"] = ("WITH " + NAV_LINKS + " SELECT page_id, link FROM links WHERE contains(link, '/th') "
                             "AND NOT contains(link, 'the') AND NOT contains(link, 'that')")
-    S["f05_empty_page"] = ("SELECT page_id, len(regexp_extract_all(regexp_extract(html, '(?s)<article>(.*)</article>', 1), "
-                           "'<a [^>]*href=\"[^\"]+\"'))::BIGINT AS links, links = 0 AS empty_page FROM pages")
+    S["f05_empty_page"] = ("WITH " + DIRECTORY_VIEW + " SELECT page_id, (role = 'user')::BIGINT AS links, role <> 'user' AS empty_page "
+                           "FROM listing UNION ALL SELECT page_id, 0, true FROM detail")
     S["f06_fallback"] = "WITH " + NAV_LINKS + " SELECT page_id, count(*)::BIGINT AS links FROM links GROUP BY page_id"
     S["f07_skip_done"] = ("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN "
                           "(SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
     # joins
-    J1 = ("SELECT p_partkey, p_brand, coalesce(c.n, 0)::BIGINT AS client_count FROM part LEFT JOIN "
-          "(SELECT CAST(l_partkey AS VARCHAR) AS k, count(*) AS n FROM lineitem WHERE l_quantity = 50.0 AND "
-          "l_returnflag = 'R' GROUP BY 1) c ON CAST(p_partkey AS VARCHAR) = c.k")
+    J1 = ("SELECT o_orderkey, o_orderpriority, coalesce(c.n, 0)::BIGINT AS client_count FROM orders LEFT JOIN "
+          "(SELECT CAST(l_orderkey AS VARCHAR) AS k, count(*) AS n FROM lineitem GROUP BY 1) c "
+          "ON CAST(o_orderkey AS VARCHAR) = c.k")
     S["j01_left_join_counts"] = J1
-    S["j05_orphans"] = ("SELECT count(*)::BIGINT AS orphans FROM lineitem WHERE l_orderkey NOT IN "
-                        "(SELECT o_orderkey FROM orders)")
+    S["j05_orphans"] = ("SELECT count(*)::BIGINT AS orphans FROM orders WHERE o_orderkey NOT IN "
+                        "(SELECT l_orderkey FROM lineitem)")
     # aggregations
     S["a01_value_counts"] = ("SELECT c_mktsegment, count(*)::BIGINT AS count FROM customer WHERE c_mktsegment IS NOT NULL "
                              "GROUP BY 1 ORDER BY count DESC, c_mktsegment")
@@ -410,8 +420,8 @@ mv AS (
   UNION ALL SELECT 'Avg Client Retention', coalesce(retention, 0.0) / 100.0 FROM kp)"""
     S["a08_grand_kpis"] = ("WITH " + kp + f" SELECT metric, {r('value', 6)} AS value, CASE WHEN metric = 'Avg Client Retention' "
                            f"THEN format('{{:.1f}}', value * 100) || '%' ELSE {_fmt_kpi('value')} END AS display FROM mv")
-    S["a09_avg_per_tier"] = (f"SELECT p_brand, {r('avg(client_count)', 6)} AS avg_clients FROM ({J1}) WHERE p_brand IS NOT NULL "
-                             "GROUP BY p_brand ORDER BY avg_clients DESC, p_brand")
+    S["a09_avg_per_tier"] = (f"SELECT o_orderpriority, {r('avg(client_count)', 6)} AS avg_clients FROM ({J1}) "
+                             "WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority ORDER BY avg_clients DESC, o_orderpriority")
     S["a10_category_stats"] = (f"SELECT l_returnflag, count(l_extendedprice)::BIGINT AS gig_count, {r('avg(l_extendedprice)', 2)} AS avg_price, "
                                "min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price, "
                                "sum(CAST(l_extendedprice AS DECIMAL(28,2)))::DOUBLE AS total_value FROM lineitem "
@@ -443,7 +453,8 @@ UNION ALL SELECT 'range_l_discount', count_if(l_discount < 0 OR l_discount > 1)
 UNION ALL SELECT 'range_l_tax', count_if(l_tax < 0 OR l_tax > 1) FROM lineitem
 UNION ALL SELECT 'dup_keys', count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1)
 UNION ALL SELECT 'orphans', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"""
-    S["q08_url_pattern"] = "SELECT page_id, regexp_matches(url, '^https?://[^\\s]+$') AS url_ok FROM pages"
+    S["q08_url_pattern"] = ("SELECT s_suppkey, CASE WHEN s_acctbal >= 2000 THEN s_acctbal >= 3000 END AS url_ok "
+                             "FROM supplier")
     # X1 and the report family
     X1 = W + "," + greedy_view("cl", "name", "seq", 0.85, "g") + "," + score_view("g_rows")
     S["x1_report"] = X1 + " " + report_select("sc")
@@ -491,8 +502,8 @@ SELECT rw.row_seq, near.matched_seq, {r('near.similarity', 6)} FROM rw JOIN near
     # nested
     S["n01_flatten"] = "WITH " + FLAT_VIEW + f" SELECT {FLAT_COLS} FROM flat"
     S["n02_flatten_dedup_sort"] = "WITH " + FLAT_VIEW + f" SELECT {FLAT_COLS} FROM flat_last"
-    S["n03_array_contains"] = ("SELECT p_brand, list_has_any(list(p_type), ['PROMO', 'SMALL']) AS any_match, "
-                               "list_has_all(list(p_type), ['PROMO', 'SMALL']) AS all_match FROM part GROUP BY p_brand")
+    S["n03_array_contains"] = ("SELECT p_partkey, list_has_any(string_split(p_name, ' '), ['red', 'blue']) AS any_match, "
+                               "list_has_all(string_split(p_name, ' '), ['red', 'blue']) AS all_match FROM part")
     S["n04_term_search"] = ("SELECT p_partkey, p_name FROM part WHERE list_contains(string_split_regex(lower(p_name), "
                             "'[^\\p{L}\\p{N}_]+'), 'red')")
     S["o01_tier_sort_top"] = ("SELECT o_orderkey, o_custkey, o_orderpriority FROM orders ORDER BY CASE o_orderpriority "
@@ -509,6 +520,16 @@ SELECT page_id, {txt('(?s)<h1>(.*?)</h1>')} AS name, {txt('(?s)<div class="ad">(
     lambda x: trim({UNESCAPE.format(x='x')})), '|') AS services,
   len(regexp_extract_all(html, '<a href="[^"]*"'))::BIGINT AS n_refs
 FROM pages"""
+    S["h07_next_page"] = "WITH " + DIRECTORY_VIEW + " SELECT page_id, next_url AS link FROM listing WHERE next_url IS NOT NULL"
+    S["h09_collect_target"] = "WITH RECURSIVE " + DIRECTORY_VIEW + """,
+chain(url, depth) AS (
+  SELECT DISTINCT 'https://directory.example.com/list/' || conv_id || '/0', 1 FROM conversations
+  UNION ALL
+  SELECT l.next_url, c.depth + 1 FROM chain c JOIN listing l USING (url)
+  WHERE c.depth < 10 AND NOT l.blocked AND l.next_url IS NOT NULL)
+SELECT d.page_id AS seq, 'Partner ' || d.place AS name, 'BD' AS country, trim(d.text, E' \\t\\n\\r') AS description,
+       'user,turn' AS services, d.url AS source_url
+FROM detail d WHERE d.place IN (SELECT place FROM listing JOIN chain USING (url) WHERE NOT blocked AND role = 'user')"""
     S["h08_page_chain"] = """
 WITH RECURSIVE nodes AS (SELECT conv_id, turn, CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS url
                          FROM conversations),
@@ -576,16 +597,15 @@ SELECT provider_id, name, country, location, tier, website, length(description):
                                     "WHERE \"Client Name\" <> 'N/A' GROUP BY 1) SELECT tier AS \"Partner Tier\", "
                                     + r("avg(coalesce(n, 0))", 6) + " AS avg_clients FROM pt LEFT JOIN cc ON partner_id = cc.k "
                                     "WHERE tier IS NOT NULL GROUP BY tier")
-    S["x4_top_countries"] = ("WITH " + PARTNER_VIEW + " SELECT city, count(*)::BIGINT AS count FROM pt WHERE city IS NOT NULL "
-                             "GROUP BY 1 ORDER BY count DESC, city LIMIT 10")
+    S["x4_top_countries"] = ("WITH " + PARTNER_VIEW + " SELECT country, count(*)::BIGINT AS count FROM pt WHERE country IS NOT NULL "
+                             "GROUP BY 1 ORDER BY count DESC, country LIMIT 10")
     kp4 = """
 kp AS (SELECT
   (SELECT count(*) FROM pt) AS partners,
   (SELECT count(*) FROM flat_last WHERE "Client Name" <> 'N/A') AS clients,
-  (SELECT count(DISTINCT city) FROM pt) AS countries,
-  (SELECT sum(coalesce(list_sum(list_transform(regexp_extract_all(experts, '([0-9]+)\\s+Certified', 1),
-      lambda x: CAST(x AS BIGINT))), 0)) FROM pt) AS experts,
-  (SELECT avg(CASE WHEN v > 0 THEN v END) FROM (SELECT coalesce(TRY_CAST(nullif(regexp_extract("Avg Project Size",
+  (SELECT count(DISTINCT country) FROM pt) AS countries,
+  (SELECT sum(coalesce(TRY_CAST(experts AS DOUBLE), 0.0)) FROM pt) AS experts,
+  (SELECT avg(CASE WHEN v > 0 THEN v END) FROM (SELECT coalesce(TRY_CAST(nullif(regexp_extract("Customer Retention",
       '([0-9]+)', 1), '') AS BIGINT), 0) AS v FROM flat_last WHERE "Client Name" <> 'N/A')) AS retention)"""
     mv = kp[kp.index("mv AS"):]
     S["x4_grand_kpis"] = ("WITH " + FLAT_VIEW + "," + kp4 + ",\n" + mv + f" SELECT metric, {r('value', 6)} AS value, "
@@ -595,7 +615,7 @@ kp AS (SELECT
     S["x3_clients_clean"] = ("WITH " + FLAT_VIEW + " SELECT \"Partner ID\", \"Client Name\", "
                              + fi.format(x='"Avg Project Size"') + " AS \"Project Size (Numeric)\", "
                              "coalesce(split_part(\"Client Industry\", ',', 1), 'Unknown') AS \"Primary Industry\", "
-                             + fi.format(x='"Large Project Size"') + " AS \"Retention (Numeric)\" FROM flat_last")
+                             + fi.format(x='"Customer Retention"') + " AS \"Retention (Numeric)\" FROM flat_last")
     S["x4_partners_clean"] = ("WITH " + PARTNER_VIEW + " SELECT partner_id AS \"Partner ID\", "
                               "coalesce(TRY_CAST(ref_count AS DOUBLE), 0.0) AS \"References Count\", "
                               "coalesce(TRY_CAST(experts AS DOUBLE), 0.0) AS \"Certified Experts\", "
