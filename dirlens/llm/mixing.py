@@ -15,7 +15,7 @@
    demand curve, which gives its training position in [0, 1). Documents are range-sorted by it.
 
 Defined results: a null text has size 0; a null source is a source of its own, after all others.
-Sizes of 0 are taken along with their bucket and add nothing. A source with no words has target 0.
+Sizes of 0 are taken along with their bucket, but not carried on to, and add nothing. A source with no words has target 0.
 Rows with repeated or null ids are documents of their own. Equal input gives equal output whatever
 its partitioning. Empty input gives no rows.
 """
@@ -112,6 +112,55 @@ def _fill(items: Column, room: Column) -> Column:
     return F.aggregate(items, start, step, lambda acc: acc["took"])
 
 
+def _carry(first: DataFrame, plan: DataFrame) -> DataFrame:
+    """``first`` (rank, bucket, h, doc_id, size, offset, took) with what else fits taken too, and ``last``:
+    the offset in the last part of an epoch. In a source, offset and size tell rows with words apart."""
+    def left(room, taken):
+        used = taken.groupBy("rank").agg(F.sum("size").alias("used"))
+        return cut(room.join(used, "rank", "left")
+                   .select("rank", "part", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room")))
+
+    room = left(plan.select("rank", "part", F.col("part").alias("room")), first.where("took"))
+    rest, found = first.where("NOT took AND size > 0").drop("took"), None
+    fields = ["rank", "bucket", "h", "doc_id", "size", "offset"]
+    while True:
+        near = cut(rest.join(room, "rank").where("size <= room"))
+        if near.isEmpty():
+            break
+        order = Window.partitionBy("rank", "bucket").orderBy("h", "doc_id", "offset").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        rows = near.withColumn("within", F.sum("size").over(order) - F.col("size"))
+        sums = near.groupBy("rank", "bucket", "room").agg(F.sum("size").alias("words"))
+        run = F.sum("words").over(Window.partitionBy("rank").orderBy("bucket"))
+        sums = (sums.withColumn("before", run - F.col("words"))
+                .withColumn("whole", F.col("before") + F.col("words") <= F.col("room"))
+                .withColumn("split", ~F.col("whole") & (F.col("before") < F.col("room")))
+                .select("rank", "bucket", "before", "whole", "split"))
+        rows = (rows.join(sums, ["rank", "bucket"])
+                .withColumn("base", F.col("part") - F.col("room") + F.col("before")))
+        easy = rows.where("NOT split").select(*fields, (F.col("base") + F.col("within")).alias("last"),
+                                              F.col("whole").alias("took"))
+        item = F.struct((-F.col("size")).alias("less"), "h", "doc_id", "offset", "size", "base")
+        open_ = (F.col("room") - F.col("before")).alias("open")
+        hard = (rows.where("split").groupBy("rank", "bucket", open_).agg(F.sort_array(F.collect_list(item)).alias("items"))
+                .withColumn("flags", _fill(F.col("items"), F.col("open")))
+                .select("rank", "bucket", F.posexplode(F.arrays_zip("items", "flags")).alias("at", "x"))
+                .select("rank", "bucket", "at", "x.items.*", F.col("x.flags").alias("took")))
+        size = F.when(F.col("took"), F.col("size")).otherwise(0)
+        so_far = F.sum(size).over(Window.partitionBy("rank", "bucket").orderBy("at")) - size
+        hard = hard.withColumn("last", F.col("base") + so_far).select(*fields, "last", "took")
+        more = cut(easy.union(hard))
+        took = more.where("took")
+        room = left(room, took)
+        rest = more.where("NOT took").select(*fields)
+        found = took if found is None else found.union(took)
+    if found is None:
+        return first.withColumn("last", F.col("offset"))
+    return (first.join(found.select("rank", "offset", "size", "last"), ["rank", "offset", "size"], "left")
+            .withColumn("took", F.col("took") | F.col("last").isNotNull())
+            .withColumn("last", F.coalesce("last", "offset")))
+
+
 def _time(share: Column) -> Column:
     """The demand curve's inverse at ``share``."""
     k = F.least(F.size(F.filter("cums", lambda c: c <= share)), F.size("cums") - 1)
@@ -150,21 +199,22 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, cycle: Sequence[floa
             .withColumn("split", ~F.col("took") & (F.col("before") < F.col("part")))
             .select("rank", "bucket", "before", "took", "split", (F.col("part") - F.col("before")).alias("room")))
     rows = rows.join(sums, ["rank", "bucket"])
-    fields = ["rank", "doc_id", "size", (F.col("before") + F.col("within")).alias("offset")]
+    fields = ["rank", "bucket", "h", "doc_id", "size", (F.col("before") + F.col("within")).alias("offset")]
     easy = rows.where("NOT split").select(*fields, "took")
     late = 4 * (F.col("within") + F.col("size")) > 3 * F.col("room")
     item = F.struct(late.alias("late"), F.when(late, -F.col("size")).otherwise(0).alias("less"),
                     "h", "doc_id", "size", "within", "before")
     hard = (rows.where("split").groupBy("rank", "bucket", "room").agg(F.sort_array(F.collect_list(item)).alias("items"))
             .withColumn("flags", _fill(F.col("items"), F.col("room")))
-            .select("rank", F.explode(F.arrays_zip("items", "flags")).alias("x"))
-            .select("rank", "x.items.*", F.col("x.flags").alias("took"))
+            .select("rank", "bucket", F.explode(F.arrays_zip("items", "flags")).alias("x"))
+            .select("rank", "bucket", "x.items.*", F.col("x.flags").alias("took"))
             .select(*fields, "took"))
-    done = easy.union(hard).join(plan.drop("docs", "weight", "buckets", "part", "source"), "rank")
+    done = _carry(cut(easy.union(hard)), plan).join(plan.drop("docs", "weight", "buckets", "part", "source"), "rank")
     copies = (F.col("epochs") + F.col("took").cast("long")).cast("int")
 
     def place(c):
-        at = (c.cast("long") * F.col("source_size") + F.col("offset")) / F.greatest("goal", F.lit(1))
+        offset = F.when(c < F.col("epochs"), F.col("offset")).otherwise(F.col("last"))
+        at = (c.cast("long") * F.col("source_size") + offset) / F.greatest("goal", F.lit(1))
         return _time(F.least(at, F.lit(1.0)))
     done = done.withColumn("copies", copies).withColumn(
         "positions", F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), place))

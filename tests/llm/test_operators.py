@@ -351,6 +351,20 @@ def test_curriculum_positions(spark):
     assert Counter(order[:200])["a"] == 150
 
 
+def test_mix_carries_the_room_on_to_later_buckets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 10)
+    for long_id in (1000, 1003):                           # in one bucket or another
+        rows = [(i, "w " * 10, "en", "a", 0) for i in range(60)] + [(long_id, "w " * 450, "en", "a", 0)]
+        rows += [(2000 + i, "w " * 7, "en", "b", 0) for i in range(100)]
+        got = mixing.mix(frame(spark, rows), cycle=(3, 5)).collect()
+        for mine in ([r for r in got if r.doc_id < 2000], [r for r in got if r.doc_id >= 2000]):
+            room = math.floor(mine[0].target + 0.5) - sum(r.taken for r in mine)
+            least = min(r.copies for r in mine)
+            assert 0 <= room < min(r.size for r in mine if r.copies == least)
+        spots = [p for r in got if r.doc_id < 2000 for p in r.positions]
+        assert sum(p < 0.5 for p in spots) > 0 and len(set(spots)) > len(spots) // 2
+
+
 # ------------------------------------------------------------------ packing
 def test_best_fit_finds_the_tightest_compatible_bin():
     rng = random.Random(5)
