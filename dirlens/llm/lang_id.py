@@ -6,10 +6,10 @@ Spark over labelled rows (an expected ``SAMPLE`` rows a language, chosen by a ha
 *Inference*, in Arrow batches over whole texts: each run of letters is a word; its likelihood
 under a language is the product of its trigrams' probabilities. A document is a mixture of
 languages over its words, and expectation-maximisation estimates the proportions. The language set
-is selected by penalised likelihood: starting from all languages, the least used ones are removed
-and the mixture is refitted, and the set with the best log-likelihood minus ``PENALTY`` log(words)
-for each language wins. The prediction is the language with the largest proportion, and the score
-is that proportion.
+is selected by penalised likelihood: starting from all languages, the one whose removal costs least
+likelihood is removed and the mixture is refitted, down to one language, and the set with the best
+log-likelihood minus ``PENALTY`` log(words) for each language wins. The prediction is the language
+with the largest proportion, and the score is that proportion.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and no languages; so
 is every text when nothing could be learned. Ties go to the alphabetically first language. Rows
@@ -132,6 +132,16 @@ def _fit(like: np.ndarray, start: np.ndarray, share: np.ndarray, steps: int) ->
     return share, np.add.reduceat(np.log(np.maximum(mass, 1e-300)), start)
 
 
+def _without(like: np.ndarray, start: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Log-likelihood of each document without each language of its set, the others' shares scaled up to
+    1 but not refitted (a language that is not in the set: minus infinity)."""
+    length = np.diff(np.append(start, len(like)))
+    rest = 1.0 - np.eye(like.shape[1])
+    mass = (like * np.repeat(share, length, axis=0)) @ rest
+    ll = np.add.reduceat(np.log(np.maximum(mass, 1e-300)), start)
+    return np.where(share > 0, ll - length[:, None] * np.log(np.maximum(share @ rest, 1e-100)), -np.inf)
+
+
 def mixtures(texts: list[str | None], model: Model, penalty: float = PENALTY) -> list[np.ndarray | None]:
     """Each text's language proportions (None: no letter)."""
     out: list[np.ndarray | None] = [None] * len(texts)
@@ -150,21 +160,16 @@ def mixtures(texts: list[str | None], model: Model, penalty: float = PENALTY) ->
     best, value = share.copy(), ll - penalty * (share > 0).sum(1) * np.log1p(length)
     live = np.arange(len(which))
     while len(live):
-        # leave out every language with hardly any share, or else the least used one
-        weak = (share > 0) & (share < 0.01)
-        lone = ~weak.any(1)
-        least = np.where(share > 0, share, np.inf).argmin(1)
-        weak[np.flatnonzero(lone), least[lone]] = True
-        weak &= (share > 0).sum(1, keepdims=True) > 1
-        go = weak.any(1)
-        if not go.any():
+        many = (share > 0).sum(1) > 1
+        live, share = live[many], share[many]
+        if not len(live):
             break
-        live, share, weak = live[go], share[go], weak[go]
-        share = np.where(weak, 0, share)
-        share /= share.sum(1, keepdims=True)
         words = np.concatenate([np.arange(start[d], start[d] + length[d]) for d in live])
         first = np.append(0, np.cumsum(length[live])[:-1])
-        share, ll = _fit(like[words], first, share, STEPS // 2)
+        some = like[words]
+        share[np.arange(len(live)), _without(some, first, share).argmax(1)] = 0
+        share /= share.sum(1, keepdims=True)
+        share, ll = _fit(some, first, share, STEPS // 2)
         now = ll - penalty * (share > 0).sum(1) * np.log1p(length[live])
         better = now > value[live]
         best[live[better]], value[live[better]] = share[better], now[better]

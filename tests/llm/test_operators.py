@@ -200,6 +200,19 @@ def test_language_mixture_and_odd(spark, odd, none):
     assert lang_id.identify_documents(unlabelled).first().lang_pred == "und"
 
 
+def test_small_language_of_a_very_long_text(spark):
+    model = lang_id.learned(table(spark, "/root/testdata/sf0.01", "documents"))
+    text = defaultdict(list)
+    for r in table(spark, "/root/testdata/sf0.01", "documents").where("lang IS NOT NULL").orderBy("doc_id").collect():
+        text[r.lang].extend(re.findall(r"[^\W\d_]+", r.text or ""))
+    langs = lambda t: {model.langs[i] for i in np.flatnonzero(lang_id.mixtures([t], model)[0])}
+    main = " ".join(text["en"][:30_000])
+    alone = langs(main)
+    assert "en" in alone and len(alone) < len(model.langs)
+    for small in ("fr", "es"):
+        assert langs(main + " " + " ".join(text[small][:150])) == alone | {small}
+
+
 def test_em_reaches_the_known_proportions():
     rng = np.random.default_rng(1)
     like = np.where(rng.random((2000, 1)) < 0.7, [[1.0, 1e-6, 1e-6]], [[1e-6, 1.0, 1e-6]])
