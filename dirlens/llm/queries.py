@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, lang_id, mixing, near_dup, packing, token_binary, token_counts, toxicity, url_filter
+from . import (ann, collocations, decontamination, exact_dedup, lang_id, lexical, mixing, near_dup, packing, token_binary,
+               token_counts, toxicity, url_filter)
 from .common import table
 
 REG: dict = {}
@@ -197,3 +198,79 @@ verdict AS (SELECT norm, fetched, count(*) AS n, bool_or(list = 'block') AS anyb
 SELECT c.page_id AS capture_id, c.url, coalesce(v.anyblock AND v.top.w = 0, false) AS blocked, coalesce(v.n, 0) AS n_active,
        v.top.name AS decided_by
 FROM caps c LEFT JOIN verdict v ON c.norm = v.norm AND c.fetched = v.fetched"""
+
+
+@q("op11_phrase_collocations")
+def op11(spark, d):
+    return collocations.collocations(table(spark, d, "documents"))
+
+
+SQL["op11_phrase_collocations"] = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_FOLD}, '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, 1 AS m, unnest(ws) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: array_to_string(ws[i:i + 1], ' '))) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) FROM w),
+f AS (SELECT lang, m, phrase, count(*) AS c FROM grams GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+cuts AS (SELECT lang, phrase, m, c, string_split(phrase, ' ') AS ws, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+scored AS (SELECT x.lang, x.phrase, x.c AS a, h.c AS l, t.c AS r, x.k,
+    (1000000::HUGEINT * x.c * x.c) // (h.c::HUGEINT * t.c) AS score
+  FROM cuts x JOIN f h ON h.lang = x.lang AND h.phrase = array_to_string(x.ws[1:x.k], ' ')
+  JOIN f t ON t.lang = x.lang AND t.phrase = array_to_string(x.ws[x.k + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (SELECT lang, c, ws[1:2] AS p FROM cuts WHERE m = 3 UNION ALL SELECT lang, c, ws[2:3] FROM cuts WHERE m = 3),
+beyond AS (SELECT lang, array_to_string(p, ' ') AS phrase, max(c) AS c FROM parts GROUP BY ALL),
+kept AS (SELECT s.* FROM lowest s LEFT JOIN beyond b ON s.lang = b.lang AND s.phrase = b.phrase
+         WHERE b.c IS NULL OR 100 * b.c < {collocations.EXTENSION} * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}"""
+
+
+@q("op12_ranked_search")
+def op12(spark, d):
+    return lexical.search(table(spark, d, "documents"), table(spark, d, "benchmark"), k=10)
+
+
+_TERMS = rf"regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL["op12_ranked_search"] = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ws FROM documents),
+full_docs AS (SELECT doc_id, len(ws) AS n, ws FROM d WHERE len(ws) > 0),
+figures AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM full_docs),
+tfs AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(ws) AS term FROM full_docs) GROUP BY ALL),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM tfs, figures WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+scores AS (SELECT a.item_id, t.doc_id,
+    sum(a.times * w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (25 + (75 * t.n * g.docs) // g.length))))::BIGINT AS score
+  FROM asked a JOIN weights w USING (term) JOIN tfs t USING (term), figures g GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+@q("op13_benchmark_decontamination")
+def op13(spark, d):
+    found = decontamination.passages(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    hit = decontamination.n_hit(F.col("spans"))
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+SQL["op13_benchmark_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, {_TERMS} AS ws FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_TERMS} AS ws FROM benchmark),
+pats AS (SELECT DISTINCT item, least(len(ws), 10) AS m,
+         unnest(list_transform(range(1, greatest(len(ws) - 10, 0) + 2), lambda i: array_to_string(ws[i:i + 9], ' '))) AS p
+         FROM b WHERE len(ws) > 0),
+lens AS (SELECT DISTINCT m FROM pats),
+spots AS (SELECT row_no, m, unnest(range(1, len(ws) - m + 2)) AS spot, ws FROM d, lens WHERE len(ws) >= m),
+hits AS (SELECT s.row_no, s.spot, s.m, p.item FROM spots s JOIN pats p ON p.m = s.m AND p.p = array_to_string(s.ws[s.spot:s.spot + s.m - 1], ' ')),
+covered AS (SELECT row_no, count(DISTINCT pos) AS n_hit FROM (SELECT row_no, unnest(range(spot, spot + m)) AS pos FROM hits) GROUP BY row_no),
+named AS (SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT row_no, item FROM hits) GROUP BY row_no)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit, coalesce(n.n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(n.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c USING (row_no) LEFT JOIN named n USING (row_no)"""
