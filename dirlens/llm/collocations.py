@@ -39,9 +39,9 @@ from .common import written
 LEAST = 10
 MAX_WORDS = 3
 TOP = 2000
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Bytes of text whose phrases share a part.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 EXTENSION = 50                  # per cent
 SCALE = 1_000_000
 
@@ -99,22 +99,25 @@ def _slices(words: _Numbers, ids: np.ndarray, own: int, lang: str, parts: int, m
     rank[[words[w] for w in here]] = np.arange(1, len(here) + 1)
     seed = xxhash.xxh64_intdigest(lang.encode())
     word_hash = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in here), np.uint64, len(here))
-    name = pa.array(here, pa.large_binary())
+    name, ended = pa.array(here, pa.large_binary()), pa.array([w + b"\n" for w in here], pa.large_binary())
+    space = pa.scalar(b" ", pa.large_binary())
     out: dict[int, list] = {}
-    phrases = hashes = None
-    for first, last, n in counted(rank[ids], own, max_words):
+    shorter = hashes = None
+    for m, (first, last, n) in enumerate(counted(rank[ids], own, max_words), 1):
         last = last - 1
-        tail = name.take(pa.array(last))
-        if phrases is None:
-            phrases, hashes = tail, word_hash[last]
+        if m == 1:
+            hashes = word_hash[last]
         else:
-            phrases = pc.binary_join_element_wise(phrases.take(pa.array(first)), tail, pa.scalar(b" ", pa.large_binary()))
             hashes = (hashes[first] ^ (hashes[first] >> np.uint64(29))) * _MUL + word_hash[last]
         mixed = (hashes ^ (hashes >> np.uint64(32))) * _MUL
         part = ((mixed >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        lines = pc.binary_join_element_wise(phrases.take(pa.array(order)), pa.scalar(b"", pa.large_binary()),
-                                            pa.scalar(b"\n", pa.large_binary()))
+        lines = ended.take(pa.array(last[order]))
+        if m > 1:
+            lines = pc.binary_join_element_wise(shorter.take(pa.array(first[order])), lines, space)
+        if m < max_words:
+            tail = name.take(pa.array(last))
+            shorter = tail if m == 1 else pc.binary_join_element_wise(shorter.take(pa.array(first)), tail, space)
         offsets = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset:lines.offset + len(lines) + 1]
         data = memoryview(lines.buffers()[2]) if len(lines) else memoryview(b"")
         n = n[order].astype(np.int64)
@@ -148,8 +151,8 @@ def _runs(docs: DataFrame, parts: int, max_words: int, chunk: int) -> DataFrame:
         words, streams = fresh()
         held, lang = 0, ""
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                row = tokens(text)
+            for lang, text in zip(batch.column(0), batch.column(1)):
+                lang, row = lang.as_py(), tokens(text.as_py())
                 at = 0
                 while at < len(row):
                     stop = min(len(row), at + chunk - held)
@@ -164,6 +167,7 @@ def _runs(docs: DataFrame, parts: int, max_words: int, chunk: int) -> DataFrame:
                         yield flush(lang, len(over))
                         words, streams = fresh()
                         held = 0
+                        pa.default_memory_pool().release_unused()
         if held:
             yield flush(lang, 0)
     return docs.mapInArrow(run, "part long, lang string, phrases binary, counts binary")
