@@ -14,7 +14,8 @@ trees have not seen turns their margin into a probability.
 
 Both learn from an expected ``SAMPLE`` labelled rows, chosen by a hash of the id among those that are
 not held out. Defined results: null and empty texts have features of 0 and get the score of such a
-text. A label is 1 if any row of its doc_id says so; rows without an id or a label teach nothing.
+text; a very long text is read whole. Other columns, whatever their names, take no part, and an empty
+table gives no rows. A label is 1 if any row of its doc_id says so; rows without an id or a label teach nothing.
 When the labels have fewer than two classes, every score is the share of toxic labels.
 """
 
@@ -126,11 +127,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     from pyspark.ml.regression import IsotonicRegression
 
     ship_package(docs.sparkSession)
-    rows = labelled(docs, labels, sample)
+    # the sample's texts once, by all tasks that scan; everything below works on these rows alone
+    rows = cut(labelled(docs, labels, sample))
     lexicon = learn_lexicon(rows)
     part = F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(4)) == 0
     # narrow rows, as many as the sample: a few partitions spare the trees hundreds of tiny tasks
-    rows = cut(rows.select("y", part.alias("late"), feature_column(F.col("text"), lexicon).alias("f")).coalesce(6))
+    rows = cut(rows.select("y", part.alias("late"), feature_column(F.col("text"), lexicon).alias("f")).repartition(6))
     rows = rows.withColumn("features", array_to_vector("f"))
     kinds = rows.groupBy("late", "y").count().collect()
     total = sum(r["count"] for r in kinds)
