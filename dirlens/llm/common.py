@@ -38,5 +38,16 @@ def fold(text: Column) -> Column:
 
 def n_words(text: Column) -> Column:
     """Words (runs of anything but ASCII white space) in the whole text; 0 for null."""
-    t = F.coalesce(text, F.lit(""))
-    return F.size(F.array_remove(F.split(t, SPACES), "")).cast("long")
+    # words stand between single spaces; no array of strings is built for a text
+    t = F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " "))
+    return (F.char_length(t) - F.char_length(F.replace(t, F.lit(" "), F.lit(""))) + (t != "").cast("int")).cast("long")
+
+
+def carried(docs: DataFrame, *more: Column) -> DataFrame:
+    """Columns ``own``, one struct of all the columns that ``docs`` came with, and ``more``. Whatever names the own
+    columns have, none can clash with a derived one; ``own_columns`` takes them out again."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), *more)
+
+
+def own_columns(rows: DataFrame) -> DataFrame:
+    return rows.select("own.*")

@@ -12,7 +12,8 @@ decision then goes back to the rows by narrow keys: digest, a second hash and th
 Defined results: a null text counts as empty, and all empty texts are equal. Of equal texts the
 largest doc_id stays; null ids lose to any other, and stay only where the whole group has null
 ids. A row repeated with the same id and text is the same document: its copies all show
-``kept`` (``drop_duplicates`` leaves one of them). Empty input gives no rows.
+``kept`` (``drop_duplicates`` leaves one of them). A very long text is hashed and compared whole. Other
+columns, whatever their names, stay as they came. Empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import fold
+from .common import carried, fold, own_columns
 
 SALTS = 16
 
@@ -68,11 +69,10 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def key(digest, check, doc_id):
         return F.concat_ws("|", digest, check.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null")))
     won = winners(docs, id_col, text_col, salts).select(
-        key(F.col("digest"), F.col("check"), F.col("keep_id")).alias("__won"))
+        key(F.col("digest"), F.col("check"), F.col("keep_id")).alias("key"))
     norm = fold(F.col(text_col))
-    rows = docs.withColumn("__key", key(F.sha2(norm, 256), F.xxhash64(norm), F.col(id_col)))
-    stay = rows.join(won, rows["__key"] == won["__won"], "left_semi")
+    rows = carried(docs, key(F.sha2(norm, 256), F.xxhash64(norm), F.col(id_col)).alias("key"))
     # a row repeated whole is one document
-    one = Window.partitionBy("__key").orderBy(F.col(text_col).desc_nulls_last())
-    return (stay.withColumn("__rank", F.row_number().over(one)).where("__rank = 1")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    one = Window.partitionBy("key").orderBy(F.col("own").getField(text_col).desc_nulls_last())
+    stay = rows.join(won, "key", "left_semi").withColumn("place", F.row_number().over(one)).where("place = 1")
+    return own_columns(stay)

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .common import carried, own_columns
 
 CELLS = 1 << 16          # hashed trigrams
 SMOOTH = 0.5
@@ -230,5 +231,4 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     lang_col: str = "lang") -> DataFrame:
     """The rows whose language could be told (not ``und``), with the columns they came with."""
     found = identify(F.col(text_col), learned(docs, id_col, text_col, lang_col))
-    return (docs.withColumn("__found", found).where("__found.lang_pred != 'und'")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return own_columns(carried(docs, found.alias("found")).where("found.lang_pred != 'und'"))

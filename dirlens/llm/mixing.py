@@ -17,7 +17,8 @@
 Defined results: a null text has size 0; a null source is a source of its own, after all others.
 Sizes of 0 are taken along with their bucket, but not carried on to, and add nothing. A source with no words has target 0.
 Rows with repeated or null ids are documents of their own. Equal input gives equal output whatever
-its partitioning. Empty input gives no rows.
+its partitioning. A very long text is counted whole, and taken whole or not at all. Other columns,
+whatever their names, stay as they came. Empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import cut
-from .common import n_words
+from .common import carried, n_words, own_columns
 
 BUCKET = 1024
 MAX_EPOCHS = 3
@@ -229,12 +230,10 @@ def training_order(docs: DataFrame, schedule: DataFrame | None = None, cycle: Se
     """The mix itself: a row for each copy taken, with the document's own columns, range-sorted by
     training position."""
     plan = (mix(docs, schedule, cycle, max_epochs, id_col, text_col, source_col).where("copies > 0")
-            .groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__n"))
-            .agg(F.sort_array(F.collect_list("positions")).alias("__lists")))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.withColumn("__size", n_words(F.col(text_col)))
-    twin = Window.partitionBy(id_col, "__size").orderBy(F.col(text_col).asc_nulls_first())
-    rows = rows.withColumn("__twin", F.row_number().over(twin))
-    rows = rows.join(plan, rows[id_col].eqNullSafe(plan["__id"]) & (rows["__size"] == plan["__n"]))
-    return (rows.select(*own, F.explode(F.try_element_at("__lists", F.col("__twin"))).alias("__at"))
-            .orderBy("__at").select(*own))
+            .groupBy(F.col("doc_id").alias("plan_id"), F.col("size").alias("words"))
+            .agg(F.sort_array(F.collect_list("positions")).alias("lists")))
+    rows = carried(docs, F.col(id_col).alias("id"), n_words(F.col(text_col)).alias("size"))
+    twin = Window.partitionBy("id", "size").orderBy(F.col("own").getField(text_col).asc_nulls_first())
+    rows = rows.withColumn("twin", F.row_number().over(twin))
+    rows = rows.join(plan, F.col("id").eqNullSafe(F.col("plan_id")) & (F.col("size") == F.col("words")))
+    return own_columns(rows.select("own", F.explode(F.try_element_at("lists", F.col("twin"))).alias("at")).orderBy("at"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dirlens.llm import (ann, components, exact_dedup, lang_id, mixing, near_dup, packing, token_binary,
                          token_counts, toxicity, url_filter)
-from dirlens.llm.common import table
+from dirlens.llm.common import n_words, table
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -496,3 +496,26 @@ def test_url_query_has_both_outcomes(spark):
     from dirlens.llm import queries
     rows = queries.op2(spark, "/root/testdata/sf0.01").collect()
     assert {r.blocked for r in rows} == {True, False} and any(r.n_active and not r.blocked for r in rows)
+
+
+# ------------------------------------------------------------------ own columns
+def test_own_columns_keep_their_values(spark):
+    rows = [(1, "one two three four", "en", "a", 0), (2, "ONE two three four", "en", "a", 0), (3, "drei vier acht elf", "de", "b", 0)]
+    names = ("own", "key", "place", "found", "size", "twin", "at", "lists", "words", "plan_id", "id", "__size", "__key", "__found",
+             "__id", "__th", "__won", "__at", "node", "th")
+    docs = frame(spark, rows)
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name + " of "), F.col("doc_id").cast("string")))
+    for drop in (exact_dedup.drop_duplicates, lang_id.keep_identified, near_dup.drop_near_duplicates, mixing.training_order):
+        got = drop(docs)
+        assert got.columns == docs.columns
+        stay = got.collect()
+        assert stay
+        for r in stay:
+            assert all(r[name] == f"{name} of {r.doc_id}" for name in names), drop
+
+
+def test_word_counts(spark):
+    texts = ["", None, " ", "a", " a ", "a  b", "\ta\x0bb\x0c\rc\n", "é x y", "a" * 50_000, "x " * 40_000, " a", "\x1ca\x1c b"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r[0] for r in docs.select(n_words(F.col("text"))).collect()] == [len(words(t)) for t in texts]

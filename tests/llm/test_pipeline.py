@@ -2,6 +2,8 @@
 import re
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline as P
 from dirlens.llm.common import table
 from test_operators import brute_components, words
@@ -10,6 +12,13 @@ SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+@pytest.fixture(autouse=True)
+def released(spark):
+    # a cache left behind would stand in for the table in every later plan of the session
+    yield
+    spark.catalog.clearCache()
+
+
 def test_stages_against_brute_force(spark):
     docs = table(spark, SF, "documents").cache()
     columns = docs.columns
