@@ -1,18 +1,16 @@
 """Deduplication: last-wins on keys (D1), bigram-Jaccard similarity join (D3),
 greedy first-wins fuzzy dedup (D4), its audit trail (D5) and distinct (D6).
 
-D3 is an exact set-similarity self-join (prefix filtering + length filter +
-verification). The candidate step is an equi-join on prefix tokens, so Spark
-shuffles it by token. Tokens are ranked rarest-first, so very common bigrams
-rarely reach a prefix, and AQE's skew-join splitting covers the ones that do.
-No pair is dropped and there is no cap.
-
-D4 computes the lexicographically-first maximal independent set of the
-similarity graph under ``seq`` order. That is exactly what the sequential
-"keep unless similar to an earlier kept record" loop produces, and here it runs
-in rounds of joins. Every round's state is checkpointed to the shared
-checkpoint folder, so lineage stays short and a lost executor only costs a
-recompute from the last round.
+D3 is an exact set-similarity self-join by prefix filtering: the groups of sets that share a prefix
+token and a size band are compared where they meet, in blocks of bounded size, on packed sets. What leaves
+a task are links, not candidates. No pair is dropped and there is no cap.
+
+D4 is the sequential "keep unless similar to an earlier kept record" scan, in blocks of the order that
+double in size. A block is first matched against the kept names alone, so a dropped name never pairs
+again; only what is left of a block is compared with itself, and the lexicographically-first maximal
+independent set of its similarity graph (what the scan keeps) is found in rounds of joins. Every
+block's and round's state is checkpointed to the shared checkpoint folder, so a lost executor costs a
+recompute from the last one. D5 falls out of the same matches.
 """
 
 from __future__ import annotations
@@ -21,6 +19,8 @@ import logging
 import math
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -82,95 +82,159 @@ def dense_index(df: DataFrame, *order) -> DataFrame:
 DENSE_TOKENS = 4096   # most frequent tokens kept as a bitset (64 longs) per key
 
 
-def token_vectors(names: DataFrame, dense_tokens: int = DENSE_TOKENS) -> tuple[DataFrame, DataFrame]:
-    """Distinct bigrams of every key as (a) ids in a global rarest-last order and
-    (b) an exact compact set: bitset over the most frequent tokens + sorted ids
-    of the rest.
+def token_vectors(names: DataFrame, dense_tokens: int = DENSE_TOKENS) -> DataFrame:
+    """Distinct bigrams of every name (at, k) as ids, rarest first, and as an exact compact set: a bitset
+    over the most frequent tokens and the ids of the rest.
 
-    Returns (ids(seq, n, ids desc-sorted), vectors(seq, n, bits, rare)). Token ids
-    come from a distributed sort of the vocabulary (most frequent first, ``dense_index``).
+    Returns (at, n, ids, bits, rare); names without a bigram are not in it. Token ids come from a distributed
+    sort of the vocabulary (most frequent first, ``dense_index``).
     """
     spark = names.sparkSession
     ship_package(spark)
-    grams = (names.select("seq", bigrams(F.col("k")).alias("g"))
-             .select("seq", "g", F.size("g").alias("n")).where(F.col("n") > 0))
+    grams = (names.select("at", bigrams(F.col("k")).alias("g"))
+             .select("at", "g", F.size("g").alias("n")).where(F.col("n") > 0))
     grams = cut(grams)
-    tok = grams.select("seq", F.explode("g").alias("tok"))
+    tok = grams.select("at", F.explode("g").alias("tok"))
     freq = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     vocab = cut(dense_index(freq, F.desc("df"), F.asc("tok")).select("tok", "id"))
     v = vocab.count()
     words = max(1, min((v + 63) // 64, (dense_tokens + 63) // 64))
     limit = words * 64
-    tid = tok.join(vocab, "tok").select("seq", "id")
-    ids = (tid.groupBy("seq").agg(F.sort_array(F.collect_list("id"), asc=False).alias("ids"))
-           .select("seq", F.size("ids").alias("n"), "ids"))
-    ids = cut(ids)
+    tid = tok.join(vocab, "tok").select("at", "id")
+    ids = (tid.groupBy("at").agg(F.sort_array(F.collect_list("id"), asc=False).alias("ids"))
+           .select("at", F.size("ids").alias("n"), "ids"))
     dense = (tid.where(F.col("id") < limit)
-             .groupBy("seq", (F.col("id") / 64).cast("int").alias("w"))
+             .groupBy("at", (F.col("id") / 64).cast("int").alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), CAST(id % 64 AS INT))")).alias("b"))
-             .groupBy("seq").agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m")))
-    vec = (ids.join(dense, "seq", "left")
-           .select("seq", "n",
+             .groupBy("at").agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m")))
+    vec = (ids.join(dense, "at", "left")
+           .select("at", "n", "ids",
                    F.transform(F.sequence(F.lit(0), F.lit(words - 1)),
                                lambda w: F.coalesce(F.try_element_at(F.col("m"), w), F.lit(0).cast("bigint")))
                    .alias("bits"),
                    F.filter("ids", lambda i: i >= limit).alias("rare")))
-    return ids, cut(vec)
-
-
-def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85,
-                  keys_ready: bool = False, with_keys: bool = False) -> DataFrame:
+    return cut(vec)
+
+
+MEMBERS = 1024        # sets of one (token, size band) that are compared with as many others at once
+TASK_ROWS = 20_000    # rows that meet in one task
+
+
+def _bands(t: float) -> tuple[Column, Column]:
+    """(a set's size band, the bands of the sets it can be similar to as the larger one). The sizes of a pair
+    lie within a factor t, which is half a band, so their bands differ by at most one."""
+    if t >= 1:
+        return F.col("n").cast("int"), F.array(F.col("n").cast("int"))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(2.0 * math.log(1.0 / t))).cast("int")
+    return band, F.array(band, band - 1)
+
+
+def _packed(column: pa.ChunkedArray, rows: int) -> np.ndarray:
+    flat = column.combine_chunks()
+    return flat.flatten().to_numpy().reshape(rows, -1).view(np.uint64)
+
+
+def _compared(t: float, cross: bool):
+    """Compares the sets of each (token, band, block pair) in a table; see ``linked``."""
+    def run(table: pa.Table) -> pa.Table:
+        total = table.num_rows
+        key = np.stack([table.column(c).to_numpy() for c in ("tok", "band", "i", "j")], axis=1)
+        probe = table.column("probe").to_numpy()
+        order = np.lexsort((probe, *key.T[::-1]))
+        key, probe = key[order], probe[order]
+        at, n, old = (table.column(c).to_numpy()[order] for c in ("at", "n", "old"))
+        n = n.astype(np.int64)
+        bits = _packed(table.column("bits"), total)[order]
+        rare = table.column("rare").combine_chunks().take(pa.array(order))
+        has_rare = len(rare.flatten()) > 0
+        edges = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+        src, dst, sim = [], [], []
+        for lo, hi in zip(np.append(0, edges).tolist(), np.append(edges, total).tolist()):
+            mid = lo + int(np.searchsorted(probe[lo:hi], True))
+            a, b = np.arange(lo, mid), np.arange(mid, hi)
+            if not len(a) or not len(b):
+                continue
+            # the smaller set of a pair stands on the index side; equal sizes meet both ways
+            small, large = n[a][:, None], n[b][None]
+            ok = (small < large) | ((small == large) & (at[a][:, None] < at[b][None]))
+            ok &= small >= t * large
+            if cross:
+                ok &= old[a][:, None] != old[b][None]
+            x, y = np.nonzero(ok)
+            for s in range(0, len(x), 65_536):
+                p, q = a[x[s:s + 65_536]], b[y[s:s + 65_536]]
+                both = np.bitwise_count(bits[p] & bits[q]).sum(1, dtype=np.int64)
+                if has_rare:
+                    left = n[p] - np.bitwise_count(bits[p]).sum(1, dtype=np.int64)
+                    hope = both + left
+                    for w in np.flatnonzero((left > 0) & (hope / (n[p] + n[q] - hope) >= t)):
+                        both[w] += len(set(rare[int(p[w])].as_py()).intersection(rare[int(q[w])].as_py()))
+                share = both / (n[p] + n[q] - both)
+                good = share >= t
+                src.append(np.minimum(at[p], at[q])[good])
+                dst.append(np.maximum(at[p], at[q])[good])
+                sim.append(share[good])
+        join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+        return pa.table({"src": join(src, np.int64), "dst": join(dst, np.int64), "sim": join(sim, np.float64)})
+    return run
+
+
+def linked(sets: DataFrame, t: float, cross: bool = False) -> DataFrame:
+    """(src, dst, sim), src < dst, of all pairs of ``sets(at, n, ids, bits, rare, old)`` with Jaccard >= t; with
+    ``cross`` only those of an old and a new one.
+
+    A pair shares one of the smaller set's ``n - ceil(2tn/(1+t)) + 1`` and the larger set's ``n - ceil(t*n) + 1`` rarest
+    tokens. The sets meet by (token, size band); a group larger than ``MEMBERS`` is split into blocks, and each pair of
+    blocks is a group of its own. Groups of one set, and those without a new one, are left out before any set moves.
+    """
+    band, reach = _bands(t)
+    light = ["at", "n", "old"]
+    index = sets.select(*light, F.lit(False).alias("probe"), F.array(band).alias("bands"),
+                        F.slice("ids", 1, _mid_prefix_len(F.col("n"), t)).alias("prefix"), "bits", "rare")
+    probe = sets.select(*light, F.lit(True).alias("probe"), reach.alias("bands"),
+                        F.slice("ids", 1, _prefix_len(F.col("n"), t)).alias("prefix"), "bits", "rare")
+    rows = (index.unionByName(probe).withColumn("band", F.explode("bands")).drop("bands")
+            .withColumn("tok", F.explode("prefix")).drop("prefix"))
+    largest = F.greatest(F.count_if(F.col("probe")), F.count_if(~F.col("probe")))
+    groups = (rows.groupBy("tok", "band")
+              .agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.min("old").alias("all_old"), F.max("old").alias("any_old"),
+                   F.min("probe").alias("index_missing"), F.max("probe").alias("has_probe"),
+                   F.count(F.lit(1)).alias("members"), F.ceil(largest / F.lit(MEMBERS)).cast("int").alias("blocks"))
+              .where("lo < hi AND NOT index_missing AND has_probe AND NOT all_old"))
+    if cross:
+        groups = groups.where("any_old")
+    groups = cut(groups.select("tok", "band", "members", "blocks"))
+    moved = groups.agg(F.coalesce(F.sum(F.col("members") * F.col("blocks")), F.lit(0))).first()[0]
+    buckets = max(1, -(-moved // TASK_ROWS))
+    mine, other = F.pmod(F.xxhash64("at"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = rows.join(groups.select("tok", "band", "blocks"), ["tok", "band"]).select("*", mine.alias("mine"), other.alias("other"))
+    met = (met.withColumn("i", F.when(F.col("probe"), F.col("other")).otherwise(F.col("mine")))
+           .withColumn("j", F.when(F.col("probe"), F.col("mine")).otherwise(F.col("other")))
+           .withColumn("bucket", F.pmod(F.xxhash64("tok", "band", "i", "j"), F.lit(buckets))))
+    return (met.select("bucket", "tok", "band", "i", "j", "probe", *light, "bits", "rare").groupBy("bucket")
+            .applyInArrow(_compared(t, cross), "src long, dst long, sim double").distinct())
+
+
+def _names(df: DataFrame, key: str, seq: str) -> DataFrame:
+    """(k, seq, at): the distinct keys, ``at`` counting them in the order of their first ``seq``."""
+    return cut(dense_index(_distinct_keys(df, key, seq), F.col("seq")).withColumnRenamed("id", "at"))
+
+
+def similar_pairs(df: DataFrame, key: str, seq: str = "seq", t: float = 0.85, with_keys: bool = False) -> DataFrame:
     """D3: all pairs of distinct lower-cased keys with bigram Jaccard >= t (exact).
 
-    Candidates (AllPairs-style prefix filter): the smaller key's ``n - ceil(2tn/(1+t)) + 1``
-    rarest tokens against the larger key's ``n - ceil(t*n) + 1`` rarest tokens, sizes
-    within a factor t (length filter). Verification:
-    overlap = popcount(bits_a & bits_b) + |rare_a ∩ rare_b|, Jaccard =
-    overlap / (n_a + n_b - overlap). Returns (src, dst, sim), src being the earlier
-    key's first seq, plus (src_k, dst_k) when ``with_keys`` (keys can be whole
-    texts, so they are attached only on request).
+    Returns (src, dst, sim), src being the earlier key's first seq, plus (src_k, dst_k) when ``with_keys`` (keys
+    can be whole texts, so they are attached only on request).
     """
     checkpoint_dir(df.sparkSession)
-    names = df if keys_ready else _distinct_keys(df, key, seq)
-    ids, vec = token_vectors(names)
-    # index side: the smaller set of a pair with its mid-prefix; probe side: the
-    # larger set with the full prefix (AllPairs); equal sizes are tried both ways.
-    # size bands: a compatible pair (t*n_b <= n_a <= n_b) has ln-sizes within
-    # ln(1/t), i.e. within half a band of width 2 ln(1/t), so its bands differ by at
-    # most one. Joining on (token, band) skips enumerating incompatible sizes and
-    # splits hot tokens by size.
-    if t < 1:
-        width = 2.0 * math.log(1.0 / t)
-        band = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")
-    else:
-        band = F.col("n").cast("int")
-    index = ids.select("seq", "n", band.alias("band"),
-                       F.explode(F.slice("ids", 1, _mid_prefix_len(F.col("n"), t))).alias("tok"))
-    probe = ids.select("seq", "n", F.explode(F.array(band, band - 1) if t < 1 else F.array(band)).alias("band"),
-                       F.slice("ids", 1, _prefix_len(F.col("n"), t)).alias("p"))
-    probe = probe.select("seq", "n", "band", F.explode("p").alias("tok"))
-    a, b = index.alias("a"), probe.alias("b")
-    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.band") == F.col("b.band"))
-                   & (F.col("a.seq") != F.col("b.seq")) & (F.col("a.n") <= F.col("b.n")))
-            .where(F.col("a.n") >= F.lit(t) * F.col("b.n"))
-            .select(F.least("a.seq", "b.seq").alias("src"), F.greatest("a.seq", "b.seq").alias("dst"))
-            .distinct())
-    v1 = vec.select(F.col("seq").alias("src"), F.col("n").alias("n1"), F.col("bits").alias("b1"),
-                    F.col("rare").alias("r1"))
-    v2 = vec.select(F.col("seq").alias("dst"), F.col("n").alias("n2"), F.col("bits").alias("b2"),
-                    F.col("rare").alias("r2"))
-    overlap = (F.aggregate(F.zip_with("b1", "b2", lambda x, y: F.bit_count(x.bitwiseAND(y)).cast("int")),
-                           F.lit(0), lambda acc, x: acc + x)
-               + F.size(F.array_intersect("r1", "r2")))
-    pairs = (cand.join(v1, "src").join(v2, "dst")
-             .select("src", "dst", overlap.cast("double").alias("o"), "n1", "n2")
-             .select("src", "dst", (F.col("o") / (F.col("n1") + F.col("n2") - F.col("o"))).alias("sim"))
-             .where(F.col("sim") >= F.lit(float(t))))
-    if not with_keys:
-        return pairs
-    k1 = names.select(F.col("seq").alias("src"), F.col("k").alias("src_k"))
-    k2 = names.select(F.col("seq").alias("dst"), F.col("k").alias("dst_k"))
-    return pairs.join(k1, "src").join(k2, "dst").select("src", "dst", "sim", "src_k", "dst_k")
+    names = _names(df, key, seq)
+    sets = token_vectors(names).withColumn("old", F.lit(False))
+    own = ["seq"] + ["k"] * with_keys
+    side = lambda name: names.select(F.col("at").alias(f"{name}_at"), *[
+        F.col(c).alias(name if c == "seq" else f"{name}_{c}") for c in own])
+    pairs = linked(sets, t).withColumnsRenamed({"src": "src_at", "dst": "dst_at"})
+    return (pairs.join(side("src"), "src_at").join(side("dst"), "dst_at")
+            .select("src", "dst", "sim", *(["src_k", "dst_k"] if with_keys else [])))
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
@@ -213,18 +277,55 @@ def greedy_dropped(edges: DataFrame, max_rounds: int | None = None) -> tuple[Dat
     return dropped, rounds
 
 
+FIRST_BLOCK = 4096    # names of the first block; each next one holds twice as many
+
+
+def _first_match(pairs: DataFrame) -> DataFrame:
+    return (pairs.groupBy("dst").agg(F.min_by(F.struct("src", "sim"), F.col("src")).alias("m"))
+            .select("dst", F.col("m.src").alias("src"), F.col("m.sim").alias("sim")))
+
+
+def decided(sets: DataFrame, n: int, t: float, first_block: int = FIRST_BLOCK) -> DataFrame:
+    """(dst, src, sim): every dropped name of ``sets`` (``at`` below ``n``) with the first kept one it matches.
+
+    At most the pairs of kept names with one block's names, and of what is left of a block with itself, are
+    ever stored; of the former only each name's first."""
+    kept = matches = None
+    lo, size = 0, first_block
+    while lo < n:
+        rest = sets.where((F.col("at") >= lo) & (F.col("at") < lo + size))
+        if kept is not None:
+            both = kept.withColumn("old", F.lit(True)).unionByName(rest.withColumn("old", F.lit(False)))
+            hit = cut(_first_match(linked(both, t, cross=True)))
+            rest = cut(rest.join(hit.select(F.col("dst").alias("at")), "at", "left_anti"))
+            matches = hit if matches is None else matches.unionByName(hit)
+        edges = cut(linked(rest.withColumn("old", F.lit(False)), t))
+        dropped, _ = greedy_dropped(edges)
+        stay = rest.join(dropped.withColumnRenamed("node", "at"), "at", "left_anti")
+        near = _first_match(edges.join(dropped.withColumnRenamed("node", "dst"), "dst", "left_semi")
+                            .join(dropped.withColumnRenamed("node", "src"), "src", "left_anti"))
+        matches = near if matches is None else matches.unionByName(near)
+        lo, size = lo + size, 2 * size
+        if lo < n:
+            kept = _ckpt(stay if kept is None else kept.unionByName(stay))
+    return matches
+
+
 def dedup_fuzzy(df: DataFrame, key: str = "name", seq: str = "seq", t: float = 0.85,
-                with_audit: bool = False):
+                with_audit: bool = False, first_block: int = FIRST_BLOCK):
     """Keep a row iff no earlier KEPT row has bigram Jaccard(lower(key)) >= t.
 
     Empty keys are always kept; equal keys (case-insensitive) collapse to their
     first row. Returns the kept rows (and the D5 audit when ``with_audit``).
     """
-    names = _distinct_keys(df, key, seq)
-    names = _ckpt(names)
-    edges = _ckpt(similar_pairs(names, key, seq, t, keys_ready=True))
-    dropped, _ = greedy_dropped(edges)
-    first = (names.join(dropped.withColumnRenamed("node", "seq"), "seq", "left_anti")
+    checkpoint_dir(df.sparkSession)
+    names = _names(df, key, seq)
+    n = names.count()
+    if not n:
+        matches = df.sparkSession.createDataFrame([], "dst long, src long, sim double")
+    else:
+        matches = _ckpt(decided(token_vectors(names), n, t, first_block))
+    first = (names.join(matches.select(F.col("dst").alias("at")), "at", "left_anti")
              .select(F.col("seq").alias("__first")))
     # decided by seq alone: blank keys spread over their rows' seq and no text is shuffled again
     kept = (df.join(first, F.col(seq) == F.col("__first"), "left")
@@ -232,30 +333,22 @@ def dedup_fuzzy(df: DataFrame, key: str = "name", seq: str = "seq", t: float = 0
             .drop("__first"))
     if not with_audit:
         return kept
-    return kept, dedup_audit(df, key, seq, names, edges, dropped)
-
-
-def dedup_audit(df: DataFrame, key: str, seq: str, names: DataFrame, edges: DataFrame,
-                dropped: DataFrame) -> DataFrame:
-    """Every dropped row with the first kept row it matched and the similarity."""
-    kept_names = names.join(dropped.withColumnRenamed("node", "seq"), "seq", "left_anti")
-    # dropped distinct names: earliest kept earlier neighbour
-    near = (edges.join(dropped.withColumnRenamed("node", "dst"), "dst", "left_semi")
-            .join(kept_names.select(F.col("seq").alias("src")), "src", "left_semi")
-            .groupBy("dst").agg(F.min_by(F.struct("src", "sim"), F.col("src")).alias("m"))
-            .select(F.col("dst").alias("__first"), F.col("m.src").alias("matched_seq"),
-                    F.col("m.sim").alias("similarity")))
-    rows = (df.withColumn("__k", F.lower(F.col(key)))
-            .where(F.col("__k").isNotNull() & (F.col("__k") != ""))
-            .join(names.select(F.col("k").alias("__k"), F.col("seq").alias("__first")), "__k"))
-    # later copies of a kept name match that name itself with similarity 1.0
-    copies = (rows.where(F.col(seq) != F.col("__first"))
-              .join(kept_names.select(F.col("seq").alias("__first")), "__first", "left_semi")
-              .select(F.col(seq).alias("dropped_seq"), F.col("__first").alias("matched_seq"),
-                      F.lit(1.0).alias("similarity")))
-    near_rows = (rows.join(near, "__first")
-                 .select(F.col(seq).alias("dropped_seq"), "matched_seq", "similarity"))
-    return copies.unionByName(near_rows)
+    return kept, dedup_audit(df, key, seq, names, matches)
+
+
+def dedup_audit(df: DataFrame, key: str, seq: str, names: DataFrame, matches: DataFrame) -> DataFrame:
+    """Every dropped row with the first kept row it matched and the similarity. Rows find their name by
+    its digest, not by its text."""
+    place = names.select("at", F.col("seq").alias("first"), F.sha2("k", 256).alias("digest"))
+    rows = (df.where(F.col(key).isNotNull() & (F.col(key) != ""))
+            .select(F.col(seq).alias("dropped_seq"), F.sha2(F.lower(F.col(key)), 256).alias("digest")))
+    near = (matches.join(names.select(F.col("at").alias("src"), F.col("seq").alias("matched_seq")), "src")
+            .select(F.col("dst").alias("at"), "matched_seq", "sim"))
+    found = rows.join(place, "digest").join(near, "at", "left")
+    # a kept name's later copies match that name itself
+    return (found.where(F.col("sim").isNotNull() | (F.col("dropped_seq") != F.col("first")))
+            .select("dropped_seq", F.coalesce("matched_seq", "first").alias("matched_seq"),
+                    F.coalesce("sim", F.lit(1.0)).alias("similarity")))
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

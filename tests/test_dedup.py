@@ -5,6 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from dirlens.functions.text import bigrams
+from dirlens.operators import dedup
 from dirlens.operators.dedup import dedup_fuzzy, dedup_last, similar_pairs
 
 
@@ -25,11 +26,11 @@ def sequential(names, t):
     return list(kept)
 
 
-def run(spark, names, t, parts=None):
+def run(spark, names, t, parts=None, first_block=4096):
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "seq long, name string")
     if parts:
         df = df.repartition(parts)
-    return sorted(r.seq for r in dedup_fuzzy(df, "name", "seq", t).collect())
+    return sorted(r.seq for r in dedup_fuzzy(df, "name", "seq", t, first_block=first_block).collect())
 
 
 GOLD = ["Acme Consulting", "ACME consulting", "Acme Consulting Ltd", "Acme Consultings", "", "", "x", "X", "y"]
@@ -71,6 +72,38 @@ def test_pairs_exact(spark):
     assert got == want
 
 
+def test_blocks_audit_and_split_groups(spark, monkeypatch):
+    # small blocks of the order, small groups and small tasks: the same rows, and the first kept match of each dropped one
+    monkeypatch.setattr(dedup, "MEMBERS", 7)
+    monkeypatch.setattr(dedup, "TASK_ROWS", 200)
+    rnd = random.Random(5)
+    names = ["".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 9))) for _ in range(120)]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "seq long, name string")
+    kept, audit = dedup_fuzzy(df, "name", "seq", 0.5, with_audit=True, first_block=20)
+    keep = sequential(names, 0.5)
+    assert sorted(r.seq for r in kept.collect()) == keep
+    got = {r.dropped_seq: (r.matched_seq, round(r.similarity, 9)) for r in audit.collect()}
+    want = {}
+    for i, n in enumerate(names):
+        if i not in keep:
+            j = next(j for j in keep if j < i and shares(n.lower(), names[j].lower(), 0.5))
+            a, b = (set(zip(x, x[1:])) for x in (n, names[j]))
+            want[i] = (j, 1.0 if n == names[j] else round(len(a & b) / len(a | b), 9))
+    assert got == want
+
+
+def test_more_tokens_than_the_bitset_holds(spark, monkeypatch):
+    monkeypatch.setattr(dedup.token_vectors, "__defaults__", (64,))
+    rnd = random.Random(8)
+    names = sorted({"".join(rnd.choice("abcdefghijklm") for _ in range(rnd.randint(2, 9))) for _ in range(150)})
+    names += [n + rnd.choice("abc") for n in names[:60]]
+    assert run(spark, names, 0.6) == sequential(names, 0.6)
+
+
+def test_no_names(spark):
+    assert run(spark, [], 0.85) == [] and run(spark, ["", None], 0.85) == [0, 1] and run(spark, ["a", "b", "A"], 0.85) == [0, 1]
+
+
 def test_last_wins(spark):
     df = spark.createDataFrame([(1, "a", 10, 0), (1, "b", 20, 1), (1, "a", 30, 2)],
                                "k long, c string, v long, seq long")
