@@ -113,20 +113,26 @@ def extract_records(pages: DataFrame, selectors: Mapping[str, str], country_code
         F.col("url").alias("source_url"), F.col("page_id").alias("seq"))
 
 
-def next_page_links(pages: DataFrame, selector: str, base_url: str | None = None) -> DataFrame:
-    """H7: (page_id, next_url) from the first match of the next-page selector."""
+def _next_links(pages: DataFrame, selector: str, base_url: str | None) -> DataFrame:
+    """(page_id, url, link) of the pages that have a next page; the parser hands the page's own URL on."""
     def run(batches):
         for pdf in batches:
-            ids, out = [], []
+            ids, urls, out = [], [], []
             for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
                 href = htmlsel.first_attr(htmlsel.parse(html), selector, "href")
                 if href:
                     ids.append(pid)
+                    urls.append(url)
                     out.append(urljoin(base_url if base_url is not None else url, href))
-            yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"),
+            yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"), "url": pd.Series(urls, dtype="object"),
                                 "link": pd.Series(out, dtype="object")})
     ship_package(pages.sparkSession)
-    return pages.select("page_id", "url", "html").mapInPandas(run, LINK_SCHEMA)
+    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, link string")
+
+
+def next_page_links(pages: DataFrame, selector: str, base_url: str | None = None) -> DataFrame:
+    """H7: (page_id, next_url) from the first match of the next-page selector."""
+    return _next_links(pages, selector, base_url).select("page_id", "link")
 
 
 def page_chain(starts: DataFrame, edges: DataFrame, max_pages: int = MAX_LISTING_PAGES) -> DataFrame:
@@ -134,16 +140,21 @@ def page_chain(starts: DataFrame, edges: DataFrame, max_pages: int = MAX_LISTING
     stopping at a missing link or a self-link.
 
     ``starts(start_url)``, ``edges(url, next_url)`` -> (start_url, depth, url).
-    The bound makes this a fixed number of equi-joins (no driver loop over data); links
-    and frontiers are cut, so no depth computes the ones before it again.
+    Pointer doubling: a jump table of 1, 2, 4, ... links, each the join of the one before with itself, extends
+    all chains found so far at once, so ten pages take four joins of the chains and three of the tables.
+    Each is cut, so none is computed again.
     """
-    e = cut(edges.select("url", "next_url").where(F.col("next_url").isNotNull() & (F.col("next_url") != F.col("url"))))
-    frontier = starts.select("start_url", F.lit(1).alias("depth"), F.col("start_url").alias("url"))
-    out = frontier
-    for d in range(2, max_pages + 1):
-        frontier = cut(frontier.join(e, "url")
-                       .select("start_url", F.lit(d).alias("depth"), F.col("next_url").alias("url")))
-        out = out.unionByName(frontier)
+    out = starts.select("start_url", F.lit(1).alias("depth"), F.col("start_url").alias("url"))
+    jump = cut(edges.select("url", "next_url").where(F.col("next_url").isNotNull() & (F.col("next_url") != F.col("url"))))
+    step = 1
+    while step < max_pages:
+        far = (out.where(F.col("depth") + step <= max_pages).join(jump, "url")
+               .select("start_url", (F.col("depth") + step).alias("depth"), F.col("next_url").alias("url")))
+        out = cut(out.unionByName(far))
+        step *= 2
+        if step < max_pages:
+            on = jump.select(F.col("url").alias("next_url"), F.col("next_url").alias("end_url"))
+            jump = cut(jump.join(on, "next_url").select("url", F.col("end_url").alias("next_url")))
     return out
 
 
@@ -157,9 +168,7 @@ def collect_target(pages: DataFrame, target: Mapping, start_urls: DataFrame | No
         start_urls = pages.sparkSession.createDataFrame([(base,)], "start_url string")
     # a blocked page is never parsed, so the chain stops there
     open_pages = pages.where(~blocked("html"))
-    nxt = next_page_links(open_pages, listing.get("next_page", ""), base)
-    edges = (open_pages.select("page_id", "url").join(nxt, "page_id")
-             .select("url", F.col("link").alias("next_url")))
+    edges = _next_links(open_pages, listing.get("next_page", ""), base).select("url", F.col("link").alias("next_url"))
     chain = page_chain(start_urls, edges, max_pages)
     listing_pages = (pages.join(chain.select("url").distinct(), "url", "left_semi")
                      .where(~blocked("html")))
