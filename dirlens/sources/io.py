@@ -7,14 +7,17 @@ partitioning (monotonically_increasing_id would not be).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Dictionary
 from ..schemas import ENVELOPE_METADATA
+from ..session import ship_package
 
 
 def read_envelope(spark: SparkSession, path: str, field: str, record: T.StructType,
@@ -87,11 +90,26 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
             .option("escape", '"').csv(path))
 
 
-def latest_file(df: DataFrame) -> DataFrame:
-    """Keep only the rows of the most recently modified input file."""
-    with_m = df.select("*", F.col("_metadata.file_modification_time").alias("__mtime"))
-    newest = with_m.agg(F.max("__mtime").alias("__mtime"))
-    return with_m.join(F.broadcast(newest), "__mtime", "left_semi").drop("__mtime")
+def newest_paths(spark: SparkSession, path: str, by: str = "file") -> list[str]:
+    """The most recently modified file below ``path``, or (``by="folder"``) the folder of the run that was written
+    last; several only where they are of one time. Decided from the listing alone, no file is opened."""
+    if by not in ("file", "folder"):
+        raise ValueError(f"by is 'file' or 'folder', not {by!r}")
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+              .select("path", F.col("modificationTime").alias("at")))
+    unit = F.col("path") if by == "file" else F.regexp_replace("path", "/[^/]*$", "")
+    units = listed.groupBy(unit.alias("unit")).agg(F.max("at").alias("at"))
+    newest = units.agg(F.max("at")).scalar()
+    return sorted(r["unit"] for r in units.where(F.col("at") == newest).select("unit").collect())
+
+
+def read_newest(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", by: str = "file",
+                **options) -> DataFrame:
+    """The rows of the newest file or folder below ``path``; the others are never read."""
+    found = newest_paths(spark, path, by)
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).options(**options).load(found)
 
 
 def dictionary_frames(spark: SparkSession, d: Dictionary | None = None) -> dict[str, DataFrame]:
@@ -116,35 +134,50 @@ def normalize_country_join(df: DataFrame, col: str, keys: DataFrame) -> DataFram
 
 
 # ---------------------------------------------------------------- sinks
-def _bucketed(df: DataFrame, rows_per_file: int) -> DataFrame:
-    """Group rows into bounded chunks (≤ rows_per_file each) without a skewable key."""
-    mid = F.monotonically_increasing_id()
-    return df.withColumns({"__part": F.spark_partition_id(),
-                           "__chunk": F.floor((mid % F.lit(1 << 33)) / F.lit(rows_per_file))})
-
-
-def write_envelope(df: DataFrame, path: str, field: str = "providers",
-                   metadata: Mapping[str, str] | None = None, rows_per_file: int = 100_000) -> None:
-    """Write envelope files ``{metadata, field: [...]}``; each file holds at most
-    ``rows_per_file`` records (no group grows with the data)."""
-    meta = F.create_map(*[x for k, v in (metadata or {}).items() for x in (F.lit(k), F.lit(v))]) \
-        if metadata else F.create_map().cast("map<string,string>")
-    cols = df.columns
-    b = _bucketed(df, rows_per_file)
-    docs = (b.groupBy("__part", "__chunk")
-            .agg(F.collect_list(F.struct(*cols)).alias("recs"))
-            .select("__part", "__chunk",
-                    F.to_json(F.struct(meta.alias("metadata"), F.col("recs").alias(field))).alias("value")))
+FILE_BYTES = 64 << 20
+
+
+def _documents(df: DataFrame, head: str, tail: str, rows_per_file: int, bytes_per_file: int) -> DataFrame:
+    """(part, chunk, value): each task's records as JSON, joined into documents ``head record, record, ... tail``. A
+    document is closed before it would pass ``rows_per_file`` records or ``bytes_per_file`` bytes; a longer record
+    is a document of its own. No shuffle, and one document's records at a time are held."""
+    def run(batches):
+        held, size, chunk = [], 0, 0
+
+        def closed():
+            value = head.encode() + b",".join(held) + tail.encode()
+            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([value.decode()], pa.string())],
+                                              names=["chunk", "value"])
+        for batch in batches:
+            for record in batch.column(0):
+                record = record.as_py().encode()
+                if held and (len(held) >= rows_per_file or size + len(record) > bytes_per_file):
+                    yield closed()
+                    held, size, chunk = [], 0, chunk + 1
+                held.append(record)
+                size += len(record) + 1
+        if held:
+            yield closed()
+    ship_package(df.sparkSession)
+    docs = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value")).mapInArrow(
+        run, "chunk long, value string")
+    return docs.select(F.spark_partition_id().alias("__part"), F.col("chunk").alias("__chunk"), "value")
+
+
+def write_envelope(df: DataFrame, path: str, field: str = "providers", metadata: Mapping[str, str] | None = None,
+                   rows_per_file: int = 100_000, bytes_per_file: int = FILE_BYTES) -> None:
+    """Write envelope files ``{metadata, field: [...]}``; each file holds at most ``rows_per_file`` records and
+    ``bytes_per_file`` bytes of them (no group grows with the data)."""
+    text = lambda x: json.dumps(x, ensure_ascii=False, separators=(",", ":"))
+    docs = _documents(df, f'{{"metadata":{text(dict(metadata or {}))},{text(field)}:[', "]}", rows_per_file, bytes_per_file)
     # one JSON document per file: a multi-line JSON file holds exactly one value
     docs.write.mode("overwrite").partitionBy("__part", "__chunk").text(path)
 
 
-def write_lists(df: DataFrame, path: str, rows_per_file: int = 100_000, mode: str = "overwrite") -> None:
+def write_lists(df: DataFrame, path: str, rows_per_file: int = 100_000, mode: str = "overwrite",
+                bytes_per_file: int = FILE_BYTES) -> None:
     """Write bare-list JSON files ``[{...}, ...]`` of bounded size."""
-    cols = df.columns
-    b = _bucketed(df, rows_per_file)
-    docs = (b.groupBy("__part", "__chunk").agg(F.collect_list(F.struct(*cols)).alias("recs"))
-            .select("__part", "__chunk", F.to_json(F.col("recs")).alias("value")))
+    docs = _documents(df, "[", "]", rows_per_file, bytes_per_file)
     docs.write.mode(mode).partitionBy("__part", "__chunk").text(path)
 
 
