@@ -20,8 +20,10 @@ from ..operators import nested as N
 from ..operators import pages as H
 from ..operators import quality as Q
 from ..operators import stats as A
+from ..operators import termindex as TI
 from ..operators import textml as M
 from ..operators.clean_records import clean_providers
+from ..session import cut
 from . import pipelines as X
 from .bindings import SITE, directory_pages, partner_directory, partner_pages, provider_view, table
 
@@ -188,10 +190,10 @@ def c19(spark, d):
 
 @q("c20_with_defaults")
 def c20(spark, d):
-    s = table(spark, d, "supplier")
-    de = (table(spark, d, "documents").where(F.col("lang") == "de")
-          .select(F.col("doc_id").alias("s_suppkey"), F.col("source")))
-    return C.with_defaults(s.join(de, "s_suppkey", "left"), {"source": "N/A"}).select("s_suppkey", "source")
+    # more customers than documents: the missing values are those of customers without a document
+    c = table(spark, d, "customer")
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("c_custkey"), F.col("source"))
+    return C.with_defaults(c.join(docs, "c_custkey", "left"), {"source": "N/A"}).select("c_custkey", "source")
 
 
 @q("c21_blank_nulls")
@@ -271,6 +273,20 @@ def f07(spark, d):
     return o.join(done, "o_orderkey", "left_anti").select("o_orderkey", "o_custkey")
 
 
+@q("f07_ledger_runs")
+def f07_ledger(spark, d):
+    # three runs over the orders, each with what the ledger has left: finished, open, and all of them
+    from ..operators.ledger import Ledger
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    ledger = Ledger(spark, _scratch(spark, "ledger"))
+    out = None
+    for run, rows in enumerate([o.where(F.col("o_orderstatus") == "F"), o.where(F.col("o_orderstatus") == "O"), o], 1):
+        fresh = cut(ledger.pending(rows, "o_orderkey").select("o_orderkey", F.lit(run).alias("run")))
+        ledger.record(fresh, "o_orderkey")
+        out = fresh if out is None else out.unionByName(fresh)
+    return out
+
+
 # ---------------------------------------------------------------- joins
 @q("j01_left_join_counts")
 def j01(spark, d):
@@ -498,15 +514,23 @@ def n02(spark, d):
 @q("n03_array_contains")
 def n03(spark, d):
     p = table(spark, d, "part")
-    words = p.select("p_partkey", F.split("p_name", " ").alias("words"))
-    return words.select("p_partkey", N.has_any("words", ["red", "blue"]).alias("any_match"),
-                        N.has_all("words", ["red", "blue"]).alias("all_match"))
+    path = _scratch(spark, "index")
+    TI.write_index(p, path, "p_partkey", F.split("p_name", " "))
+    index = TI.TermIndex(spark, path)
+    some = index.find_any(["red", "blue"]).select("key", F.lit(True).alias("any_match"))
+    every = index.find_all(["red", "blue"]).select("key", F.lit(True).alias("all_match"))
+    found = some.join(every, "key", "left").withColumnRenamed("key", "p_partkey")
+    return (p.select("p_partkey").join(found, "p_partkey", "left")
+            .select("p_partkey", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("any_match", "all_match")]))
 
 
 @q("n04_term_search")
 def n04(spark, d):
     p = table(spark, d, "part")
-    return p.where(N.term_search("p_name", ["Red"])).select("p_partkey", "p_name")
+    path = _scratch(spark, "index")
+    TI.write_index(p, path, "p_partkey", N.name_terms("p_name"))
+    found = TI.TermIndex(spark, path).find_all(["red"]).withColumnRenamed("key", "p_partkey")
+    return p.join(found, "p_partkey", "left_semi").select("p_partkey", "p_name")
 
 
 @q("o01_tier_sort_top")
@@ -545,13 +569,9 @@ def h08(spark, d):
 
 
 # ---------------------------------------------------------------- text ML
-def _en_docs(spark, d):
-    return table(spark, d, "documents").where(F.col("lang") == "en")
-
-
 @q("m01_vocabulary")
 def m01(spark, d):
-    tc = M.term_counts(_en_docs(spark, d).select("doc_id", C.clean_title("text").alias("t")), "doc_id", "t")
+    tc = M.term_counts(table(spark, d, "documents").select("doc_id", C.clean_title("text").alias("t")), "doc_id", "t")
     return M.fit_vocab(tc, 1000).select("term", F.col("cf").cast("bigint").alias("cf"),
                                         F.col("df").cast("bigint").alias("df"))
 
@@ -750,11 +770,10 @@ def s05(spark, d):
     from ..sources import io
     o = table(spark, d, "orders")
     path = _scratch(spark, "latest")
-    o.where(F.col("o_orderstatus") != "F").coalesce(1).write.mode("overwrite").parquet(path + "/run1")
+    o.where(F.col("o_orderstatus") != "F").write.mode("overwrite").parquet(path + "/run1")
     time.sleep(1.5)
-    o.where(F.col("o_orderstatus") == "F").coalesce(1).write.mode("overwrite").parquet(path + "/run2")
-    back = spark.read.option("recursiveFileLookup", True).schema(o.schema).parquet(path)
-    return io.latest_file(back).select("o_orderkey", "o_custkey", "o_orderstatus")
+    o.where(F.col("o_orderstatus") == "F").write.mode("overwrite").parquet(path + "/run2")
+    return io.read_newest(spark, path, o.schema, by="folder").select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
 @q("k04_flat_clients_csv")

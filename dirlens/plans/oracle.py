@@ -360,8 +360,8 @@ SELECT user_id, array_to_string(list_sort(list_distinct(list_transform(list(even
                           "FROM lineitem GROUP BY l_orderkey")
     S["c19_map_to_text"] = ("SELECT event_id, array_to_string(list_transform(json_keys(props), lambda k: k || ': ' || "
                             "(props->>k)), ', ') AS props_text FROM events")
-    S["c20_with_defaults"] = ("SELECT s_suppkey, coalesce(source, 'N/A') AS source FROM supplier LEFT JOIN "
-                              "(SELECT doc_id, source FROM documents WHERE lang = 'de') d ON d.doc_id = s_suppkey")
+    S["c20_with_defaults"] = ("SELECT c_custkey, coalesce(source, 'N/A') AS source FROM customer LEFT JOIN "
+                              "(SELECT doc_id, source FROM documents) d ON d.doc_id = c_custkey")
     S["c21_blank_nulls"] = W + """
 SELECT coalesce(provider_id, '') AS provider_id, coalesce(location, '') AS location,
   coalesce(website, '') AS website, coalesce(description, '') AS description FROM cl"""
@@ -384,6 +384,8 @@ SELECT coalesce(provider_id, '') AS provider_id, coalesce(location, '') AS locat
     S["f06_fallback"] = "WITH " + NAV_LINKS + " SELECT page_id, count(*)::BIGINT AS links FROM links GROUP BY page_id"
     S["f07_skip_done"] = ("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN "
                           "(SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+    S["f07_ledger_runs"] = ("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS run "
+                            "FROM orders")
     # joins
     J1 = ("SELECT o_orderkey, o_orderpriority, coalesce(c.n, 0)::BIGINT AS client_count FROM orders LEFT JOIN "
           "(SELECT CAST(l_orderkey AS VARCHAR) AS k, count(*) AS n FROM lineitem GROUP BY 1) c "
@@ -480,6 +482,20 @@ WHERE sim >= 0.5"""
     PN = "pn AS (SELECT p_partkey, p_name, p_partkey AS seq FROM part)"
     S["d04_dedup_fuzzy_085"] = "WITH RECURSIVE " + PN + "," + greedy_view("pn", "p_name", "seq", 0.85) + \
         " SELECT p_partkey, p_name FROM g_rows"
+    S["d04_dedup_documents"] = f"""
+WITH RECURSIVE nm AS (SELECT lower(text) AS k, min(doc_id) AS seq FROM documents WHERE text <> '' GROUP BY 1),
+g AS (SELECT seq, {grams('k')} AS g, row_number() OVER (ORDER BY seq) AS rn FROM nm),
+tok AS (SELECT rn, len(g) AS n, unnest(g) AS x FROM g),
+links AS (SELECT b.rn AS dst, a.rn AS src FROM tok a JOIN tok b ON a.x = b.x AND a.rn < b.rn
+          AND a.n >= 0.85 * b.n AND b.n >= 0.85 * a.n
+          GROUP BY a.rn, b.rn, a.n, b.n HAVING count(*)::DOUBLE / (a.n + b.n - count(*))::DOUBLE >= 0.85),
+near AS (SELECT g.rn, g.seq, coalesce(list(l.src) FILTER (WHERE l.src IS NOT NULL), []) AS earlier
+         FROM g LEFT JOIN links l ON l.dst = g.rn GROUP BY g.rn, g.seq),
+walk AS (SELECT 0::BIGINT AS rn, []::BIGINT[] AS kept
+  UNION ALL SELECT n.rn, CASE WHEN len(list_intersect(n.earlier, w.kept)) > 0 THEN w.kept ELSE list_append(w.kept, n.rn) END
+  FROM walk w JOIN near n ON n.rn = w.rn + 1),
+stay AS (SELECT unnest(kept) AS rn FROM walk WHERE rn = (SELECT max(rn) FROM near))
+SELECT doc_id FROM documents WHERE coalesce(text, '') = '' OR doc_id IN (SELECT seq FROM near JOIN stay USING (rn))"""
     S["d04_dedup_fuzzy_04"] = "WITH RECURSIVE " + PN + "," + greedy_view("pn", "p_name", "seq", 0.4) + \
         " SELECT p_partkey, p_name FROM g_rows"
     SN = "sn AS (SELECT s_suppkey, s_name, s_suppkey AS seq FROM supplier)"
@@ -542,7 +558,7 @@ chain(start_url, depth, url) AS (
 SELECT start_url, depth, url FROM chain"""
     # text
     S["m01_vocabulary"] = f"""
-WITH dt AS (SELECT doc_id, {TITLE_CLEAN} AS t FROM documents WHERE lang = 'en'),
+WITH dt AS (SELECT doc_id, {TITLE_CLEAN} AS t FROM documents),
 tok AS (SELECT doc_id, unnest(regexp_extract_all(t, '[{WORD}]{{2,}}')) AS term FROM dt),
 tc AS (SELECT doc_id, term, count(*) AS tf FROM tok WHERE NOT list_contains({STOP}, term) GROUP BY doc_id, term)
 SELECT term, sum(tf)::BIGINT AS cf, count(*)::BIGINT AS df FROM tc GROUP BY term ORDER BY cf DESC, term LIMIT 1000"""
