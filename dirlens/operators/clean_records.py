@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Dictionary
 from ..functions.clean import (clean_company_name, clean_text, clean_url, normalize_country,
                                normalize_tier)
+from ..schemas import PROVIDER_RAW
+
+
+def readable(df: DataFrame) -> Column:
+    """Whether a row is a record at all: an entry of an envelope that is no object (a number, a text, null) is read as a
+    row without any field. Such an entry cannot be cleaned."""
+    found = F.lit(False)
+    for c in PROVIDER_RAW.fieldNames():
+        if c in df.columns:
+            found = found | F.col(c).isNotNull()
+    return found
 
 
 def clean_providers(df: DataFrame, dictionary: Dictionary | None = None,

@@ -40,6 +40,18 @@ def distinct_count(df: DataFrame, col: str, approx: bool = False, name: str = "d
     return df.agg(agg.cast("bigint").alias(name))
 
 
+def distinct_sketches(df: DataFrame, by: list[str], col: str, log2_size: int = 12) -> DataFrame:
+    """A4 approximate: a mergeable sketch (2^log2_size cells at most) of the distinct values of ``col`` for every key. The
+    sketches are small rows, so a day's can be stored and merged with other days' without the data."""
+    return df.groupBy(*by).agg(F.hll_sketch_agg(_c(col), log2_size).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: list[str], name: str = "distinct") -> DataFrame:
+    """The estimated distinct counts of stored sketches, merged to the coarser key ``by`` (none: one row)."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name)
+    return sketches.groupBy(*by).agg(merged)
+
+
 def coverage_split(df: DataFrame, col: str, with_label: str = "With References",
                    without_label: str = "No References") -> DataFrame:
     """Rows with a positive (numeric-coerced) value vs the rest, as (category, count)."""

@@ -112,6 +112,7 @@ def cluster(vectors: DataFrame, k: int = 8, seed: int = 42, n_init: int = 10, ma
         cost = model.summary.trainingCost
         if best_cost is None or cost < best_cost:
             best, best_cost = model, cost
+    vectors.unpersist()
     return best, k
 
 

@@ -11,6 +11,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,15 +110,13 @@ def _partner_columns(tier_col: str = "o_orderpriority") -> list:
             F.concat(kept.cast("string"), F.lit("%")).alias("customer_retention")]
 
 
-def _partners_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders ⋈ customer ⋈ nation with the per-order line count (a partial-aggregated count)."""
+def _partners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders ⋈ customer ⋈ nation."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    counts = _line_refs(spark, sf_dir).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_refs"))
     return (o.join(c, o.o_custkey == c.c_custkey, "left")
-            .join(n, c.c_nationkey == n.n_nationkey, "left")
-            .join(counts, o.o_orderkey == counts.l_orderkey, "left"))
+            .join(n, c.c_nationkey == n.n_nationkey, "left"))
 
 
 def partner_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,42 +125,41 @@ def partner_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     A partner is an order; its reference count is the number of its lines. No
     arrays are built, so nothing grows with a hot order.
     """
-    return _partners_base(spark, sf_dir).select(*_partner_columns(), F.col("o_orderkey").alias("seq"))
+    counts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_refs"))
+    base = _partners(spark, sf_dir)
+    return (base.join(counts, base.o_orderkey == counts.l_orderkey, "left")
+            .select(*_partner_columns(), F.col("o_orderkey").alias("seq")))
+
+
+REFS_PER_PAGE = 5
 
 
 def partner_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detailed partner records (PARTNER_DETAILED + seq) as page-wise partial files.
 
-    Like the partial files the original ingests, a partner appears in several
-    records: one per client reference (its lines), each holding a one-element
-    reference list, plus one record with no references for a partner without lines. ``seq`` orders records by (order, line number,
-    part, supplier, quantity, price, ship date), a total order (line numbers
-    repeat within an order). A client is the part's type, so the same client
-    recurs within a partner and the last-wins dedup has work to do. No record
-    grows with the data.
+    Like the partial files the original ingests, a partner appears in several records of at most
+    ``REFS_PER_PAGE`` client references (its lines), and in one without references if it has no lines. The
+    lines are in a total order (line number, part, supplier, quantity, price, ship date; line numbers repeat within an
+    order), and ``seq`` is (order, page). A client is the part's type, so the same client
+    recurs within a partner and the last-wins dedup has work to do. No record grows with the data.
     """
-    base = _partners_base(spark, sf_dir)
-    refs = _line_refs(spark, sf_dir)
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+    lines = Window.partitionBy("l_orderkey")
     ref = F.struct(F.col("p_type").alias("client_name"),
                    F.concat_ws(" ", F.col("p_name"), F.lower(F.col("p_type"))).alias("description"),
                    F.array(F.col("p_name"), F.col("p_type")).alias("modules_implemented"),
                    F.format_string("qty %.0f", F.col("l_quantity")).alias("outcomes"))
-
-    def seq(*k):
-        names = ["p", "k0", "k1", "k2", "k3", "k4", "k5"]
-        return F.struct(*[c.alias(n) for c, n in zip(k, names)]).alias("seq")
-
-    with_refs = (refs.join(base, refs.l_orderkey == base.o_orderkey)
-                 .select(*_partner_columns(), F.array(ref).alias("client_references_detailed"),
-                         seq(F.col("o_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
-                             F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_shipdate"))))
-    empty = F.array().cast(with_refs.schema["client_references_detailed"].dataType)
-    no_refs = (base.where(F.col("n_refs").isNull())
-               .select(*_partner_columns(), empty.alias("client_references_detailed"),
-                       seq(F.col("o_orderkey"), F.lit(None).cast("int"), F.lit(None).cast("bigint"),
-                           F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("double"),
-                           F.lit(None).cast(refs.schema["l_shipdate"].dataType))))
-    return with_refs.unionByName(no_refs)
+    refs = _line_refs(spark, sf_dir).select(
+        "l_orderkey", ref.alias("ref"), F.row_number().over(lines.orderBy(*order)).alias("n"),
+        F.count(F.lit(1)).over(lines).alias("n_refs"))
+    # one pass over the lines of an order gives both its pages and their number
+    pages = (refs.groupBy("l_orderkey", F.floor((F.col("n") - 1) / REFS_PER_PAGE).alias("page"))
+             .agg(F.max("n_refs").alias("n_refs"), F.sort_array(F.collect_list(F.struct("n", "ref"))).alias("refs")))
+    none = F.array().cast(T.ArrayType(refs.schema["ref"].dataType))
+    base = _partners(spark, sf_dir)
+    return (base.join(pages, base.o_orderkey == pages.l_orderkey, "left")
+            .select(*_partner_columns(), F.coalesce(F.col("refs.ref"), none).alias("client_references_detailed"),
+                    F.struct(F.col("o_orderkey").alias("p"), F.coalesce("page", F.lit(0)).alias("k0")).alias("seq")))
 
 
 SITE = "https://directory.example.com"

@@ -322,6 +322,16 @@ def a04(spark, d):
     return A.distinct_count(table(spark, d, "orders"), "o_custkey", name="partners")
 
 
+@q("a04_distinct_sketches")
+def a04_sketches(spark, d):
+    # sketches for every day and type, merged to the type; the estimate stands within a tenth of the exact count
+    ev = table(spark, d, "events")
+    days = A.distinct_sketches(ev.withColumn("day", F.to_date("ts")), ["event_type", "day"], "user_id")
+    exact = ev.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    both = exact.join(A.merge_sketches(days, ["event_type"], "estimate"), "event_type")
+    return both.select("event_type", "users", (F.abs(F.col("estimate") - F.col("users")) * 10 <= F.col("users")).alias("close"))
+
+
 @q("a06_coverage")
 def a06(spark, d):
     return A.coverage_split(table(spark, d, "customer"), "c_acctbal")

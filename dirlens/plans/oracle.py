@@ -400,6 +400,8 @@ SELECT coalesce(provider_id, '') AS provider_id, coalesce(location, '') AS locat
                             "ORDER BY count DESC, source LIMIT 10")
     S["a03_top_customers"] = ("SELECT o_custkey, count(*)::BIGINT AS orders FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1 "
                               "ORDER BY orders DESC, o_custkey LIMIT 10")
+    S["a04_distinct_sketches"] = ("SELECT event_type, count(DISTINCT user_id)::BIGINT AS users, true AS close FROM events "
+                                  "GROUP BY event_type")
     S["a04_distinct_count"] = "SELECT count(DISTINCT o_custkey)::BIGINT AS partners FROM orders"
     S["a06_coverage"] = ("SELECT 'With References' AS category, count_if(c_acctbal > 0) AS count FROM customer "
                          "UNION ALL SELECT 'No References', count_if(NOT (c_acctbal > 0)) FROM customer")

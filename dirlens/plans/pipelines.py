@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Dictionary, QualityRules
-from ..operators.clean_records import clean_providers
+from ..operators.clean_records import clean_providers, readable
 from ..operators.dedup import dedup_fuzzy
-from ..operators.quality import flag_share, quality_report, score_providers
+from ..operators.quality import flag_share, quality_report, score_providers, split_quarantine
 from ..session import cut
 
 
@@ -34,6 +34,13 @@ def run_metrics(raw: DataFrame, cleaned: DataFrame, unique: DataFrame) -> DataFr
                       F.count_if(F.col("stage") == 2).alias("unique_count"))
 
 
+def run_documents(metrics: DataFrame, records: DataFrame, column: str = "metadata") -> DataFrame:
+    """K3: the run's counts beside the metadata of the envelopes that its records came from, one row per distinct
+    metadata. ``records`` are a reader's rows with that column; ``metrics`` is one row."""
+    counts = [metrics.select(c).scalar().alias(c) for c in metrics.columns]
+    return records.select(f"{column}.*").distinct().select("*", *counts)
+
+
 def observed(df: DataFrame, name: str):
     """K3 without extra passes: attach a row count to ``df``; the count is filled
     in by whatever action writes ``df`` (``obs.get["rows"]`` afterwards)."""
@@ -44,14 +51,16 @@ def observed(df: DataFrame, name: str):
 
 def run_pipeline(raw: DataFrame, dictionary: Dictionary | None = None,
                  rules: QualityRules | None = None, threshold: float = 0.85) -> dict[str, DataFrame]:
-    """Clean -> dedup -> counts -> score -> report.
+    """Quarantine (F1) -> clean -> dedup -> counts -> score -> report.
 
-    The cleaned and the deduplicated sets are checkpointed; scores are row-local
-    expressions over the latter.
+    Entries that are no records go to ``quarantine`` and count as original alone. The cleaned and the
+    deduplicated sets are checkpointed; scores are row-local expressions over the latter.
     """
-    cleaned, unique = clean_and_dedup(raw, dictionary, threshold)
+    records, bad = split_quarantine(raw, readable(raw), "not a record")
+    cleaned, unique = clean_and_dedup(records, dictionary, threshold)
     scored = score_providers(unique, rules)
     return {
+        "quarantine": bad,
         "cleaned": cleaned,
         "unique": unique,
         "metrics": run_metrics(raw, cleaned, unique),

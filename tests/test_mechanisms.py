@@ -8,6 +8,7 @@ import random
 import time
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dirlens.operators import termindex
 from dirlens.operators.ledger import Ledger
@@ -161,3 +162,72 @@ def test_malformed_files_come_out_of_the_stream(spark, tmp_path):
     files = spark.read.parquet(str(tmp_path / "bad")).collect()
     assert sorted(os.path.basename(r.file) for r in files) == ["broken.json", "other.json"]
     assert any("name" in (r._corrupt_record or "") for r in files)
+
+
+def test_sketches_merge_and_stay_close(spark):
+    from dirlens.operators import stats as A
+    df = spark.range(60_000).select((F.col("id") % 7).alias("day"), (F.col("id") % 2).alias("kind"), (F.col("id") % 20_011).alias("v"))
+    parts = A.distinct_sketches(df, ["kind", "day"], "v")
+    exact = {r.kind: r.n for r in df.groupBy("kind").agg(F.count_distinct("v").alias("n")).collect()}
+    got = {r.kind: r["distinct"] for r in A.merge_sketches(parts, ["kind"]).collect()}
+    assert got.keys() == exact.keys() and all(abs(got[k] - exact[k]) <= 0.05 * exact[k] for k in exact)
+    assert abs(A.merge_sketches(parts, []).first()[0] - 20_011) <= 0.05 * 20_011
+
+
+def test_pipeline_reports_what_cannot_be_cleaned(spark, tmp_path):
+    from dirlens.plans.pipelines import run_documents, run_pipeline
+    base = tmp_path / "in"
+    base.mkdir()
+    (base / "a.json").write_text(json.dumps({"metadata": {"country_code": "BD", "total_records": 4},
+                                             "providers": [{"name": "Acme"}, None, {"name": "ACME"}, {"name": "Zeta", "website": "z.com"}]}))
+    (base / "b.json").write_text(json.dumps({"metadata": {"country_code": "PE", "total_records": 2}, "providers": [{"name": "Other"}, {}]}))
+    raw = io.read_envelope(spark, str(base), "providers", PROVIDER_RAW, with_metadata=True)
+    out = run_pipeline(raw)
+    m = out["metrics"].first()
+    assert (m.original_count, m.cleaned_count, m.unique_count) == (6, 4, 3)
+    bad = out["quarantine"].collect()
+    assert sorted((os.path.basename(r.seq.file), r.seq.pos, r.quarantine_reason) for r in bad) == [
+        ("a.json", 1, "not a record"), ("b.json", 1, "not a record")]
+    runs = {r.country_code: (r.total_records, r.original_count, r.cleaned_count, r.unique_count)
+            for r in run_documents(out["metrics"], raw).collect()}
+    assert runs == {"BD": (4, 6, 4, 3), "PE": (2, 6, 4, 3)}
+
+
+def test_nested_references_golden(spark):
+    from dirlens.operators.nested import flatten_dedup_sort, flatten_references
+    from dirlens.schemas import PARTNER_DETAILED
+
+    def partner(name, tier, pid, refs):
+        return (name, tier, None, None, pid, None, None, None, None, None, refs)
+    refs = [("x", "Retail shop", ["CRM", "HR"], None), ("x", "health app", [], "done"), ("y", None, None, "kept")]
+    rows = [(*partner("A", "Gold", "1", refs), 0), (*partner("B", "Bronze", "2", []), 1), (*partner("C", "Gold", "3", None), 2)]
+    df = spark.createDataFrame(rows, T.StructType([*PARTNER_DETAILED.fields, T.StructField("seq", T.LongType())]))
+    assert flatten_references(df).count() == 5
+    got = [(r["Partner Name"], r["Client Name"], r["Client Industry"], r["Modules Implemented"], r["Key Outcomes"])
+           for r in flatten_dedup_sort(df).collect()]
+    assert got[0] == ("A", "x", "Healthcare", "", "done") and got[1][:2] == ("A", "y") and got[1][3:] == ("", "kept")
+    assert got[2:] == [("C", "N/A", "N/A", "", ""), ("B", "N/A", "N/A", "", "")]
+
+
+def test_missing_paths_and_dictionary(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from dirlens.config import load_dictionary
+    for read in (lambda p: io.read_envelope(spark, p, "providers", PROVIDER_RAW), lambda p: io.read_mixed(spark, p, "providers", PROVIDER_RAW),
+                 lambda p: io.read_table(spark, p, PROVIDER_RAW)):
+        with pytest.raises(AnalysisException) as e:
+            read(str(tmp_path / "nowhere")).count()
+        assert e.value.getCondition() == "PATH_NOT_FOUND"
+    path = tmp_path / "d.json"
+    path.write_text(json.dumps({"countries": {"PE": {"name": "Peru", "full_name": "Republic of Peru", "region": "LatAm"}},
+                                "industries": {"normalization_map": {"shops": "Retail"}},
+                                "service_modules": {"module_aliases": {"crm": "CRM"}},
+                                "data_quality_rules": {"mandatory_fields": {"providers": ["name"]},
+                                                       "completeness_weights": {"providers": {"name": 1.0}}}}))
+    d, rules = load_dictionary(str(path))
+    frames = io.dictionary_frames(spark, d)
+    assert [tuple(r) for r in frames["countries"].collect()] == [("PE", "Peru", "Republic of Peru", "LatAm")]
+    assert {r.key: r.code for r in frames["country_keys"].collect()}["peru"] == "PE"
+    assert d.industry_aliases == {"shops": "Retail"} and d.module_aliases == {"crm": "CRM"}
+    assert rules.mandatory == ["name"] and rules.weights == {"name": 1.0}
