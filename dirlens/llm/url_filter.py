@@ -1,12 +1,15 @@
 """URL filters as a temporal list join, in DataFrame functions alone.
 
 *Intervals*: dated list entries (add or remove a pattern) become validity intervals: an entry holds
-from its time to the next entry for the same list, kind and pattern; intervals of adds are kept.
+from its time to the next entry for the same list, kind and pattern; intervals of adds are kept. A pattern's
+history is ordered day by day in many tasks, and a row for each of its days carries the next day's first
+entry back.
 
 *As-of join*: every capture is expanded into the few keys that could match it (its URL, its host, each
-parent domain, each path prefix) and meets the intervals by (kind, key, day) with the exact bounds
-``valid_from <= fetched < valid_to``. The day is the bucket of the range join: a pattern toggled for
-years meets a capture only with its intervals of that day, and a hot host spreads over days.
+parent domain, each path prefix) and meets the intervals by (kind, key, dyadic range of days) with the exact
+bounds ``valid_from <= fetched < valid_to``. An interval over n days is at most 2 log2(n) dyadic ranges, which
+do not overlap, and a capture's day lies in one range of each size: so each meets an interval at most once, an
+entry that holds for years is a few rows, and a hot host spreads over ranges.
 Captures of one key and time are joined once (a distinct before the join) and the answer goes
 back to all of them; what is still skewed, the adaptive join splits.
 
@@ -43,9 +46,39 @@ def intervals(entries: DataFrame) -> DataFrame:
     pattern, action in add/remove, at)."""
     last = (entries.where("pattern IS NOT NULL AND at IS NOT NULL AND kind IS NOT NULL")
             .groupBy("list", "kind", "pattern", "at").agg(F.max(F.struct("action", "entry_id")).alias("x")))
-    line = Window.partitionBy("list", "kind", "pattern").orderBy("at")
-    return (last.withColumn("valid_to", F.lead("at").over(line)).where("x.action = 'add'")
-            .select("list", "kind", "pattern", F.col("at").alias("valid_from"), "valid_to"))
+    last = last.withColumn("day", F.to_date("at"))
+    of_day = Window.partitionBy("list", "kind", "pattern", "day").orderBy("at")
+    days = last.groupBy("list", "kind", "pattern", "day").agg(F.min("at").alias("first"))
+    later = F.lead("first").over(Window.partitionBy("list", "kind", "pattern").orderBy("day"))
+    days = days.select(F.col("list").alias("l"), F.col("kind").alias("k"), F.col("pattern").alias("p"), F.col("day").alias("d"),
+                       later.alias("later"))
+    rows = last.withColumn("next", F.lead("at").over(of_day))
+    rows = rows.join(days, F.col("list").eqNullSafe(F.col("l")) & (F.col("kind") == F.col("k"))
+                     & (F.col("pattern") == F.col("p")) & (F.col("day") == F.col("d")))
+    return (rows.where("x.action = 'add'")
+            .select("list", "kind", "pattern", F.col("at").alias("valid_from"), F.coalesce("next", "later").alias("valid_to")))
+
+
+def _shifted(x: Column, level: Column) -> Column:
+    return F.call_function("shiftright", x, level)
+
+
+def ranges(first: Column, last: Column, levels: Column) -> Column:
+    """Array of (level, number) of the dyadic ranges that make up the days ``first`` to ``last``, numbers from 0: range
+    (l, i) holds the days from i * 2^l to (i + 1) * 2^l - 1."""
+    def at(level):
+        # the ranges of this size inside the interval; the outer ones that no larger range holds
+        lo = _shifted(first + F.call_function("shiftleft", F.lit(1), level) - 1, level)
+        hi = _shifted(last + 1, level) - 1
+        ends = F.array(F.struct(level.alias("level"), lo.alias("node"), (lo % 2 == 1).alias("outer")),
+                       F.struct(level.alias("level"), hi.alias("node"), (hi % 2 == 0).alias("outer")))
+        return F.filter(ends, lambda e: e["outer"] & (lo <= hi))
+    return F.transform(F.flatten(F.transform(F.sequence(F.lit(0), levels), at)), lambda e: F.struct(e["level"], e["node"]))
+
+
+def ranges_of_day(day: Column, levels: Column) -> Column:
+    """Array of the dyadic ranges of all sizes that hold the day."""
+    return F.transform(F.sequence(F.lit(0), levels), lambda level: F.struct(level.alias("level"), _shifted(day, level).alias("node")))
 
 
 def _keys(url: Column) -> Column:
@@ -69,17 +102,24 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
     active entry) for captures (capture_id, url, fetched)."""
     c = captures.select("capture_id", "url", "fetched", normal_url(F.col("url")).alias("norm"))
     asked = c.where("norm IS NOT NULL AND fetched IS NOT NULL").select("norm", "fetched").distinct()
-    day = F.to_date("fetched")
-    days = c.where("norm IS NOT NULL").agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+    # days count from the first capture's; entries before it or after the last capture's day meet nothing
+    day = F.unix_date(F.to_date("fetched"))
+    span = F.max(day) - F.min(day)
+    days = c.where("norm IS NOT NULL").agg(F.struct(
+        F.min(day).alias("first"), span.alias("span"), F.ceil(F.log2(span + 1)).cast("int").alias("levels"))).scalar()
     live = intervals(entries).withColumn("days", days)
-    start = F.greatest(F.to_date("valid_from"), F.col("days.first"))
-    stop = F.least(F.coalesce(F.to_date("valid_to"), F.col("days.last")), F.col("days.last"))
+    since = lambda at: F.unix_date(F.to_date(at)) - F.col("days.first")
+    start = F.greatest(since("valid_from"), F.lit(0))
+    stop = F.least(F.coalesce(since("valid_to"), F.col("days.span")), F.col("days.span"))
     live = (live.withColumns({"start": start, "stop": stop}).where("start <= stop")
             .select("list", "kind", F.col("pattern").alias("key"), "valid_from", "valid_to",
-                    F.explode(F.sequence("start", "stop")).alias("day")))
-    keyed = asked.select("norm", "fetched", F.to_date("fetched").alias("day"),
-                         F.explode(F.array_distinct(_keys(F.col("norm")))).alias("k")).select("norm", "fetched", "day", "k.*")
-    hit = keyed.join(live, ["kind", "key", "day"]).where(
+                    F.explode(ranges(F.col("start"), F.col("stop"), F.col("days.levels"))).alias("range"))
+            .select("list", "kind", "key", "valid_from", "valid_to", "range.level", "range.node"))
+    keyed = (asked.withColumn("days", days)
+             .select("norm", "fetched", F.explode(ranges_of_day(since("fetched"), F.col("days.levels"))).alias("range"), "days")
+             .select("norm", "fetched", "range.level", "range.node", F.explode(F.array_distinct(_keys(F.col("norm")))).alias("k"))
+             .select("norm", "fetched", "level", "node", "k.*"))
+    hit = keyed.join(live, ["kind", "key", "level", "node"]).where(
         (F.col("valid_from") <= F.col("fetched")) & (F.col("valid_to").isNull() | (F.col("fetched") < F.col("valid_to"))))
     rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(len(KINDS) - i)) for i, k in enumerate(KINDS)])
     # of equally specific entries an allow decides
