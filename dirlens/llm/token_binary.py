@@ -6,7 +6,7 @@
 2. A keyed Feistel network permutes the numbers; cycle-walking keeps the result inside their domain.
    So every sequence gets its slot from its number and the key alone: no sort, no shared counter,
    and the same slot in every run.
-3. Sequences are dealt to shards by ranges of slots, straight from the tasks that encoded them (the
+3. Sequences are dealt to shards by ranges of slots, and ranges of shards to at most ``WRITERS`` tasks, straight from the tasks that encoded them (the
    texts are encoded once, the ids shuffled once). A shard's task sorts its sequences and streams
    them into one file of fixed-stride records: little-endian ids, ``LENGTH`` of them. The file gets its
    name only when complete, so a retried task or a resumed job finds whole shards or none.
@@ -41,6 +41,7 @@ from .token_counts import PATTERN, VOCABULARY, encoder
 
 LENGTH = 512
 SHARD_BYTES = 32 << 20       # text bytes that make one shard, on average
+WRITERS = 4096               # tasks that write, each a range of shards one after the other
 ROUNDS = 4
 KEY = 20240607
 
@@ -90,7 +91,7 @@ def _open(folder: str):
 
 
 def materialise(docs: DataFrame, path: str | None = None, length: int = LENGTH, key: int = KEY,
-                shard_bytes: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text",
+                shard_bytes: int = SHARD_BYTES, writers: int = WRITERS, id_col: str = "doc_id", text_col: str = "text",
                 vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """Writes the shards under ``path`` (default: the shared folder; any address that pyarrow reads) and
     returns one row per sequence: slot, doc_id, seq, n_tokens, shard, offset, file."""
@@ -166,12 +167,18 @@ def materialise(docs: DataFrame, path: str | None = None, length: int = LENGTH,
     encoded = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                           F.xxhash64(text_col).alias("tie")).mapInArrow(
         encode, f"shard int, virtual long, doc_id {kind}, tie long, seq long, n_tokens long, ids binary")
-    ordered = (encoded.repartitionById(shards, F.col("shard"))
+    writers = min(writers, shards)
+    writer = F.floor(F.col("shard") * F.lit(writers) / F.lit(shards)).cast("int")
+    ordered = (encoded.repartitionById(writers, writer)
                .sortWithinPartitions("shard", "virtual", "doc_id", "tie", "seq"))
     done = written(ordered.mapInArrow(write, f"shard int, inside long, doc_id {kind}, seq long, n_tokens long"), "token-shards-rows")
     sizes = done.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-    # a row for each shard
-    starts = sizes.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("first"))
+    # a row for each shard, summed within the writers' ranges and then over the writers
+    sizes = sizes.withColumn("writer", writer)
+    inside = F.sum("n").over(Window.partitionBy("writer").orderBy("shard")) - F.col("n")
+    before = sizes.groupBy("writer").agg(F.sum("n").alias("m"))
+    before = before.select("writer", (F.sum("m").over(Window.orderBy("writer")) - F.col("m")).alias("before"))
+    starts = sizes.withColumn("at", inside).join(before, "writer").select("shard", (F.col("before") + F.col("at")).alias("first"))
     return done.join(starts, "shard").select(
         (F.col("first") + F.col("inside")).alias("slot"), "doc_id", "seq", "n_tokens", "shard",
         (F.col("inside") * F.lit(length * dtype.itemsize)).alias("offset"),
