@@ -39,10 +39,11 @@ CYCLE = (1, 2, 3)
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       n_words(F.col(text_col)).alias("size"))
-    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("size").cast("string"))
-    return base.withColumn("h", F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long"))
+    # the text is part of the order, so rows that share an id, or have none, spread over the buckets
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
+                       F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"), F.col("text"))
+    return base.withColumn("h", F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long")).drop("text")
 
 
 def _demand(sources: DataFrame, schedule: DataFrame | None, cycle: Sequence[float]) -> DataFrame:

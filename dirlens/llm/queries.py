@@ -44,7 +44,7 @@ def op7(spark, d):
 
 SQL["op7_source_mix"] = f"""
 WITH RECURSIVE sized AS (
-  SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")}) AS size FROM documents),
+  SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")}) AS size, md5(coalesce(text, '')) AS digest FROM documents),
 src AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS docs FROM sized GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rk FROM src),
 capped AS (SELECT *, ((rk - 1) % {len(mixing.CYCLE)} + 1)::DOUBLE AS weight,
@@ -61,7 +61,7 @@ goals AS (SELECT *, floor(target + 0.5)::BIGINT AS goal, ceil(docs / {mixing.BUC
 parts AS (SELECT *, CASE WHEN source_size > 0 THEN goal // source_size ELSE 0 END AS epochs,
                  goal - CASE WHEN source_size > 0 THEN goal // source_size ELSE 0 END * source_size AS part FROM goals),
 placed AS (SELECT p.rk, s.doc_id, s.size, p.buckets, p.part,
-    ('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '') || ':' || s.size::VARCHAR), 1, 8))::BIGINT AS h
+    ('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '') || ':' || s.size::VARCHAR || ':' || s.digest), 1, 8))::BIGINT AS h
     FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source),
 bucketed AS (SELECT *, (h * buckets) >> 32 AS bucket FROM placed),
 ordered AS (SELECT *, row_number() OVER w AS n, (sum(size) OVER w)::BIGINT - size AS inside FROM bucketed
