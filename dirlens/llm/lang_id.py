@@ -13,7 +13,8 @@ with the largest proportion, and the score is that proportion.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and no languages; so
 is every text when nothing could be learned. Ties go to the alphabetically first language. Rows
-repeat as given; lang, source and id are never read for a prediction.
+repeat as given; lang, source and id are never read for a prediction. Very long texts are read whole,
+piece by piece. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -229,6 +230,10 @@ def identify_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
-    """The rows whose language could be told (not ``und``), with the columns they came with."""
-    found = identify(F.col(text_col), learned(docs, id_col, text_col, lang_col))
+    """The rows whose language could be told (not ``und``), with the columns they came with. Where no row has a label to
+    learn from, nothing can be told apart and every text with a letter stays."""
+    model = learned(docs, id_col, text_col, lang_col)
+    if not model.langs:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
+    found = identify(F.col(text_col), model)
     return own_columns(carried(docs, found.alias("found")).where("found.lang_pred != 'und'"))

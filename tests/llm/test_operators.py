@@ -519,3 +519,37 @@ def test_word_counts(spark):
     texts = ["", None, " ", "a", " a ", "a  b", "\ta\x0bb\x0c\rc\n", "é x y", "a" * 50_000, "x " * 40_000, " a", "\x1ca\x1c b"]
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
     assert [r[0] for r in docs.select(n_words(F.col("text"))).collect()] == [len(words(t)) for t in texts]
+
+
+def test_dyadic_ranges(spark):
+    from dirlens.llm.url_filter import ranges, ranges_of_day
+    rows = [(a, b) for a in range(0, 21) for b in range(a, 21)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    got = df.select("a", "b", ranges(F.col("a"), F.col("b"), F.lit(5)).alias("r")).collect()
+    for r in got:
+        days = [d for x in r.r for d in range(x.node << x.level, (x.node + 1) << x.level)]
+        assert sorted(days) == list(range(r.a, r.b + 1))                  # all days, none twice
+        assert len(r.r) <= 2 * math.log2(r.b - r.a + 2)
+    for r in spark.range(21).select("id", ranges_of_day(F.col("id").cast("int"), F.lit(5)).alias("r")).collect():
+        assert [(x.level, x.node) for x in r.r] == [(v, r.id >> v) for v in range(6)]
+
+
+def test_shards_by_few_writers(spark, tmp_path):
+    docs = table(spark, SF, "documents").limit(60)
+    many = token_binary.materialise(docs, str(tmp_path / "many"), length=128, shard_bytes=1 << 13).collect()
+    few = token_binary.materialise(docs, str(tmp_path / "few"), length=128, shard_bytes=1 << 13, writers=3).collect()
+    key = lambda rows: sorted((r.slot, r.doc_id, r.seq, r.shard, r.offset) for r in rows)
+    assert key(many) == key(few) and len({r.shard for r in few}) > 3
+    assert [r.slot for r in sorted(few, key=lambda r: r.slot)] == list(range(len(few)))
+
+
+def test_mix_of_many_rows_without_an_id(spark):
+    # one size, no ids, texts that differ: they spread over the buckets and a target is met
+    rows = [(None, f"w{i} x y z", "en", "a", 0) for i in range(6000)] + [(i, "one two three", "en", "b", 0) for i in range(2000)]
+    got = mixing.mix(frame(spark, rows)).groupBy("source_size").agg(F.sum("taken").alias("t"), F.max("target").alias("goal")).collect()
+    assert len(got) == 2 and all(abs(r.t - r.goal) <= 0.01 * r.goal for r in got)
+
+
+def test_no_labels_lose_no_documents(spark):
+    docs = frame(spark, [(1, "some text", None, "a", 0), (2, "1 2 3", None, "a", 0), (3, None, None, "a", 0), (4, "\u00e9", None, "b", 0)])
+    assert sorted(r.doc_id for r in lang_id.keep_identified(docs).collect()) == [1, 4]
