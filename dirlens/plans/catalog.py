@@ -677,6 +677,18 @@ def s01(spark, d):
     return io.read_envelope(spark, path, "providers", cust.schema).drop("seq")
 
 
+@q("s01_envelope_parts")
+def s01_parts(spark, d):
+    from ..sources import io
+    from ..sources.json_parts import read_parts
+    o = table(spark, d, "orders")
+    path = _scratch(spark, "envelope-parts")
+    io.write_envelope(o, path, "providers", {"country_code": "XX"}, rows_per_file=1 << 40, bytes_per_file=1 << 30)
+    good, _ = read_parts(spark, path, o.schema, "providers", part_bytes=1 << 20)
+    return good.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                       F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority")
+
+
 @q("s02_mixed_roundtrip")
 def s02(spark, d):
     from ..sources import io

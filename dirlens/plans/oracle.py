@@ -593,6 +593,7 @@ SELECT lang, rank::BIGINT AS rank, term FROM (
                          "GROUP BY p_brand")
     S["k02_json_roundtrip"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
                                "strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders")
+    S["s01_envelope_parts"] = S["k02_json_roundtrip"]
     S["k03_run_metrics"] = ("WITH g AS (SELECT * FROM documents WHERE text IS NOT NULL AND n_chars = length(text) "
                             "AND n_chars >= 200) SELECT (SELECT count(*) FROM documents)::BIGINT AS original_count, "
                             "(SELECT count(*) FROM g)::BIGINT AS cleaned_count, "
