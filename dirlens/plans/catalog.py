@@ -301,6 +301,18 @@ def j05(spark, d):
     return Q.orphans(o, li, "o_orderkey", "l_orderkey").agg(F.count(F.lit(1)).alias("orphans"))
 
 
+@q("j05_cascade")
+def j05_cascade(spark, d):
+    from ..operators.cascade import cascade_delete
+    path = _scratch(spark, "cascade")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
+                                         F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    o.write.partitionBy("month").parquet(path)
+    cascade_delete(spark, path, ["month"], "o_orderkey", table(spark, d, "lineitem"), "l_orderkey")
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
+                                           F.col("month").cast("string").alias("month"))
+
+
 # ---------------------------------------------------------------- aggregations
 @q("a01_value_counts")
 def a01(spark, d):

@@ -393,6 +393,8 @@ SELECT coalesce(provider_id, '') AS provider_id, coalesce(location, '') AS locat
     S["j01_left_join_counts"] = J1
     S["j05_orphans"] = ("SELECT count(*)::BIGINT AS orphans FROM orders WHERE o_orderkey NOT IN "
                         "(SELECT l_orderkey FROM lineitem)")
+    S["j05_cascade"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, strftime(o_orderdate, '%Y-%m') AS month "
+                        "FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)")
     # aggregations
     S["a01_value_counts"] = ("SELECT c_mktsegment, count(*)::BIGINT AS count FROM customer WHERE c_mktsegment IS NOT NULL "
                              "GROUP BY 1 ORDER BY count DESC, c_mktsegment")
