@@ -8,11 +8,14 @@ cut into blocks of about ``BLOCK`` rows, so that a list with a third of all rows
 *Adaptive scan*. Vectors are turned by a random orthogonal matrix and stand in column blocks of
 ``COLUMNS`` dimensions. After each column block a hypothesis test compares the partial distance, scaled
 to all dimensions, with the query's current k-th distance: a candidate beyond it by the factor
-(1 + EPSILON / sqrt(d))^2 is abandoned, and only the others read the next block. A query first scans
-its nearest list, whose k-th distance is the threshold it brings to the other lists it probes.
-
-A query probes the share ``PROBE`` of the lists, nearest first, and always as many as hold ``HELD`` times
-the neighbours asked for. The score is the exact inner product of the original vectors in double
+(1 + EPSILON / sqrt(d))^2 is abandoned, and only the others read the next block. A query scans its
+nearest list first, then a quarter of its other lists, then the rest; the k-th distance after a round is the
+threshold of the next, and lists that lie beyond it as a whole (centre's distance less radius) are left out.
+
+*Lists probed*. How many lists, nearest first, is measured: a sample of ``SAMPLE`` rows by a hash of their id is
+searched exactly in one pass over all vectors, and the least number of lists is taken that holds the share ``TARGET``
+of their true neighbours (``probe`` fixes a share of the lists instead). Always as many are probed as hold
+``HELD`` times the neighbours asked for. The score is the exact inner product of the original vectors in double
 precision.
 
 Defined results: vectors that are null, all zero, or hold a null or a non-finite component take no part,
@@ -37,7 +40,8 @@ FIT = 20_000
 BLOCK = 4096
 COLUMNS = 16
 EPSILON = 2.1
-PROBE = 0.75
+TARGET = 0.97
+SAMPLE = 64
 MAX_LISTS = 4096
 HELD = 100
 
@@ -119,7 +123,7 @@ class Index:
         self.turn = np.linalg.qr(rng.standard_normal((x.shape[1],) * 2))[0]
 
     def assigned(self, vectors: DataFrame) -> DataFrame:
-        """id, v, list, turned (array<double>)."""
+        """id, v, list, turned (array<double>), off (distance from the list's centre)."""
         top, centres, turn = self.top, self.centres, self.turn
 
         def run(batches):
@@ -127,16 +131,50 @@ class Index:
                 if not batch.num_rows:
                     continue
                 x = _raised(_matrix(batch.column(1)), top)
+                near = _nearest(x, centres)
+                off = np.sqrt(((x - centres[near]) ** 2).sum(1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(_nearest(x, centres).astype(np.int32)),
-                     pa.array(list(x @ turn), pa.list_(pa.float64()))], names=["id", "v", "list", "turned"])
-        return vectors.select("id", "v").mapInArrow(run, "id long, v array<double>, list int, turned array<double>")
+                    [batch.column(0), batch.column(1), pa.array(near.astype(np.int32)),
+                     pa.array(list(x @ turn), pa.list_(pa.float64())), pa.array(off)],
+                    names=["id", "v", "list", "turned", "off"])
+        return vectors.select("id", "v").mapInArrow(
+            run, "id long, v array<double>, list int, turned array<double>, off double")
+
+    def lists_for(self, rows: DataFrame, k: int, target: float = TARGET, sample: int = SAMPLE) -> int:
+        """The least number of lists, nearest first, that holds ``target`` of the true k neighbours of sampled rows."""
+        asked = rows.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(sample).select("id", "v").toArrow()
+        own, v = asked["id"].to_numpy(), _matrix(asked["v"])
 
-    def probes(self, queries: DataFrame, sizes: dict[int, int], k: int, probe: float) -> DataFrame:
-        """query, v, turned, list, nearness (0: nearest list)."""
-        centres, turn = self.centres, self.turn
+        def run(batches):
+            best = [np.zeros((0, 2))] * len(own)                   # score, list of a task's nearest rows
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                ids, lists = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+                score = _matrix(batch.column(1)) @ v.T
+                for q in range(len(own)):
+                    other = np.flatnonzero(ids != own[q])
+                    top = other[np.argsort(-score[other, q], kind="stable")[:k]]
+                    both = np.vstack([best[q], np.column_stack([score[top, q], lists[top]])])
+                    best[q] = both[np.argsort(-both[:, 0], kind="stable")[:k]]
+            at = np.repeat(np.arange(len(own)), [len(b) for b in best])
+            found = np.vstack(best) if len(at) else np.zeros((0, 2))
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(found[:, 1].astype(np.int32)),
+                                              pa.array(found[:, 0])], names=["q", "list", "score"])
+        each = rows.select("id", "v", "list").mapInArrow(run, "q int, list int, score double")
+        rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "list"))
+        found = each.withColumn("rank", rank).where(F.col("rank") <= k).select("q", "list").toArrow()   # sample x k rows
+        if not len(found):
+            return 1
+        order = np.argsort(_distances(np.hstack([v, np.zeros((len(v), 1))]), self.centres), axis=1, kind="stable")
+        place = np.argsort(order, axis=1)[found["q"].to_numpy(), found["list"].to_numpy()]
+        return 1 + int(np.sort(place)[math.ceil(target * len(place)) - 1])
+
+    def probes(self, queries: DataFrame, sizes: dict[int, int], radius: dict[int, float], k: int, least: int) -> DataFrame:
+        """query, v, list, nearness (0: nearest list), round (0, 1, 2), gap (no row of the list is nearer)."""
+        centres = self.centres
         count = np.array([sizes.get(i, 0) for i in range(len(centres))])
-        least = math.ceil(probe * len(centres))
+        reach = np.array([radius.get(i, 0.0) for i in range(len(centres))])
 
         def run(batches):
             for batch in batches:
@@ -144,22 +182,26 @@ class Index:
                     continue
                 v = _matrix(batch.column(1))
                 x = np.hstack([v, np.zeros((len(v), 1))])
-                order = np.argsort(_distances(x, centres), axis=1, kind="stable")
+                away = _distances(x, centres)
+                order = np.argsort(away, axis=1, kind="stable")
+                away = np.sqrt(np.maximum(away + (v * v).sum(1)[:, None], 0))
                 held = np.cumsum(count[order], axis=1)
                 need = np.maximum(least, 1 + (held < min(HELD * k + 1, count.sum())).sum(1))
                 of = np.repeat(np.arange(len(v)), need)
                 rank = np.concatenate([np.arange(m) for m in need])
-                turned = pa.array(list(x @ turn), pa.list_(pa.float64()))
+                lists = order[of, rank]
+                when = np.where(rank == 0, 0, np.where(rank <= np.ceil(need[of] / 4), 1, 2))
                 of_a = pa.array(of)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(of_a), batch.column(1).take(of_a), turned.take(of_a),
-                     pa.array(order[of, rank].astype(np.int32)), pa.array(rank.astype(np.int32))],
-                    names=["query", "v", "turned", "list", "nearness"])
+                    [batch.column(0).take(of_a), batch.column(1).take(of_a), pa.array(lists.astype(np.int32)),
+                     pa.array(rank.astype(np.int32)), pa.array(when.astype(np.int32)),
+                     pa.array(np.maximum(away[of, lists] - reach[lists], 0))],
+                    names=["query", "v", "list", "nearness", "round", "gap"])
         return queries.select("id", "v").mapInArrow(
-            run, "query long, v array<double>, turned array<double>, list int, nearness int")
+            run, "query long, v array<double>, list int, nearness int, round int, gap double")
 
 
-def _scan(k: int):
+def _scan(k: int, turn: np.ndarray):
     """Cogroup function: the k nearest rows of one block for each query that comes to it."""
     names = pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -170,7 +212,8 @@ def _scan(k: int):
             order = np.argsort(ids)
             ids, original = ids[order], _matrix(rows["v"])[order]
             columns = np.ascontiguousarray(_matrix(rows["turned"])[order].T)
-            turned, v = _matrix(asks["turned"]), _matrix(asks["v"])
+            v = _matrix(asks["v"])
+            turned = np.hstack([v, np.zeros((len(v), 1))]) @ turn
             for q, t, own, far in zip(asks["query"].to_pylist(), turned, v, asks["far"].to_pylist()):
                 at, _ = adaptive_scan(columns, t, k + 1, math.inf if far is None else far)
                 at = at[ids[at] != q]
@@ -184,7 +227,7 @@ def _scan(k: int):
     return run
 
 
-def _meet(rows: DataFrame, asks: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+def _meet(rows: DataFrame, asks: DataFrame, sizes: DataFrame, k: int, turn: np.ndarray) -> DataFrame:
     """Blocks of a list meet blocks of its queries; both sides of a group are bounded."""
     ask_sizes = asks.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("ask_blocks"))
     counts = F.broadcast(sizes.join(ask_sizes, "list"))          # a row for each list: at most MAX_LISTS
@@ -193,13 +236,14 @@ def _meet(rows: DataFrame, asks: DataFrame, sizes: DataFrame, k: int) -> DataFra
     right = (asks.join(counts, "list").withColumn("c", F.pmod(F.xxhash64("query"), F.col("ask_blocks")).cast("int"))
              .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     return (left.select("list", "b", "c", "id", "v", "turned").groupBy("list", "b", "c")
-            .cogroup(right.select("list", "b", "c", "query", "v", "turned", "far").groupBy("list", "b", "c"))
-            .applyInArrow(_scan(k), "query long, vec_id long, score double"))
+            .cogroup(right.select("list", "b", "c", "query", "v", "far").groupBy("list", "b", "c"))
+            .applyInArrow(_scan(k, turn), "query long, vec_id long, score double"))
 
 
-def nearest(table: DataFrame, queries: Column, k: int = 20, probe: float = PROBE, id_col: str = "vec_id",
-            vec_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score for the rows that the condition ``queries`` (on the id) selects."""
+def nearest(table: DataFrame, queries: Column, k: int = 20, probe: float | None = None, id_col: str = "vec_id",
+            vec_col: str = "embedding", target: float = TARGET) -> DataFrame:
+    """query_id, rank, vec_id, score for the rows that the condition ``queries`` (on the id) selects. Each query probes
+    the lists that ``target`` asks for, or the share ``probe`` of them."""
     ship_package(table.sparkSession)
     vectors = valid_vectors(table, id_col, vec_col)
     index = Index(vectors)
@@ -207,24 +251,30 @@ def nearest(table: DataFrame, queries: Column, k: int = 20, probe: float = PROBE
         return vectors.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"),
                               F.lit(0.0).alias("score")).where("false")
     rows = cut(index.assigned(vectors))
+    least = index.lists_for(rows, k, target) if probe is None else math.ceil(probe * len(index.centres))
     sizes = rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"),
-                                     F.count(F.lit(1)).alias("n"))
+                                     F.count(F.lit(1)).alias("n"), F.max("off").alias("radius"))
     sizes = cut(sizes)
-    held = {r["list"]: r["n"] for r in sizes.collect()}           # at most MAX_LISTS rows
-    sizes = sizes.drop("n")
+    known = sizes.collect()                                       # at most MAX_LISTS rows
+    sizes = sizes.drop("n", "radius")
     asks = cut(index.probes(vectors.withColumnRenamed("id", id_col).where(queries).withColumnRenamed(id_col, "id"),
-                            held, k, probe))
+                            {r["list"]: r["n"] for r in known}, {r["list"]: r["radius"] for r in known}, k, least))
     rank = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-
-    def best(found):
-        return found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
-
-    start = asks.where("nearness = 0").withColumn("far", F.lit(None).cast("double"))
-    first = cut(best(_meet(rows, start, sizes, k)))
-    # |q - x|^2 = |q|^2 + M^2 - 2 q.x: the k-th score so far is the distance to beat
-    kth = first.where(F.col("rank") == k).select("query", F.col("score").alias("kth"))
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    others = (asks.where("nearness > 0").join(kth, "query", "left")
-              .withColumn("far", square + F.lit(index.top ** 2) - 2 * F.col("kth")))
-    found = first.drop("rank").union(_meet(rows, others, sizes, k))
-    return best(found).select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    found = None
+    for turn in range(3):
+        ask = asks.where(F.col("round") == turn)
+        if found is None:
+            ask = ask.withColumn("far", F.lit(None).cast("double"))
+        else:
+            # |q - x|^2 = |q|^2 + M^2 - 2 q.x: the k-th score so far is the distance to beat
+            kth = found.where(F.col("rank") == k).select("query", F.col("score").alias("kth"))
+            far = square + F.lit(index.top ** 2) - 2 * F.col("kth")
+            ask = (ask.join(kth, "query", "left").withColumn("far", far)
+                   .where(F.col("far").isNull() | (F.col("gap") * F.col("gap") <= F.col("far") * (1 + 1e-9) + 1e-9)))
+        met = _meet(rows, ask, sizes, k, index.turn)
+        met = met if found is None else found.drop("rank").union(met)
+        found = met.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select(
+            "query", "vec_id", "score", "rank")
+        found = cut(found) if turn < 2 else found
+    return found.select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -306,6 +306,39 @@ def test_ann_probing_part_of_the_lists_keeps_recall(spark):
     assert hit >= 0.9 * 10 * len(got)
 
 
+def test_ann_probes_few_lists_of_clustered_vectors(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((40, 16)) * 4
+    x = np.repeat(centres, 200, axis=0) + rng.standard_normal((8000, 16)) * 0.2
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    e = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    vectors = ann.valid_vectors(e)
+    index = ann.Index(vectors)
+    rows = index.assigned(vectors).cache()
+    few, all_of_them = index.lists_for(rows, 10), index.lists_for(rows, 10, target=1.0)
+    radius = {r["list"]: r["r"] for r in rows.groupBy("list").agg(F.max("off").alias("r")).collect()}
+    sizes = {r["list"]: r["count"] for r in rows.groupBy("list").count().collect()}
+    assert few <= all_of_them and few <= len(index.centres) / 4
+    # no row of a list is nearer than its gap
+    for p in index.probes(vectors.where("id < 8000 AND id % 1000 = 0"), sizes, radius, 10, len(index.centres)).collect():
+        q = np.array(p["v"])
+        for r in rows.where(F.col("list") == p["list"]).limit(5).collect():
+            d2 = q @ q + index.top ** 2 - 2 * (q @ np.array(r["v"]))
+            assert math.sqrt(max(d2, 0)) >= p["gap"] - 1e-6
+        if p["nearness"] > 3:
+            break
+    rows.unpersist()
+    got = defaultdict(set)
+    for r in ann.nearest(e, F.col("vec_id") % 100 == 0, k=10).collect():
+        got[r.query_id].add(r.vec_id)
+    hit = 0
+    for q, found in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(set(np.argsort(-s)[:10].tolist()) & found)
+    assert len(got) == 80 and hit >= 0.95 * 10 * len(got)
+
+
 def test_ann_odd(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], "x"), (20, [1.0, 0.0], "x"), (20, [1.0, 0.0], "x"), (3, [0.0, 1.0], None), (4, None, "x"),
