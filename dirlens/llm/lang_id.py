@@ -11,10 +11,14 @@ likelihood is removed and the mixture is refitted, down to one language, and the
 log-likelihood minus ``PENALTY`` log(words) for each language wins. The prediction is the language
 with the largest proportion, and the score is that proportion.
 
+*Rejection* (``known``): all likelihoods are measured against a model that knows no language, under which every
+trigram is equally likely. A text is of none of the learned languages when that model beats the best mixture clearly:
+by more than a factor of e for each letter, and of e to the ``CLEAR`` in all. With few rows to learn from nothing is clear.
+
 Defined results: a null text or one without a letter is ``und`` with score 0 and no languages; so
 is every text when nothing could be learned. Ties go to the alphabetically first language. Rows
 repeat as given; lang, source and id are never read for a prediction. Very long texts are read whole,
-piece by piece. An empty table gives no rows.
+piece by piece. An empty table gives no rows. Other columns, whatever their names, stay as they came.
 """
 
 from __future__ import annotations
@@ -36,14 +40,15 @@ SAMPLE = 4000            # expected labelled rows a language
 PENALTY = 2.0
 STEPS = 12
 CHUNK = 400_000          # characters handled at a time
+CLEAR = 30.0             # nats by which the model without a language must win to reject a text
 
-SCHEMA = "lang_pred string, score double, langs array<string>, shares array<double>"
+SCHEMA = "lang_pred string, score double, langs array<string>, shares array<double>, known boolean"
 
 
 @dataclass(frozen=True)
 class Model:
     langs: tuple[str, ...]
-    logp: np.ndarray         # CELLS x languages
+    logp: np.ndarray         # CELLS x languages: log-likelihood over that of equally likely cells
 
 
 @lru_cache(maxsize=1)
@@ -108,18 +113,19 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
            .groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow())
     table = np.zeros((CELLS, len(langs)))
     table[got["cell"].to_numpy(), got["lang"].to_numpy()] = got["n"].to_numpy()
-    return Model(langs, np.log((table + SMOOTH) / (table.sum(0) + SMOOTH * CELLS)).astype(np.float32))
+    return Model(langs, np.log((table + SMOOTH) * CELLS / (table.sum(0) + SMOOTH * CELLS)).astype(np.float32))
 
 
-def _word_scores(text: str, logp: np.ndarray) -> np.ndarray:
-    """Log-likelihood of each word under each language."""
-    out = []
+def _word_scores(text: str, logp: np.ndarray) -> tuple[np.ndarray, int]:
+    """Log-likelihood of each word under each language, and the number of letters."""
+    out, letters = [], 0
     for piece in _pieces(text):
         at, cells = _trigrams(_codes(piece))
         if len(at):
             first = np.flatnonzero(np.diff(at, prepend=at[0] - 2) > 1)
             out.append(np.add.reduceat(logp[cells], first, axis=0))
-    return np.concatenate(out) if out else np.empty((0, logp.shape[1]), np.float32)
+            letters += len(at)
+    return np.concatenate(out) if out else np.empty((0, logp.shape[1]), np.float32), letters
 
 
 def _fit(like: np.ndarray, start: np.ndarray, share: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,22 +150,23 @@ def _without(like: np.ndarray, start: np.ndarray, share: np.ndarray) -> np.ndarr
     return np.where(share > 0, ll - length[:, None] * np.log(np.maximum(share @ rest, 1e-100)), -np.inf)
 
 
-def mixtures(texts: list[str | None], model: Model, penalty: float = PENALTY) -> list[np.ndarray | None]:
-    """Each text's language proportions (None: no letter)."""
-    out: list[np.ndarray | None] = [None] * len(texts)
+def inferred(texts: list[str | None], model: Model, penalty: float = PENALTY) -> list[tuple[np.ndarray, bool] | None]:
+    """Each text's language proportions, and whether it is of the learned languages (None: no letter)."""
+    out: list[tuple[np.ndarray, bool] | None] = [None] * len(texts)
     if not model.langs:
         return out
     scores = [_word_scores(t, model.logp) if t else None for t in texts]
-    which = [i for i, s in enumerate(scores) if s is not None and len(s)]
+    which = [i for i, s in enumerate(scores) if s is not None and s[1]]
     if not which:
         return out
-    length = np.array([len(scores[i]) for i in which])
+    length = np.array([len(scores[i][0]) for i in which])
     start = np.append(0, np.cumsum(length)[:-1])
-    like = np.concatenate([scores[i] for i in which]).astype(np.float64)
-    like = np.exp(np.maximum(like - like.max(1, keepdims=True), -300))
+    like = np.concatenate([scores[i][0] for i in which]).astype(np.float64)
+    top = like.max(1, keepdims=True)
+    like = np.exp(np.maximum(like - top, -300))
     k = like.shape[1]
     share, ll = _fit(like, start, np.full((len(which), k), 1.0 / k), STEPS)
-    best, value = share.copy(), ll - penalty * (share > 0).sum(1) * np.log1p(length)
+    best, value, gain = share.copy(), ll - penalty * (share > 0).sum(1) * np.log1p(length), ll.copy()
     live = np.arange(len(which))
     while len(live):
         many = (share > 0).sum(1) > 1
@@ -174,12 +181,18 @@ def mixtures(texts: list[str | None], model: Model, penalty: float = PENALTY) ->
         share, ll = _fit(some, first, share, STEPS // 2)
         now = ll - penalty * (share > 0).sum(1) * np.log1p(length[live])
         better = now > value[live]
-        best[live[better]], value[live[better]] = share[better], now[better]
+        best[live[better]], value[live[better]], gain[live[better]] = share[better], now[better], ll[better]
+    gain += np.add.reduceat(top[:, 0], start)
     for j, i in enumerate(which):
-        out[i] = best[j]
+        out[i] = best[j], bool(gain[j] >= -max(CLEAR, scores[i][1]))
     return out
 
 
+def mixtures(texts: list[str | None], model: Model, penalty: float = PENALTY) -> list[np.ndarray | None]:
+    """Each text's language proportions (None: no letter)."""
+    return [x and x[0] for x in inferred(texts, model, penalty)]
+
+
 def _batches(texts: list[str | None]):
     """Slices of the list with about CHUNK characters in all."""
     at = size = 0
@@ -194,19 +207,22 @@ def _batches(texts: list[str | None]):
 
 def identify(text: Column, model: Model, penalty: float = PENALTY) -> Column:
     """A struct column (SCHEMA) for the text column: prediction, score, the selected languages by
-    falling proportion, and the proportions."""
+    falling proportion, the proportions, and whether the text is of the learned languages."""
     def run(column: pa.Array) -> pa.Array:
         rows = []
         for part in _batches(column.to_pylist()):
-            for share in mixtures(part, model, penalty):
-                if share is None:
-                    rows.append({"lang_pred": "und", "score": 0.0, "langs": [], "shares": []})
+            for found in inferred(part, model, penalty):
+                if found is None:
+                    rows.append({"lang_pred": "und", "score": 0.0, "langs": [], "shares": [], "known": False})
                     continue
+                share, known = found
                 order = [i for i in np.argsort(-share, kind="stable") if share[i] > 0]
                 rows.append({"lang_pred": model.langs[order[0]], "score": min(1.0, float(share[order[0]])),
-                             "langs": [model.langs[i] for i in order], "shares": [float(share[i]) for i in order]})
+                             "langs": [model.langs[i] for i in order], "shares": [float(share[i]) for i in order],
+                             "known": known})
         return pa.array(rows, pa.struct([("lang_pred", pa.string()), ("score", pa.float64()),
-                                         ("langs", pa.list_(pa.string())), ("shares", pa.list_(pa.float64()))]))
+                                         ("langs", pa.list_(pa.string())), ("shares", pa.list_(pa.float64())),
+                                         ("known", pa.bool_())]))
     run.__annotations__ = {"column": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, SCHEMA)(text)
 
@@ -230,10 +246,10 @@ def identify_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
-    """The rows whose language could be told (not ``und``), with the columns they came with. Where no row has a label to
-    learn from, nothing can be told apart and every text with a letter stays."""
+    """The rows with a text of the learned languages (``known``), with the columns they came with. Where no row has a
+    label to learn from, nothing can be told apart and every text with a letter stays."""
     model = learned(docs, id_col, text_col, lang_col)
     if not model.langs:
         return docs.where(F.col(text_col).rlike(r"\p{L}"))
     found = identify(F.col(text_col), model)
-    return own_columns(carried(docs, found.alias("found")).where("found.lang_pred != 'und'"))
+    return own_columns(carried(docs, found.alias("found")).where("found.known"))

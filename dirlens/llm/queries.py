@@ -120,7 +120,7 @@ def op9(spark, d):
 
 @q("op1_best_fit_packing")
 def op1(spark, d):
-    return packing.pack(table(spark, d, "documents"))
+    return packing.pack(table(spark, d, "documents"), length=token_counts.token_length(F.col("text")))
 
 
 @q("op5_token_histogram")

@@ -1,6 +1,7 @@
 """The numbered operators against brute force, round trips and odd inputs (nulls, empty and long
 texts, repeated rows, empty tables, clashing extra columns)."""
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -213,6 +214,60 @@ def test_small_language_of_a_very_long_text(spark):
         assert langs(main + " " + " ".join(text[small][:150])) == alone | {small}
 
 
+def brute_mixture(text, model, penalty=lang_id.PENALTY):
+    """Languages of the best of all non-empty sets, each fitted on its own by plain loops, and their shares."""
+    def cell(tri):
+        x = (ord(tri[0]) * 0x9E3779B1 + ord(tri[1]) * 0x85EBCA6B + ord(tri[2]) * 0xC2B2AE35) & 0xFFFFFFFF
+        x = ((x ^ x >> 15) * 0x2C1B3C6D) & 0xFFFFFFFF
+        return x >> 16
+    spaced = "".join(c if c.isalpha() else " " for c in text.lower())
+    scores = [[sum(float(model.logp[cell(f" {w} "[i:i + 3])][k]) for i in range(len(w))) for k in range(len(model.langs))]
+              for w in spaced.split()]
+    best = None
+    for r in range(1, len(model.langs) + 1):
+        for held in itertools.combinations(range(len(model.langs)), r):
+            share = dict.fromkeys(held, 1 / r)
+            for _ in range(60):
+                new = dict.fromkeys(held, 0.0)
+                for s in scores:
+                    part = {k: share[k] * math.exp(s[k] - max(s)) for k in held}
+                    whole = sum(part.values()) or 1e-300
+                    for k in held:
+                        new[k] += part[k] / whole / len(scores)
+                share = new
+            value = sum(math.log(sum(share[k] * math.exp(s[k] - max(s)) for k in held) or 1e-300) for s in scores)
+            value -= penalty * r * math.log1p(len(scores))
+            if best is None or value > best[0]:
+                best = (value, share)
+    return {model.langs[k]: v for k, v in best[1].items()}
+
+
+def test_language_sets_against_all_sets(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = lang_id.learned(docs)
+    rows = docs.where("lang IS NOT NULL AND length(text) > 200").orderBy("doc_id").limit(24).collect()
+    texts = [" ".join(r.text.split()[:25]) for r in rows]
+    texts += [" ".join(a.split()[:14] + b.split()[:9]) for a, b in zip(texts, texts[1:])]      # two languages, often
+    got = [{model.langs[k]: v for k, v in enumerate(x) if v > 0} for x in lang_id.mixtures(texts, model)]
+    want = [brute_mixture(t, model) for t in texts]
+    assert all(max(a, key=a.get) == max(b, key=b.get) for a, b in zip(got, want))
+    same = [set(a) == set(b) for a, b in zip(got, want)]
+    assert sum(same) >= 0.95 * len(same) and any(len(b) > 1 for b in want)
+    assert all(abs(a[k] - b[k]) < 0.05 for a, b, ok in zip(got, want, same) if ok for k in b)
+
+
+def test_texts_of_no_learned_language_are_rejected(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    strange = ["\u043f\u0440\u0438\u0432\u0435\u0442 \u043a\u0430\u043a \u0434\u0435\u043b\u0430 \u043c\u043e\u0439 \u0434\u0440\u0443\u0433",
+               "\u4eca\u5929\u5929\u6c14\u5f88\u597d" * 9, "xqzvk jwqpx zzkqv wqxjz vvkqj", "zqx" * 50_000]
+    clean = ["This is a clean short sentence of words.", "Hello", "Das Haus ist gross und sch\u00f6n."]
+    more = frame(spark, [(10_000_000 + i, t, None, "a", 0) for i, t in enumerate(clean)]
+                 + [(20_000_000 + i, t, None, "a", 0) for i, t in enumerate(strange)])
+    every = docs.select(*more.columns).unionByName(more)
+    kept = {r.doc_id for r in lang_id.keep_identified(every).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.where("text rlike '\\\\p{L}'").collect()} | {10_000_000 + i for i in range(len(clean))}
+
+
 def test_em_reaches_the_known_proportions():
     rng = np.random.default_rng(1)
     like = np.where(rng.random((2000, 1)) < 0.7, [[1.0, 1e-6, 1e-6]], [[1e-6, 1.0, 1e-6]])
@@ -411,6 +466,93 @@ def test_mix_carries_the_room_on_to_later_buckets(spark, monkeypatch):
         assert sum(p < 0.5 for p in spots) > 0 and len(set(spots)) > len(spots) // 2
 
 
+def brute_mix(rows, bucket, cycle, epochs=3):
+    """Copies of each (doc_id, text, source): the stated rule by plain loops."""
+    size = {i: len(words(t)) for i, t, _ in rows}
+    by = defaultdict(list)
+    for i, t, s in rows:
+        h = int(hashlib.md5(f"{i}:{size[i]}:{hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest()[:8], 16)
+        by[s].append((h, i))
+    names = sorted(by)
+    weight = {s: cycle[k % len(cycle)] for k, s in enumerate(names)}
+    total = {s: sum(size[i] for _, i in by[s]) for s in names}
+    target, left, open_ = {}, sum(total.values()), set(names)
+    while open_:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        full = {s for s in open_ if share[s] >= epochs * total[s]}
+        if not full:
+            target.update(share)
+            break
+        for s in full:
+            target[s] = epochs * total[s]
+            left -= target[s]
+        open_ -= full
+    copies = {}
+
+    def fill(order, room):
+        out = set()
+        for i in order:
+            if size[i] <= room:
+                out.add(i)
+                room -= size[i]
+        return out
+
+    def buckets(members, n):
+        held = defaultdict(list)
+        for h, i in sorted(members):
+            held[h * n >> 32].append((h, i))
+        return [held[k] for k in sorted(held)]
+
+    for s in names:
+        goal = math.floor(target[s] + 0.5)
+        whole, part = divmod(goal, total[s]) if total[s] else (0, 0)
+        n, took, before = -(-len(by[s]) // bucket), set(), 0
+        for b in buckets(by[s], n):
+            here = sum(size[i] for _, i in b)
+            if before + here <= part:
+                took |= {i for _, i in b}
+            elif before < part:
+                room, within, order = part - before, 0, []
+                for h, i in b:
+                    late = 4 * (within + size[i]) > 3 * room
+                    order.append((late, -size[i] if late else 0, h, i))
+                    within += size[i]
+                took |= fill([x[-1] for x in sorted(order)], room)
+            before += here
+        rest = [(h, i) for h, i in by[s] if i not in took and size[i]]
+        while True:
+            room = part - sum(size[i] for i in took)
+            rest = [(h, i) for h, i in rest if i not in took and size[i] <= room]
+            if not rest:
+                break
+            before = 0
+            for b in buckets(rest, n):
+                here = sum(size[i] for _, i in b)
+                if before + here <= room:
+                    took |= {i for _, i in b}
+                elif before < room:
+                    took |= fill([i for _, _, i in sorted((-size[i], h, i) for h, i in b)], room - before)
+                before += here
+        copies.update({i: whole + (i in took) for _, i in by[s]})
+    return copies
+
+
+def test_mix_of_many_buckets_against_brute_force(spark, monkeypatch):
+    rng = random.Random(11)
+    carried = 0
+    for bucket, trial in ((4, 0), (9, 1), (25, 2)):
+        monkeypatch.setattr(mixing, "BUCKET", bucket)
+        rows = [(i, "w " * rng.choice((0, 1, 3, 8, 20, rng.randint(100, 900))), rng.choice("aaabc")) for i in range(160)]
+        cycle = ((1, 2, 3), (5, 1, 2), (2, 3, 1))[trial]
+        want = brute_mix(rows, bucket, cycle)
+        docs = frame(spark, [(i, t, "en", s, 0) for i, t, s in rows])
+        assert {r.doc_id: r.copies for r in mixing.mix(docs, cycle=cycle).collect()} == want
+        with monkeypatch.context() as m:          # without the carry something is left: the rule acts here
+            m.setattr(mixing, "_carry", lambda first, plan: first.withColumn("last", F.col("offset")))
+            carried += {r.doc_id: r.copies for r in mixing.mix(docs, cycle=cycle).collect()} != want
+    assert carried
+
+
 # ------------------------------------------------------------------ packing
 def test_best_fit_finds_the_tightest_compatible_bin():
     rng = random.Random(5)
@@ -453,6 +595,21 @@ def test_pack_keeps_everything_and_no_conflicts(spark, odd, none):
     assert packing.pack(none).count() == 0
 
 
+def test_pack_by_tokens(spark, odd):
+    encode = token_counts.encoder().encode_ordinary
+    docs = odd.unionByName(frame(spark, [(50, "\u4eca\u5929\u5929\u6c14\u5f88\u597d" * 200, "zh", "b", 0)]), allowMissingColumns=True)
+    got = packing.pack(docs, capacity=512, length=token_counts.token_length(F.col("text"))).collect()
+    size, fill = Counter(), Counter()
+    for r in got:
+        size[r.doc_id] += r.length
+        if r.bin_id is not None:
+            fill[r.bin_id] += r.length
+    want = Counter()
+    for r in docs.collect():
+        want[r.doc_id] += len(encode(r.text or ""))
+    assert size == want and max(fill.values()) <= 512 and size[50] > 1024
+
+
 # ------------------------------------------------------------------ toxicity
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.01"
