@@ -132,6 +132,12 @@ DEFAULT_TARGETS = {
 # ---------------------------------------------------------------------------
 
 
+def _lookup(names: list, aliases: dict) -> dict:
+    out = {a.lower(): name for a, name in reversed(aliases.items())}
+    out.update({n.lower(): n for n in reversed(names)})
+    return out
+
+
 @dataclass
 class Dictionary:
     countries: dict = field(default_factory=lambda: dict(DEFAULT_COUNTRIES))
@@ -142,6 +148,14 @@ class Dictionary:
     tiers: list = field(default_factory=lambda: list(DEFAULT_TIERS))
     badges: list = field(default_factory=lambda: list(DEFAULT_BADGES))
 
+    def industry_lookup(self) -> dict:
+        """lower(taxonomy name or alias) -> taxonomy name; the taxonomy's own names win."""
+        return _lookup(self.industry_taxonomy, self.industry_aliases)
+
+    def module_lookup(self) -> dict:
+        """lower(core module or alias) -> core module; the core modules' own names win."""
+        return _lookup(self.core_modules, self.module_aliases)
+
     def country_lookup(self) -> dict:
         """lower(name) and lower(full_name) -> code; first code wins on clashes."""
         out: dict = {}
@@ -161,6 +175,8 @@ class QualityRules:
     url_pattern: str = DEFAULT_PATTERNS["url"]
     short_description: int = 50
     description_full: float = 200.0
+    #: Mandatory fields of every entity that the rules declare.
+    entities: dict = field(default_factory=lambda: {k: list(v) for k, v in DEFAULT_MANDATORY.items()})
 
 
 @dataclass
@@ -201,7 +217,8 @@ def load_dictionary(path: str) -> tuple[Dictionary, QualityRules]:
     d.module_aliases = mod.get("module_aliases", d.module_aliases)
     q = QualityRules()
     rules = raw.get("data_quality_rules", {})
-    q.mandatory = rules.get("mandatory_fields", {}).get("providers", q.mandatory)
+    q.entities = {**q.entities, **rules.get("mandatory_fields", {})}
+    q.mandatory = list(q.entities["providers"])
     pats = rules.get("validation_patterns", {})
     q.country_pattern = pats.get("country_code", q.country_pattern)
     q.url_pattern = pats.get("url", q.url_pattern)

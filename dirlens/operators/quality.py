@@ -7,6 +7,8 @@ report is a single partial+final aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,6 +160,32 @@ def check_mandatory(df: DataFrame, fields: list[str]) -> Column:
     return F.when(ok, F.lit(1)).otherwise(F.lit(0))
 
 
+def check_entity(df: DataFrame, entity: str, rules: QualityRules | None = None) -> Column:
+    """Q6: ``check_mandatory`` with the fields that the rules declare for ``entity``."""
+    declared = (rules or QualityRules()).entities
+    if entity not in declared:
+        raise ValueError(f"no rules for {entity!r}; known: {', '.join(sorted(declared))}")
+    return check_mandatory(df, declared[entity])
+
+
+def mandatory_report(tables: Mapping[str, DataFrame], rules: QualityRules | None = None) -> DataFrame:
+    """Q6 over several entities: a row for each declared field (entity, field, n_rows, n_missing), and one with a null
+    field for the rows that lack any. A column that a table does not have is missing in every row. One partial and
+    final aggregation a table; an entity without rows counts 0."""
+    r, out = rules or QualityRules(), None
+    for entity, df in tables.items():
+        fields = r.entities[entity] if entity in r.entities else []
+        lacks = [(None, check_entity(df, entity, r))] + [(f, check_mandatory(df, [f])) for f in fields]
+        counts = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                        *[F.coalesce(F.sum(1 - ok), F.lit(0)).cast("long").alias(f"m{i}") for i, (_, ok) in enumerate(lacks)])
+        cells = F.array(*[F.struct(F.lit(f).cast("string").alias("field"), F.col(f"m{i}").alias("n_missing"))
+                          for i, (f, _) in enumerate(lacks)])
+        rows = counts.select(F.lit(entity).alias("entity"), "n_rows", F.explode(cells).alias("x")).select(
+            "entity", "x.field", "n_rows", "x.n_missing")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _avg_2dp(c: str) -> Column:
     # Scores are multiples of 0.01: average their integer hundredths exactly.
     return F.sum(F.round(F.col(c) * 100).cast("bigint")).cast("double") / (F.count(c).cast("double") * 100.0)

@@ -162,6 +162,22 @@ def partner_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.struct(F.col("o_orderkey").alias("p"), F.coalesce("page", F.lit(0)).alias("k0")).alias("seq")))
 
 
+def entity_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three entities that quality rules are declared for: clients are customers, with their market segment
+    as industry (its standard name, or none), and references are the lines of their orders."""
+    from ..sources import io
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("client_id"), F.col("c_name").alias("client_name"),
+        F.col("c_nationkey").cast("string").alias("provider_id"), F.col("c_mktsegment").alias("industry"))
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    references = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left").select(
+        F.col("o_custkey").cast("string").alias("client_id"),
+        F.when(F.col("l_returnflag") == "R", F.lit("")).otherwise(F.col("o_orderpriority")).alias("description"))
+    return {"providers": provider_view(spark, sf_dir),
+            "clients": io.normalize_term_join(customer, "industry", io.dictionary_frames(spark)["industry_keys"]),
+            "references": references}
+
+
 SITE = "https://directory.example.com"
 
 

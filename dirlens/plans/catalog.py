@@ -25,7 +25,7 @@ from ..operators import textml as M
 from ..operators.clean_records import clean_providers
 from ..session import cut
 from . import pipelines as X
-from .bindings import SITE, directory_pages, partner_directory, partner_pages, provider_view, table
+from .bindings import SITE, directory_pages, entity_tables, partner_directory, partner_pages, provider_view, table
 
 REG: dict = {}
 
@@ -411,6 +411,16 @@ def q06(spark, d):
     return cl.select("provider_id", Q.check_mandatory(cl, ["name", "location", "website"]).alias("ok"))
 
 
+@q("q06_mandatory_by_entity")
+def q06e(spark, d):
+    return Q.mandatory_report(entity_tables(spark, d))
+
+
+@q("s06_industry_terms")
+def s06(spark, d):
+    return entity_tables(spark, d)["clients"].groupBy("industry").agg(F.count(F.lit(1)).alias("n_clients"))
+
+
 @q("q07_constraints")
 def q07(spark, d):
     o = table(spark, d, "orders")

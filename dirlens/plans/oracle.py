@@ -451,6 +451,27 @@ UNION ALL SELECT 'Highest Price Gig', mx FROM one"""
     S["q06_check_mandatory"] = W + """
 SELECT provider_id, CASE WHEN coalesce(name IS NOT NULL AND name <> '' AND location IS NOT NULL AND location <> ''
   AND website IS NOT NULL AND website <> '', false) THEN 1 ELSE 0 END AS ok FROM cl"""
+    clients = """
+clients AS (SELECT CAST(c_custkey AS VARCHAR) AS client_id, c_name AS client_name, CAST(c_nationkey AS VARCHAR) AS provider_id,
+  CASE lower(c_mktsegment) WHEN 'building' THEN 'Construction' WHEN 'tech' THEN 'IT & Technology'
+    WHEN 'software' THEN 'IT & Technology' WHEN 'farming' THEN 'Agriculture' WHEN 'shop' THEN 'Retail' END AS industry
+  FROM customer)"""
+    S["q06_mandatory_by_entity"] = f"""
+WITH providers AS (SELECT CASE WHEN s_acctbal < 0 THEN '' ELSE s_name END AS name, n_name AS country,
+    CASE WHEN s_acctbal < 500 THEN '' ELSE 'url' END AS source_url
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey), {clients},
+refs AS (SELECT CAST(o_custkey AS VARCHAR) AS client_id, CASE WHEN l_returnflag = 'R' THEN '' ELSE o_orderpriority END AS description
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
+lacks AS (
+  SELECT 'providers' AS entity, [('name', coalesce(name, '') = ''), ('country', coalesce(country, '') = ''),
+    ('source_url', coalesce(source_url, '') = '')] AS f FROM providers
+  UNION ALL SELECT 'clients', [('client_name', coalesce(client_name, '') = ''), ('provider_id', coalesce(provider_id, '') = ''),
+    ('industry', coalesce(industry, '') = '')] FROM clients
+  UNION ALL SELECT 'references', [('client_id', coalesce(client_id, '') = ''), ('description', coalesce(description, '') = '')] FROM refs),
+cells AS (SELECT entity, unnest(f) AS x, 1 AS one FROM lacks)
+SELECT entity, x[1] AS field, count(*) AS n_rows, count_if(x[2]) AS n_missing FROM cells GROUP BY 1, 2
+UNION ALL SELECT entity, NULL, count(*), count_if(len(list_filter(f, lambda x: x[2])) > 0) FROM lacks GROUP BY 1"""
+    S["s06_industry_terms"] = f"WITH {clients} SELECT industry, count(*) AS n_clients FROM clients GROUP BY industry"
     S["q07_constraints"] = """
 SELECT 'null_l_orderkey' AS "check", count_if(l_orderkey IS NULL) AS violations FROM lineitem
 UNION ALL SELECT 'null_l_returnflag', count_if(l_returnflag IS NULL) FROM lineitem

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Dictionary
+from ..functions.clean import strip_ws
 from ..schemas import ENVELOPE_METADATA
 from ..session import ship_package
 
@@ -119,7 +120,21 @@ def dictionary_frames(spark: SparkSession, d: Dictionary | None = None) -> dict[
         [(code, i.get("name"), i.get("full_name"), i.get("region")) for code, i in d.countries.items()],
         "code string, name string, full_name string, region string")
     keys = spark.createDataFrame([(k, v) for k, v in d.country_lookup().items()], "key string, code string")
-    return {"countries": countries, "country_keys": keys}
+    terms = {kind: (spark.createDataFrame([(n,) for n in names], "name string"),
+                    spark.createDataFrame(list(lookup.items()), "key string, name string"))
+             for kind, names, lookup in (("industry", d.industry_taxonomy, d.industry_lookup()),
+                                         ("module", d.core_modules, d.module_lookup()))}
+    return {"countries": countries, "country_keys": keys,
+            "industries": terms["industry"][0], "industry_keys": terms["industry"][1],
+            "modules": terms["module"][0], "module_keys": terms["module"][1]}
+
+
+def normalize_term_join(df: DataFrame, col: str, keys: DataFrame) -> DataFrame:
+    """Industry or module names by a lookup table (key, name): the standard name of a known term, whatever its case
+    and outer blanks, and NULL for any other. The table is broadcast only when AQE measures it small."""
+    k = keys.select(F.col("key").alias("__key"), F.col("name").alias("__name"))
+    joined = df.join(k, F.lower(strip_ws(F.col(col))) == F.col("__key"), "left")
+    return joined.withColumn(col, F.col("__name")).drop("__key", "__name")
 
 
 def normalize_country_join(df: DataFrame, col: str, keys: DataFrame) -> DataFrame:

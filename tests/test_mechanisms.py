@@ -231,3 +231,30 @@ def test_missing_paths_and_dictionary(spark, tmp_path):
     assert {r.key: r.code for r in frames["country_keys"].collect()}["peru"] == "PE"
     assert d.industry_aliases == {"shops": "Retail"} and d.module_aliases == {"crm": "CRM"}
     assert rules.mandatory == ["name"] and rules.weights == {"name": 1.0}
+    assert rules.entities["providers"] == ["name"] and rules.entities["references"] == ["client_id", "description"]
+    assert {r.key: r.name for r in frames["module_keys"].collect()}["crm"] == "CRM"
+    assert {r.key: r.name for r in frames["industry_keys"].collect()}["shops"] == "Retail"
+    assert "Retail" in {r.name for r in frames["industries"].collect()}
+
+
+def test_terms_by_lookup_and_rules_of_every_entity(spark):
+    import pytest
+
+    from dirlens.config import QualityRules
+    from dirlens.operators.quality import check_entity, mandatory_report
+    keys = io.dictionary_frames(spark)["industry_keys"]
+    rows = [(1, " building\n"), (2, "IT & technology"), (3, "Mining"), (4, ""), (5, None), (6, "RETAIL"), (7, "shop")]
+    got = dict(io.normalize_term_join(spark.createDataFrame(rows, "id int, name string"), "name", keys).collect())
+    assert got == {1: "Construction", 2: "IT & Technology", 3: None, 4: None, 5: None, 6: "Retail", 7: "Retail"}
+
+    clients = spark.createDataFrame([("x", "1", "Retail"), ("", "1", None), (None, None, "Retail")], "client_name string, provider_id string, industry string")
+    assert [r.ok for r in clients.select(check_entity(clients, "clients").alias("ok")).collect()] == [1, 0, 0]
+    bare = clients.drop("industry").limit(1)
+    found = {(r.entity, r.field): (r.n_rows, r.n_missing)
+             for r in mandatory_report({"clients": clients, "references": clients.limit(0)}).collect()}
+    assert found == {("clients", None): (3, 2), ("clients", "client_name"): (3, 2), ("clients", "provider_id"): (3, 1),
+                     ("clients", "industry"): (3, 1), ("references", None): (0, 0), ("references", "client_id"): (0, 0),
+                     ("references", "description"): (0, 0)}
+    assert {r.n_missing for r in mandatory_report({"clients": bare}).where("field = 'industry'").collect()} == {1}
+    with pytest.raises(ValueError, match="no rules for 'shops'"):
+        check_entity(clients, "shops", QualityRules())
