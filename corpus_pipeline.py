@@ -10,14 +10,15 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dirlens.llm import exact_dedup, lang_id, mixing, near_dup, packing
+from dirlens.llm import exact_dedup, lang_id, mixing, near_dup, packing, token_counts
 from dirlens.llm.common import written
 from dirlens.session import ship_package
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents in one of the languages that the labels teach."""
     ship_package(spark)
     return lang_id.keep_identified(docs)
 
@@ -38,9 +39,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all pieces in sequences."""
+    """Places of all pieces in sequences of token ids. Near copies are gone, so equal texts are the only clusters."""
     ship_package(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, length=token_counts.token_length(F.col("text")))
 
 
 STAGES = [("language_id", identify), ("exact_dedup", dedup_exact), ("minhash_near_dedup", dedup_near),
