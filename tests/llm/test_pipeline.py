@@ -5,8 +5,9 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline as P
+from dirlens.llm import token_counts
 from dirlens.llm.common import table
-from test_operators import brute_components, words
+from test_operators import brute_components
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -50,7 +51,8 @@ def test_stages_against_brute_force(spark):
     size = Counter()
     for r in packed:
         size[r.doc_id] += r.length
-    assert all(size[i] == n * len(words(text[i].text)) for i, n in copies.items())
+    encode = token_counts.encoder().encode_ordinary
+    assert all(size[i] == n * len(encode(text[i].text)) for i, n in copies.items())
 
 
 def test_stages_on_odd_and_empty_tables(spark):
