@@ -127,3 +127,28 @@ def test_dense_index(spark):
     vals = sorted((r.v for r in df.collect()), reverse=True)
     assert [i for _, i in got] == list(range(len(vals)))
     assert [v for v, _ in got] == vals
+
+
+def test_a_set_moves_for_blocks_not_for_shared_bigrams(spark, monkeypatch):
+    def counting(t, cross):
+        def rows_met(table):
+            import numpy as np
+            import pyarrow as pa
+            at = table.column("at").to_numpy()
+            return pa.table({"src": at, "dst": at, "sim": np.random.default_rng().random(len(at))})
+        return rows_met
+    monkeypatch.setattr(dedup, "_compared", counting)
+    rnd = random.Random(4)
+    names = ["".join(rnd.choice("abcdefgh") for _ in range(80)) for _ in range(60)]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "seq long, name string")
+    assert similar_pairs(df, "name", "seq", 0.85).count() <= 2 * len(names)
+
+
+def test_blocks_of_many_sizes_against_loop(spark, monkeypatch):
+    # one size with more sets than a block holds, and sizes that are far apart
+    monkeypatch.setattr(dedup, "MEMBERS", 5)
+    monkeypatch.setattr(dedup, "TASK_ROWS", 8)
+    monkeypatch.setattr(dedup, "LAST_BLOCK", 40)
+    rnd = random.Random(9)
+    names = ["".join(rnd.choice("abc") for _ in range(rnd.choice((2, 5, 5, 5, 5, 9, 30)))) for _ in range(150)]
+    assert run(spark, names, 0.7, first_block=20) == sequential(names, 0.7)
