@@ -33,7 +33,8 @@ def flatten_references(df: DataFrame, rules: KeywordRules | None = None,
     desc = F.coalesce(ref["description"], F.lit(""))
 
     def d(c: str, default: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(default))
+        # a column without nulls stays itself, so that rows dealt out by it still count as such
+        return F.coalesce(F.col(c), F.lit(default)) if df.schema[c].nullable else F.col(c)
 
     return exploded.select(
         d("company_name", "Unknown").alias("Partner Name"),

@@ -88,8 +88,8 @@ def _line_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(p.select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
 
 
-def _partner_columns(tier_col: str = "o_orderpriority") -> list:
-    tier = F.coalesce(*[F.when(F.col(tier_col) == k, F.lit(v)) for k, v in PARTNER_TIER.items()],
+def _partner_columns(partner_id=None) -> list:
+    tier = F.coalesce(*[F.when(F.col("o_orderpriority") == k, F.lit(v)) for k, v in PARTNER_TIER.items()],
                       F.lit("Bronze"))
     certs = F.map_from_arrays(F.array(F.lit("v18"), F.lit("v17")),
                               F.array(F.col("o_orderstatus"), F.col("c_mktsegment")))
@@ -101,7 +101,7 @@ def _partner_columns(tier_col: str = "o_orderpriority") -> list:
             F.concat(F.lit("https://partner-"), F.col("o_custkey").cast("string"),
                      F.lit(".example.com")).alias("website"),
             F.col("c_mktsegment").alias("city"),
-            F.col("o_orderkey").cast("string").alias("partner_id"),
+            (F.col("o_orderkey").cast("string") if partner_id is None else partner_id).alias("partner_id"),
             F.format_string("%d users", F.col("o_custkey")).alias("average_project_size"),
             F.col("o_orderpriority").alias("large_project_size"),
             experts.alias("certified_experts"),
@@ -144,21 +144,25 @@ def partner_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     recurs within a partner and the last-wins dedup has work to do. No record grows with the data.
     """
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
-    lines = Window.partitionBy("l_orderkey")
+    # lines, pages and orders meet by the partner's id, never null here, so that the rows of one partner stay together
+    # through the flattening and the last-wins dedup that follow without being dealt out again
+    lines = Window.partitionBy("__partner")
     ref = F.struct(F.col("p_type").alias("client_name"),
                    F.concat_ws(" ", F.col("p_name"), F.lower(F.col("p_type"))).alias("description"),
                    F.array(F.col("p_name"), F.col("p_type")).alias("modules_implemented"),
                    F.format_string("qty %.0f", F.col("l_quantity")).alias("outcomes"))
-    refs = _line_refs(spark, sf_dir).select(
-        "l_orderkey", ref.alias("ref"), F.row_number().over(lines.orderBy(*order)).alias("n"),
-        F.count(F.lit(1)).over(lines).alias("n_refs"))
+    refs = (_line_refs(spark, sf_dir).where(F.col("l_orderkey").isNotNull())
+            .withColumn("__partner", F.coalesce(F.col("l_orderkey").cast("string"), F.lit("")))
+            .select("__partner", "p_name", "p_type", "l_quantity",
+                    F.row_number().over(lines.orderBy(*order)).alias("n"), F.count(F.lit(1)).over(lines).alias("n_refs"))
+            .select("__partner", ref.alias("ref"), "n", "n_refs"))
     # one pass over the lines of an order gives both its pages and their number
-    pages = (refs.groupBy("l_orderkey", F.floor((F.col("n") - 1) / REFS_PER_PAGE).alias("page"))
+    pages = (refs.groupBy("__partner", F.floor((F.col("n") - 1) / REFS_PER_PAGE).alias("page"))
              .agg(F.max("n_refs").alias("n_refs"), F.sort_array(F.collect_list(F.struct("n", "ref"))).alias("refs")))
     none = F.array().cast(T.ArrayType(refs.schema["ref"].dataType))
-    base = _partners(spark, sf_dir)
-    return (base.join(pages, base.o_orderkey == pages.l_orderkey, "left")
-            .select(*_partner_columns(), F.coalesce(F.col("refs.ref"), none).alias("client_references_detailed"),
+    base = _partners(spark, sf_dir).withColumn("partner_id", F.coalesce(F.col("o_orderkey").cast("string"), F.lit("")))
+    return (base.join(pages, base.partner_id == pages["__partner"], "left")
+            .select(*_partner_columns(F.col("partner_id")), F.coalesce(F.col("refs.ref"), none).alias("client_references_detailed"),
                     F.struct(F.col("o_orderkey").alias("p"), F.coalesce("page", F.lit(0)).alias("k0")).alias("seq")))
 
 

@@ -40,3 +40,10 @@ def test_pages_single_python_pass(spark):
     p = plan(E.queries()["h01_links"](spark, SF))
     assert p.count("MapInPandas") >= 1 and "BatchEvalPython" not in p
     assert "ReadSchema: struct<page_id:bigint,url:string,html:string>" in p
+
+
+def test_flattened_partners_are_not_dealt_out_again(spark):
+    from dirlens.operators.nested import flatten_dedup_sort
+    from dirlens.plans.bindings import partner_pages
+    plan = flatten_dedup_sort(partner_pages(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" in plan and "hashpartitioning(Partner ID" not in plan
