@@ -826,7 +826,8 @@ def k04(spark, d):
     from ..sources import io
     flat = io.export_columns(N.flatten_dedup_sort(partner_pages(spark, d)), FLAT_CLIENT_COLUMNS)
     path = _scratch(spark, "clients")
-    io.to_flat_csv(flat, path)
+    # an order without lines is a client row too, so there are rows exactly when there are orders
+    io.to_flat_csv(flat, path, source=table(spark, d, "orders"), compression="gzip")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in FLAT_CLIENT_COLUMNS])
     return io.read_table(spark, path, schema).na.fill("")
 

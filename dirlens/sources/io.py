@@ -207,11 +207,15 @@ def flatten_lists(df: DataFrame, sep: str = "; ") -> DataFrame:
     return df.select(out)
 
 
-def to_flat_csv(df: DataFrame, path: str, sep: str = "; ") -> bool:
-    """K1: CSV with header, list columns joined; empty input writes nothing (returns False)."""
-    if df.isEmpty():
+def to_flat_csv(df: DataFrame, path: str, sep: str = "; ", source: DataFrame | None = None,
+                compression: str = "none") -> bool:
+    """K1: CSV with header, list columns joined; empty input writes nothing (returns False). Whether ``df`` is empty is
+    asked of ``source`` where given, a frame that has rows exactly when ``df`` has: asking a frame behind shuffles
+    runs all of them once more."""
+    if (df if source is None else source).isEmpty():
         return False
-    flatten_lists(df, sep).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (flatten_lists(df, sep).write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("compression", compression).csv(path))
     return True
 
 

@@ -95,3 +95,19 @@ def test_provider_stream_and_observed(spark):
     df, obs = observed(raw, "raw")
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == raw.count()
+
+
+def test_flat_csv_asks_the_source_whether_there_are_rows(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from dirlens.sources import io
+    ran = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        ran.add(1)
+        return x
+    df = spark.range(3).select(F.udf(seen, "long")("id").alias("v")).orderBy("v")
+    assert not io.to_flat_csv(df, str(tmp_path / "none"), source=spark.range(0)) and ran.value == 0
+    assert not (tmp_path / "none").exists()
+    assert io.to_flat_csv(df, str(tmp_path / "some"), source=spark.range(1), compression="gzip")
+    back = spark.read.option("header", True).csv(str(tmp_path / "some"))
+    assert sorted(r.v for r in back.collect()) == ["0", "1", "2"]
