@@ -58,7 +58,7 @@ def tfidf(df: DataFrame, doc: str, text: str, max_features: int = 1000,
     proven size bound; the per-document norm is a window over one document's
     terms (bounded by the vocabulary).
     """
-    tc = term_counts(df, doc, text, stop_words)
+    tc = cut(term_counts(df, doc, text, stop_words))   # read twice, but each text is split into words once
     n_docs = float(df.count())   # one scalar
     vocab = fit_vocab(tc, max_features).select("term", "df")
     w = (tc.join(F.broadcast(vocab), "term")
@@ -83,7 +83,7 @@ def tfidf_vectors(df: DataFrame, doc: str, text: str, max_features: int = 1000,
     if not vocab:
         vocab = ["__empty__"]
     cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="tokens", outputCol="tf")
-    tf = cv.transform(toks)
+    tf = cut(cv.transform(toks).select("doc", "tf"))   # the idf and every later pass read counts, not texts
     idf_model = IDF(inputCol="tf", outputCol="_idf", minDocFreq=0).fit(tf)
     scale = Vectors.dense([x + 1.0 for x in idf_model.idf.toArray()])   # vocabulary-sized
     weighted = ElementwiseProduct(scalingVec=scale, inputCol="tf", outputCol="raw").transform(tf)

@@ -258,3 +258,27 @@ def test_terms_by_lookup_and_rules_of_every_entity(spark):
     assert {r.n_missing for r in mandatory_report({"clients": bare}).where("field = 'industry'").collect()} == {1}
     with pytest.raises(ValueError, match="no rules for 'shops'"):
         check_entity(clients, "shops", QualityRules())
+
+
+def _counted_texts(spark):
+    """Twenty texts behind a function that counts its calls."""
+    ran = spark.sparkContext.accumulator(0)
+
+    def text(i):
+        ran.add(1)
+        return f"alpha beta w{i % 5}x w{i % 3}y"
+    return spark.range(20).select("id", F.udf(text, "string")("id").alias("t")), ran
+
+
+def test_tfidf_splits_each_text_once(spark):
+    from dirlens.operators.textml import tfidf
+    df, ran = _counted_texts(spark)
+    assert tfidf(df, "id", "t", stop_words=[]).count() == 80 and ran.value == 20
+
+
+def test_tfidf_vectors_are_read_without_the_texts(spark):
+    from dirlens.operators.textml import tfidf_vectors
+    df, ran = _counted_texts(spark)
+    vectors, _ = tfidf_vectors(df, "id", "t", stop_words=[])
+    before = ran.value
+    assert vectors.count() == 20 and len(vectors.collect()) == 20 and ran.value == before
