@@ -77,11 +77,13 @@ def normalize_tier(c, tiers: Iterable[str] = ("Gold", "Silver", "Ready")) -> Col
 
 
 def clean_text(c) -> Column:
-    """C5: ''/NULL -> NULL; collapse whitespace; delete NUL; blank -> NULL."""
+    """C5: ''/NULL -> NULL; collapse whitespace; delete NUL; blank -> NULL.
+
+    What stays is blank unless some character is neither whitespace nor NUL; asking that first, the text is rewritten once."""
     col = _c(c)
     collapsed = F.regexp_replace(col, _WS, " ")
     out = F.trim(F.replace(collapsed, F.lit("\u0000"), F.lit("")))
-    return F.when(col.isNull() | (col == ""), F.lit(None).cast("string")).otherwise(F.nullif(out, F.lit("")))
+    return F.when(col.rlike(f"[^{PY_SPACE}\\x00]"), out)
 
 
 def clean_url(c) -> Column:

@@ -15,6 +15,7 @@ recompute from the last one. D5 falls out of the same matches.
 
 from __future__ import annotations
 
+import functools
 import logging
 import math
 
@@ -270,40 +271,44 @@ def _ckpt(df: DataFrame) -> DataFrame:
     return cut(df)
 
 
-def greedy_dropped(edges: DataFrame, max_rounds: int | None = None) -> tuple[DataFrame, int]:
-    """Nodes the sequential first-wins scan drops, given directed edges src<dst.
+COMPACT = 16          # rounds whose dropped nodes are kept apart
+TASK_EDGES = 262_144  # edges of a task: what is left of them shrinks fast, and so does the number of tasks
+
+
+def greedy_dropped(edges: DataFrame, max_rounds: int | None = None, few_nodes: bool = False) -> tuple[DataFrame, int]:
+    """Nodes the sequential first-wins scan drops, given directed edges src<dst, which are read several times.
 
     Round: undecided nodes with no undecided earlier neighbour are kept; their
-    later neighbours are dropped; edges touching decided nodes are removed.
+    later neighbours are dropped; edges touching decided nodes are removed. An edge of a kept node always
+    leads to a dropped one, so the dropped nodes alone tell which edges go. A round
+    checkpoints once: the edges left, and the nodes dropped as edges without src. With
+    ``few_nodes`` (the caller bounds the number of nodes) the nodes are broadcast and no edge is shuffled to meet them.
     First-in-order maximal independent sets are P-complete, so an adversarial
     order (a long chain) needs as many rounds as half its length.
     """
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    active = _ckpt(edges.select("src", "dst").distinct())
-    dropped = None
+    checkpoint_dir(edges.sparkSession)
+    near = F.broadcast if few_nodes else lambda nodes: nodes
+    active = edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+    gone = []
     rounds = 0
-    while True:
-        remaining = active.count()
-        if remaining == 0:
-            break
+    while remaining := active.count():
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"fuzzy dedup did not converge in {max_rounds} rounds")
-        has_in = active.select(F.col("dst").alias("node")).distinct()
-        kept_now = (active.select(F.col("src").alias("node")).distinct()
-                    .join(has_in, "node", "left_anti"))
-        drop_now = _ckpt(active.join(kept_now.withColumnRenamed("node", "src"), "src", "left_semi")
-                         .select(F.col("dst").alias("node")).distinct())
-        decided = kept_now.unionByName(drop_now)
-        active = _ckpt(active
-                       .join(decided.withColumnRenamed("node", "src"), "src", "left_anti")
-                       .join(decided.withColumnRenamed("node", "dst"), "dst", "left_anti"))
-        dropped = drop_now if dropped is None else _ckpt(dropped.unionByName(drop_now))
+        active = active.coalesce(-(-remaining // TASK_EDGES))
+        later = active.select(F.col("dst").alias("node")).distinct()
+        drop_now = active.join(near(later), F.col("src") == F.col("node"), "left_anti").select(F.col("dst").alias("node")).distinct()
+        left = (active.join(near(drop_now), F.col("dst") == F.col("node"), "left_anti")
+                .join(near(drop_now), F.col("src") == F.col("node"), "left_anti"))
+        state = _ckpt(left.unionByName(drop_now.select(F.lit(None).cast("long").alias("src"), F.col("node").alias("dst"))))
+        active = state.where(F.col("src").isNotNull())
+        gone.append(state.where(F.col("src").isNull()).select(F.col("dst").alias("node")))
+        if len(gone) == COMPACT:
+            gone = [_ckpt(functools.reduce(DataFrame.unionByName, gone).coalesce(1 if few_nodes else COMPACT))]
     log.info("fuzzy dedup: %d distributed rounds", rounds)
-    if dropped is None:
-        dropped = edges.select(F.col("src").alias("node")).limit(0)
-    return dropped, rounds
+    if not gone:
+        return active.select(F.col("src").alias("node")).limit(0), rounds
+    return _ckpt(functools.reduce(DataFrame.unionByName, gone)), rounds
 
 
 FIRST_BLOCK = 4096    # names of the first block; each next one holds twice as many,
@@ -319,24 +324,25 @@ def decided(sets: DataFrame, n: int, t: float, first_block: int = FIRST_BLOCK) -
     """(dst, src, sim): every dropped name of ``sets`` (``at`` below ``n``) with the first kept one it matches.
 
     At most the pairs of kept names with one block's names, and of what is left of a block with itself, are
-    ever stored; of the former only each name's first."""
+    ever stored; of the former only each name's first. All sets are read once a block. What is
+    broadcast are places of one block's names."""
     kept = matches = None
     lo, size = 0, first_block
     while lo < n:
-        rest = sets.where((F.col("at") >= lo) & (F.col("at") < lo + size))
+        rest = sets if not lo and size >= n else cut(sets.where((F.col("at") >= lo) & (F.col("at") < lo + size)))
         if kept is not None:
             both = kept.withColumn("old", F.lit(True)).unionByName(rest.withColumn("old", F.lit(False)))
             hit = cut(_first_match(linked(both, t, cross=True)))
-            rest = cut(rest.join(hit.select(F.col("dst").alias("at")), "at", "left_anti"))
+            rest = cut(rest.join(F.broadcast(hit.select(F.col("dst").alias("at"))), "at", "left_anti"))
             matches = hit if matches is None else matches.unionByName(hit)
         edges = cut(linked(rest.withColumn("old", F.lit(False)), t))
-        dropped, _ = greedy_dropped(edges)
-        near = cut(_first_match(edges.join(dropped.withColumnRenamed("node", "dst"), "dst", "left_semi")
-                                .join(dropped.withColumnRenamed("node", "src"), "src", "left_anti")))
+        dropped, _ = greedy_dropped(edges, few_nodes=True)
+        near = cut(_first_match(edges.join(F.broadcast(dropped.withColumnRenamed("node", "dst")), "dst", "left_semi")
+                                .join(F.broadcast(dropped.withColumnRenamed("node", "src")), "src", "left_anti")))
         matches = near if matches is None else matches.unionByName(near)
         lo, size = lo + size, max(size, min(2 * size, LAST_BLOCK))
         if lo < n:
-            stay = _ckpt(rest.join(dropped.withColumnRenamed("node", "at"), "at", "left_anti"))
+            stay = _ckpt(rest.join(F.broadcast(dropped.withColumnRenamed("node", "at")), "at", "left_anti"))
             kept = stay if kept is None else kept.unionByName(stay)
     return matches
 

@@ -41,7 +41,9 @@ def provider_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .groupBy("l_suppkey")
                 .agg(F.sort_array(F.collect_set("p_type")).alias("services"),
                      F.sort_array(F.collect_set("p_brand")).alias("client_references")))
-    text = docs.select(F.col("doc_id"), F.col("text").alias("description"))
+    # texts of no supplier are left behind before any text is shuffled
+    text = (docs.select(F.col("doc_id"), F.col("text").alias("description"))
+            .join(s.select(F.col("s_suppkey").alias("doc_id")), "doc_id", "left_semi"))
 
     bal = F.col("s_acctbal")
     sid = F.col("s_suppkey").cast("string")

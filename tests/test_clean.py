@@ -71,3 +71,10 @@ def test_classify(spark):
         ["Implementation, Customization, Integration", "Other", "Other"]
     assert one(spark, classify_first, ["Retail manufacturing", "customer service", ""]) == \
         ["Manufacturing", "Services", "General"]
+
+
+def test_a_text_is_rewritten_once(spark):
+    df = spark.createDataFrame([(" a  b ",), ("\x00 \u2003",), ("\x00x\x00",), ("",), (None,)], "t string").select(C.clean_text("t").alias("t"))
+    assert [r.t for r in df.collect()] == ["a b", None, "x", None, None]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1

@@ -152,3 +152,38 @@ def test_blocks_of_many_sizes_against_loop(spark, monkeypatch):
     rnd = random.Random(9)
     names = ["".join(rnd.choice("abc") for _ in range(rnd.choice((2, 5, 5, 5, 5, 9, 30)))) for _ in range(150)]
     assert run(spark, names, 0.7, first_block=20) == sequential(names, 0.7)
+
+
+def test_a_round_is_a_few_jobs_of_few_tasks(spark):
+    # a chain: every second one is dropped, one a round; its edges come in many partitions
+    sc, n = spark.sparkContext, 40
+    edges = spark.range(n, numPartitions=24).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")).checkpoint()
+    sc.setJobGroup("rounds", "rounds")
+    try:
+        dropped, rounds = dedup.greedy_dropped(edges, few_nodes=True)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r.node for r in dropped.collect()) == list(range(1, n + 1, 2)) and rounds == n // 2
+    tracker = sc.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("rounds")]
+    tasks = sum(info.numTasks for j in jobs for i in j.stageIds if (info := tracker.getStageInfo(i)))
+    assert rounds <= len(jobs) <= 10 * rounds and tasks <= 20 * rounds
+    assert sorted(r.node for r in dedup.greedy_dropped(edges.unionByName(edges))[0].collect()) == list(range(1, n + 1, 2))
+
+
+def test_texts_without_a_supplier_are_not_shuffled(spark, tmp_path):
+    from dirlens.plans.bindings import provider_view
+    d = str(tmp_path)
+    for name, rows, schema in (
+            ("supplier", [(1, "a", 0, 5.0), (1, "a", 0, 5.0), (2, "b", None, 9.0), (None, "c", 0, 1.0)],
+             "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+            ("nation", [(0, "X", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+            ("lineitem", [(1, 7)], "l_suppkey long, l_partkey long"),
+            ("part", [(7, "T", "B")], "p_partkey long, p_type string, p_brand string"),
+            ("documents", [(1, "one"), (1, "uno"), (None, "none")] + [(i, "rest") for i in range(3, 50)], "doc_id long, text string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{d}/{name}.parquet")
+    view = provider_view(spark, d)
+    got = Counter((r.provider_id, r.description) for r in view.collect())
+    assert got == {("1", "one"): 2, ("1", "uno"): 2, ("2", None): 1, (None, None): 1}
+    plan = view._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan
