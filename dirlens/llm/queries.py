@@ -145,14 +145,15 @@ def url_inputs(spark, d):
     events, pages = table(spark, d, "events"), table(spark, d, "pages")
     captures = (pages.join(events, F.col("page_id") == F.col("event_id"), "left")
                 .select(F.col("page_id").alias("capture_id"), "url", F.col("ts").alias("fetched")))
-    norm = url_filter.normal_url(F.col("url"))
+    # a page's URL is rewritten once, before it meets its events
+    normed = pages.select("page_id", url_filter.normal_url(F.col("url")).alias("norm"))
     kind = (F.when(F.col("event_type") == "error", "domain").when(F.col("event_type") == "click", "host")
             .when(F.col("event_type") == "view", "prefix").otherwise("url"))
     host = F.substring_index("norm", "/", 1)
     pattern = (F.when(F.col("kind") == "domain", F.substring_index(host, ".", -3)).when(F.col("kind") == "host", host)
                .when(F.col("kind") == "prefix", F.substring_index("norm", "/", 2)).otherwise(F.col("norm")))
-    entries = (events.join(pages, F.col("user_id") == F.col("page_id"))
-               .select(F.col("event_id").alias("entry_id"), kind.alias("kind"), norm.alias("norm"),
+    entries = (events.join(normed, F.col("user_id") == F.col("page_id"))
+               .select(F.col("event_id").alias("entry_id"), kind.alias("kind"), "norm",
                        F.when(F.col("event_type") == "purchase", "allow").otherwise("block").alias("list"),
                        F.when(F.col("value") >= 30, "add").otherwise("remove").alias("action"), F.col("ts").alias("at"))
                .select("entry_id", "list", "kind", pattern.alias("pattern"), "action", "at"))

@@ -1,17 +1,14 @@
 """URL filters as a temporal list join, in DataFrame functions alone.
 
-*Intervals*: dated list entries (add or remove a pattern) become validity intervals: an entry holds
-from its time to the next entry for the same list, kind and pattern; intervals of adds are kept. A pattern's
-history is ordered day by day in many tasks, and a row for each of its days carries the next day's first
-entry back.
+*History*: of dated list entries (add or remove a pattern) the last one at or before a capture's time decides whether the
+pattern holds then: an entry holds from its time to the next entry for the same list, kind and pattern.
 
 *As-of join*: every capture is expanded into the few keys that could match it (its URL, its host, each
-parent domain, each path prefix) and meets the intervals by (kind, key, dyadic range of days) with the exact
-bounds ``valid_from <= fetched < valid_to``. An interval over n days is at most 2 log2(n) dyadic ranges, which
-do not overlap, and a capture's day lies in one range of each size: so each meets an interval at most once, an
-entry that holds for years is a few rows, and a hot host spreads over ranges.
-Captures of one key and time are joined once (a distinct before the join) and the answer goes
-back to all of them; what is still skewed, the adaptive join splits.
+parent domain, each path prefix) and, for each list that has the key, takes its place among the entries of (list, kind, key)
+in the order of time. That order is kept an hour at a time, so a hot host spreads over hours; an hour with captures
+starts with the entry that held before it, found among the last entries of the pattern's hours. Nothing is paired: each
+entry and each key of a capture goes by once, whatever the number of entries that a hot pattern has.
+Captures of one key and time are looked up once (a distinct before it) and the answer goes back to all of them.
 
 Kinds: ``url`` (whole normalised URL), ``prefix`` (host and path up to a segment), ``host``, ``domain`` (the
 host or any subdomain). URLs are normalised: scheme, user, port, query and fragment go, A-Z in the
@@ -41,24 +38,7 @@ def normal_url(url: Column) -> Column:
     return F.when(F.length(host) > 0, F.concat(host, path))
 
 
-def intervals(entries: DataFrame) -> DataFrame:
-    """list, kind, pattern, valid_from, valid_to (null: still holds) of entries (entry_id, list, kind,
-    pattern, action in add/remove, at)."""
-    last = (entries.where("pattern IS NOT NULL AND at IS NOT NULL AND kind IS NOT NULL")
-            .groupBy("list", "kind", "pattern", "at").agg(F.max(F.struct("action", "entry_id")).alias("x")))
-    last = last.withColumn("day", F.to_date("at"))
-    of_day = Window.partitionBy("list", "kind", "pattern", "day").orderBy("at")
-    days = last.groupBy("list", "kind", "pattern", "day").agg(F.min("at").alias("first"))
-    later = F.lead("first").over(Window.partitionBy("list", "kind", "pattern").orderBy("day"))
-    days = days.select(F.col("list").alias("l"), F.col("kind").alias("k"), F.col("pattern").alias("p"), F.col("day").alias("d"),
-                       later.alias("later"))
-    rows = last.withColumn("next", F.lead("at").over(of_day))
-    rows = rows.join(days, F.col("list").eqNullSafe(F.col("l")) & (F.col("kind") == F.col("k"))
-                     & (F.col("pattern") == F.col("p")) & (F.col("day") == F.col("d")))
-    return (rows.where("x.action = 'add'")
-            .select("list", "kind", "pattern", F.col("at").alias("valid_from"), F.coalesce("next", "later").alias("valid_to")))
-
-
+# Dyadic ranges of days, for joins of long intervals by equal keys; the as-of join above needs none.
 def _shifted(x: Column, level: Column) -> Column:
     return F.call_function("shiftright", x, level)
 
@@ -97,30 +77,44 @@ def _keys(url: Column) -> Column:
     return F.concat(single, domains, prefixes)
 
 
+def _hour(at: str) -> Column:
+    return F.floor(F.unix_seconds(F.col(at).cast("timestamp")) / 3600)
+
+
+def active(keyed: DataFrame, entries: DataFrame) -> DataFrame:
+    """norm, fetched, list, kind, key of the lists that hold a key of ``keyed`` (norm, fetched, hour, kind, key) at its time, by
+    entries (entry_id, list, kind, pattern, action in add/remove, at)."""
+    dated = (entries.where("pattern IS NOT NULL AND at IS NOT NULL AND kind IS NOT NULL")
+             .select("list", "kind", F.col("pattern").alias("key"), _hour("at").alias("hour"), F.col("at").cast("timestamp").alias("at"),
+                     "action"))
+    # the entry that ends an hour; of those at one time the largest action counts
+    ends = dated.groupBy("list", "kind", "key", "hour").agg(F.max(F.struct("at", "action")).alias("end"))
+    lists = ends.where("end.at IS NOT NULL").select("list", "kind", "key").distinct()
+    asked = keyed.select("kind", "key", "hour").distinct().join(lists, ["kind", "key"])
+    hours = (ends.withColumn("asked", F.lit(False))
+             .unionByName(asked.withColumn("asked", F.lit(True)), allowMissingColumns=True))
+    before = Window.partitionBy("list", "kind", "key").orderBy("hour").rangeBetween(Window.unboundedPreceding, -1)
+    held = (hours.withColumn("held", F.last("end", ignorenulls=True).over(before)).where("asked AND held.action = 'add'")
+            .select("list", "kind", "key", "hour", F.col("held.action").alias("action")))
+    found = keyed.join(lists, ["kind", "key"]).withColumn("at", F.col("fetched").cast("timestamp"))
+    # what held before the hour comes first (no time), a capture after the entries of its time
+    line = (dated.unionByName(held, allowMissingColumns=True).unionByName(found, allowMissingColumns=True))
+    so_far = (Window.partitionBy("list", "kind", "key", "hour").orderBy("at", F.col("norm").isNotNull(), "action")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    added = F.when(F.col("norm").isNull(), F.coalesce(F.col("action") == "add", F.lit(False)))
+    return (line.withColumn("added", F.last(added, ignorenulls=True).over(so_far)).where("added AND norm IS NOT NULL")
+            .select("norm", "fetched", "list", "kind", "key"))
+
+
 def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """capture_id, url, fetched, blocked, n_active, decided_by (list:kind:pattern of the most specific
     active entry) for captures (capture_id, url, fetched)."""
     c = captures.select("capture_id", "url", "fetched", normal_url(F.col("url")).alias("norm"))
     asked = c.where("norm IS NOT NULL AND fetched IS NOT NULL").select("norm", "fetched").distinct()
-    # days count from the first capture's; entries before it or after the last capture's day meet nothing
-    day = F.unix_date(F.to_date("fetched"))
-    span = F.max(day) - F.min(day)
-    days = c.where("norm IS NOT NULL").agg(F.struct(
-        F.min(day).alias("first"), span.alias("span"), F.ceil(F.log2(span + 1)).cast("int").alias("levels"))).scalar()
-    live = intervals(entries).withColumn("days", days)
-    since = lambda at: F.unix_date(F.to_date(at)) - F.col("days.first")
-    start = F.greatest(since("valid_from"), F.lit(0))
-    stop = F.least(F.coalesce(since("valid_to"), F.col("days.span")), F.col("days.span"))
-    live = (live.withColumns({"start": start, "stop": stop}).where("start <= stop")
-            .select("list", "kind", F.col("pattern").alias("key"), "valid_from", "valid_to",
-                    F.explode(ranges(F.col("start"), F.col("stop"), F.col("days.levels"))).alias("range"))
-            .select("list", "kind", "key", "valid_from", "valid_to", "range.level", "range.node"))
-    keyed = (asked.withColumn("days", days)
-             .select("norm", "fetched", F.explode(ranges_of_day(since("fetched"), F.col("days.levels"))).alias("range"), "days")
-             .select("norm", "fetched", "range.level", "range.node", F.explode(F.array_distinct(_keys(F.col("norm")))).alias("k"))
-             .select("norm", "fetched", "level", "node", "k.*"))
-    hit = keyed.join(live, ["kind", "key", "level", "node"]).where(
-        (F.col("valid_from") <= F.col("fetched")) & (F.col("valid_to").isNull() | (F.col("fetched") < F.col("valid_to"))))
+    keyed = (asked.withColumn("hour", _hour("fetched"))
+             .select("norm", "fetched", "hour", F.explode(F.array_distinct(_keys(F.col("norm")))).alias("k"))
+             .select("norm", "fetched", "hour", "k.*"))
+    hit = active(keyed, entries)
     rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(len(KINDS) - i)) for i, k in enumerate(KINDS)])
     # of equally specific entries an allow decides
     weight = F.struct(rank.alias("rank"), F.length("key").alias("length"), (F.col("list") == "allow").cast("int").alias("allow"),

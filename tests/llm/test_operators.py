@@ -6,7 +6,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -682,6 +682,32 @@ def test_url_filter_against_brute_force(spark):
     assert url_filter.filter_urls(c.where("false"), e).count() == 0
 
 
+def test_url_filter_of_a_hot_host(spark):
+    # many entries of one host in one hour, held over years, ties of time, lists and actions that are null
+    rng = random.Random(3)
+    start = datetime(1969, 12, 31, 23)
+    at = lambda s: start + timedelta(milliseconds=round(s * 1000))
+    times = [rng.randrange(0, 9000) / 2 for _ in range(400)] + [4e8 + rng.randrange(0, 9000) for _ in range(50)]
+    entries = [(i, rng.choice(["block", "allow", None]), "host", "h.org", rng.choice(["add", "remove", None]), at(s))
+               for i, s in enumerate(times)]
+    asked = [rng.randrange(-2000, 20_000) / 2 for _ in range(300)] + [2e8, 4e8 - 1, 4e8 + 20_000, 9e8] + times[:20]
+    c = spark.createDataFrame([(i, "http://h.org/", at(s)) for i, s in enumerate(asked)], "capture_id long, url string, fetched timestamp")
+    e = spark.createDataFrame(entries, "entry_id long, list string, kind string, pattern string, action string, at timestamp")
+    want = {}
+    for i, s in enumerate(asked):
+        state = {}
+        for x in sorted((x for x in entries if x[5] <= at(s)), key=lambda x: (x[5], x[4] or "")):
+            state[x[1]] = x[4] == "add"
+        on = {k for k, v in state.items() if v}
+        want[i] = ("block" in on and "allow" not in on, len(on))
+    got = url_filter.filter_urls(c, e)
+    assert {r.capture_id: (r.blocked, r.n_active) for r in got.collect()} == want
+    assert {n for _, n in want.values()} == {0, 1, 2, 3} and {b for b, _ in want.values()} == {True, False}
+    # a capture meets the entries in the order of time: no join pairs it with all of a pattern's entries of a day
+    joins = re.findall(r"Join .*", got._jdf.queryExecution().optimizedPlan().toString())
+    assert joins and not any(re.search(r"[<>]=? ", x.replace("<=>", "=")) for x in joins)
+
+
 def test_url_query_has_both_outcomes(spark):
     from dirlens.llm import queries
     rows = queries.op2(spark, "/root/testdata/sf0.01").collect()
